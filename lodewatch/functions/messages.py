@@ -8,24 +8,40 @@ from pyspark.sql import functions as F
 from lodewatch.functions.keys import as_col
 
 
+# Spark's names of variant types and the JSON types they stand for.
+JSON_TYPES = {
+    "STRING": "string",
+    "BIGINT": "integer",
+    "DECIMAL": "number",
+    "DOUBLE": "number",
+    "FLOAT": "number",
+    "BOOLEAN": "boolean",
+    "VOID": "null",
+    "ARRAY": "array",
+    "OBJECT": "object",
+}
+
+
 def json_type(value: Column | str) -> Column:
     """JSON type of a variant: integer, number, string, boolean, null, array or object."""
-    s = F.schema_of_variant(as_col(value))
-    return (
-        F.when(s == "STRING", "string")
-        .when((s == "BIGINT") | s.rlike(r"^DECIMAL\(\d+,0\)$"), "integer")
-        .when(s.isin("DOUBLE", "FLOAT") | s.startswith("DECIMAL"), "number")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s == "VOID", "null")
-        .when(s.startswith("ARRAY"), "array")
-        .otherwise("object")
-    )
+    return json_type_of(F.schema_of_variant(as_col(value)))
+
+
+def json_type_of(schema: Column) -> Column:
+    """JSON type from the text of a variant's schema; whole decimals are integers."""
+    word = F.substring_index(F.substring_index(schema, "<", 1), "(", 1)
+    names = F.create_map(*[F.lit(x) for pair in JSON_TYPES.items() for x in pair])
+    whole = schema.startswith("DECIMAL") & schema.endswith(",0)")
+    return F.when(whole, "integer").otherwise(F.try_element_at(names, word))
 
 
 def json_kind(value: Column | str) -> Column:
     """The kinds that metrics and schemas tell apart: number, string, null, other."""
-    t = json_type(value)
-    return F.when(t.isin("integer", "number"), "number").when(t.isin("string", "null"), t).otherwise("other")
+    word = F.regexp_extract(F.schema_of_variant(as_col(value)), "^[A-Z]+", 0)
+    kinds = {"integer": "number", "number": "number", "string": "string", "null": "null"}
+    known = {variant: kinds[t] for variant, t in JSON_TYPES.items() if t in kinds}
+    names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, word), F.lit("other"))
 
 
 def text_units(text: Column | str) -> Column:

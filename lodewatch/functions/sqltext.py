@@ -10,13 +10,17 @@ from lodewatch.functions.keys import as_col
 # Literals and comments are blanked in one alternation, so that neither can hide the
 # other; quoted identifiers are kept (group 1).
 MASK = r"""("[^"]*")|'[^']*'|--[^\n]*|/\*(?:[^*]|\*+[^*/])*\*+/"""
-NAME = r"""((?:"[^"]+"|\w+)(?:\.(?:"[^"]+"|\w+))*)"""
-CREATE = r"(?i)^create\s+(?:or\s+replace\s+)?"
-TABLE_HEAD = CREATE + r"(?:(?:global\s+|local\s+)?(?:temporary|temp)\s+|unlogged\s+)?table\s+(?:if\s+not\s+exists\s+)?"
-VIEW_HEAD = CREATE + r"(?:(?:temporary|temp)\s+)?(?:recursive\s+)?(?:materialized\s+)?view\s+(?:if\s+not\s+exists\s+)?"
-INSERT_HEAD = r"(?i)^(?:with\s.*\s)?insert\s+into\s+"
-MERGE_HEAD = r"(?i)^merge\s+into\s+"
-READ = r"(?i)\b(?:from|join|using)\s+(?:only\s+)?" + NAME
+PART = r"""(?:"[^"]+"|\w+)"""
+NAME = rf"({PART}(?:\s*\.\s*{PART})*)"
+# Group 1: what the statement does, group 2: its target.
+HEAD = (
+    r"(?is)^\s*(?:with\b.*?\b)?"
+    r"(create(?:\s+or\s+replace)?(?:\s+(?:global|local|temporary|temp|unlogged|recursive|materialized))*\s+(?:table|view)"
+    r"|insert\s+into|merge\s+into)"
+    rf"\s+(?:if\s+not\s+exists\s+)?{NAME}"
+)
+QUERY = r"(?i)\b(?:select|with|values|table)\b"
+READ = rf"(?i)\b(?:from|join|using)\s+(?:only\s+)?{NAME}"
 
 CREATE_TABLE_AS = "create_table_as"
 INSERT = "insert"
@@ -26,10 +30,10 @@ UNTRACKED = "untracked"
 
 
 def clean_sql(sql: Column | str) -> Column:
-    """Text without comments and string literals, blanks folded, no blanks around dots."""
-    masked = F.regexp_replace(as_col(sql), MASK, "$1 ")
-    dotted = F.regexp_replace(masked, r"\s*\.\s*", ".")
-    return F.trim(F.regexp_replace(dotted, r"\s+", " "))
+    """Text without comments and string literals."""
+    text = as_col(sql)
+    maskable = text.contains("'") | text.contains("--") | text.contains("/*")
+    return F.when(maskable, F.regexp_replace(text, MASK, "$1 ")).otherwise(text)
 
 
 def is_internal(sql: Column | str) -> Column:
@@ -48,31 +52,34 @@ def bind_params(sql: Column | str) -> Column:
 
 
 def statement_type(clean: Column | str) -> Column:
+    """Kind of a statement; a table created without a query is untracked, as is any other statement."""
     c = as_col(clean)
+    verb = F.lower(F.regexp_extract(c, HEAD, 1))
+    after = F.regexp_replace(c, HEAD, "")
     return (
-        F.when(c.rlike(TABLE_HEAD + NAME + r"\s.*\b(?:select|with|table|values)\b"), CREATE_TABLE_AS)
-        .when(c.rlike(VIEW_HEAD), CREATE_VIEW)
-        .when(c.rlike(INSERT_HEAD), INSERT)
-        .when(c.rlike(MERGE_HEAD), MERGE)
+        F.when(verb.startswith("insert"), INSERT)
+        .when(verb.startswith("merge"), MERGE)
+        .when(verb.endswith("view"), CREATE_VIEW)
+        .when(verb.endswith("table") & after.rlike(QUERY), CREATE_TABLE_AS)
         .otherwise(UNTRACKED)
     )
 
 
-def _unquote(names: Column) -> Column:
-    return F.transform(names, lambda n: F.replace(n, F.lit('"'), F.lit("")))
+def _unquote(name: Column) -> Column:
+    """Name without quotes and without blanks around its dots."""
+    return F.translate(name, '" \t\r\n', "")
 
 
 def input_tables(clean: Column | str) -> Column:
     """Distinct names after FROM, JOIN and USING, in order of appearance."""
-    return F.array_distinct(_unquote(F.regexp_extract_all(as_col(clean), F.lit(READ), F.lit(1))))
+    found = F.regexp_extract_all(as_col(clean), F.lit(READ), F.lit(1))
+    return F.array_distinct(F.transform(found, _unquote))
 
 
 def output_tables(clean: Column | str) -> Column:
     """The target of a create, insert or merge; empty for anything else."""
-    c = as_col(clean)
-    heads = [TABLE_HEAD, VIEW_HEAD, INSERT_HEAD, MERGE_HEAD]
-    found = F.array(*[F.nullif(F.regexp_extract(c, head + NAME, 1), F.lit("")) for head in heads])
-    return _unquote(F.slice(F.array_compact(found), 1, 1))
+    target = F.nullif(_unquote(F.regexp_extract(as_col(clean), HEAD, 2)), F.lit(""))
+    return F.array_compact(F.array(target))
 
 
 def qualified_only(names: Column | str) -> Column:

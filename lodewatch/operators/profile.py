@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodewatch.functions.keys import quoted
-from lodewatch.operators.quantiles import BUFFERED_ROWS, as_number, ranked_quantiles
+from lodewatch.operators.quantiles import as_number, exact_quantiles
 
 NUMERIC, TEMPORAL, BOOLEAN, STRING, OTHER = "numeric", "temporal", "boolean", "string", "other"
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 APPROX_ACCURACY = 10_000
+# Up to this many rows the quartiles are taken in the same scan as the rest, by Spark's own
+# `percentile`; it keeps the distinct values of a column in one buffer.
+BUFFERED_ROWS = 100_000
 # Longer texts are told apart by their SHA-256 when they are counted; the prefix keeps a
 # digest apart from any short text.
 WIDE_TEXT_BYTES = 64
@@ -126,7 +129,7 @@ def profile_aggregates(
     for name in columns:
         dtype = df.schema[name].dataType
         is_float = isinstance(dtype, T.FloatType | T.DoubleType)
-        source = F.nullif(quoted(name), F.lit(float("nan")).cast(dtype)) if is_float else quoted(name)
+        source = F.when(~F.isnan(quoted(name)), quoted(name)) if is_float else quoted(name)
         for m in registry.metrics:
             if m.accepts(dtype) and (name, m.stat) not in leave_out:
                 alias = f"_m{len(aggs)}"
@@ -241,7 +244,7 @@ def describe_numeric(
 
     `rows` is an upper bound of the row count, if the caller knows one; otherwise the
     rows are counted first. Small tables take everything in one scan; larger ones rank
-    their values over all tasks (`ranked_quantiles`). `quantiles="approx"` uses a sketch.
+    their values over all tasks (`exact_quantiles`). `quantiles="approx"` uses a sketch.
     """
     names = columns_of(df, NUMERIC) if columns is None else list(columns)
     if not names:
@@ -265,7 +268,7 @@ def describe_numeric(
             entries += [(name, stat, F.get(f"_m{i}_q", F.lit(k))) for k, stat in enumerate(QUARTILES)]
     result = long_form(numbers.agg(*aggs), entries)
     if quantiles == "exact" and not buffered:
-        ranked = ranked_quantiles(df, names, probs)
+        ranked = exact_quantiles(df, names, probs, rows)
         stat = F.coalesce(*[F.when(F.col("prob") == p, F.lit(s)) for s, p in QUARTILES.items()])
         result = result.unionByName(ranked.select("field", stat.alias("stat"), "value"))
     return drop_nan_metrics(result)

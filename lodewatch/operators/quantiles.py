@@ -1,71 +1,163 @@
-"""Exact quantiles of many columns at any size."""
+"""Exact quantiles of many columns at any size.
+
+1. A sample gives each wanted quantile a bracket of values that almost surely holds it.
+2. One scan counts: values inside a bracket by value, all others only by the gap they fall in.
+3. The counts, sorted by gap and value, are summed up to the wanted ranks.
+
+The result is exact: a rank that falls into a gap shows that its bracket missed, and the column is
+counted again without brackets.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import quoted
-from lodewatch.session import work_dir
+from lodewatch.session import stored
 
-# Up to this many rows Spark's own `percentile` is used. It keeps all distinct values of a
-# column in one aggregation buffer: at most this many entries per column.
-BUFFERED_ROWS = 1_000_000
+SAMPLE_MIN, SAMPLE_MAX = 20_000, 1_000_000
+# Half width of a bracket in standard errors of the sample's rank.
+BRACKET_SIGMAS = 5
+# Up to this many rows a column's counted values are summed in one task per column.
+ONE_TASK_ROWS = 1_000_000
 
+Intervals = list[tuple[float, float]]
 
-def as_number(df: DataFrame, column: str):
+
+def as_number(df: DataFrame, column: str) -> Column:
     """The column as double with NaN turned to NULL, as both count as missing."""
-    c = quoted(column).cast("double")
-    dtype = df.schema[column].dataType.simpleString()
-    return F.nullif(c, F.lit(float("nan"))) if dtype in ("float", "double") else c
+    c = quoted(column)
+    is_float = df.schema[column].dataType.simpleString() in ("float", "double")
+    return F.when(~F.isnan(c), c.cast("double")) if is_float else c.cast("double")
 
 
-def ranked_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """(field, prob, value) with linear interpolation between neighbouring ranks.
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], rows: int, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """(field, prob, value), interpolated linearly between neighbouring ranks.
 
-    Equal values are counted before they are shuffled, so a value held by a third of
-    all rows is one row afterwards. The counted values are range-partitioned and
-    written once; the row count of each range then tells in which ranges the wanted
-    ranks lie, and only those are read again and ranked.
+    `rows` is the number of rows, or a bound of it. The result has one row per column and
+    probability, so it is kept on the driver.
     """
-    spark = df.sparkSession
-    numbers = df.select(*[as_number(df, c).alias(c) for c in columns])
+    numbers = df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    brackets = sample_brackets(numbers, probs, rows)
+    found = _at_ranks(numbers, brackets, probs, rows <= one_task_rows)
+    missed = sorted({r["field"] for r in found if r["missed"]})
+    if missed:
+        whole = {i: [] if i in missed else brackets[i] for i in brackets}
+        found = _at_ranks(numbers, whole, probs, rows <= one_task_rows)
+    result = [(columns[r["field"]], r["prob"], r["value"]) for r in found]
+    return df.sparkSession.createDataFrame(result, "field string, prob double, value double")
+
+
+def sample_brackets(numbers: DataFrame, probs: Sequence[float], rows: int) -> dict[int, Intervals]:
+    """Disjoint value intervals around the wanted quantiles of each column; none for small inputs."""
+    columns = range(len(numbers.columns))
+    size = min(SAMPLE_MAX, max(SAMPLE_MIN, rows // 1000))
+    if rows < 5 * size:
+        return {i: [] for i in columns}
+    edges = []
+    for p in probs:
+        half = BRACKET_SIGMAS * math.sqrt(p * (1 - p) / size)
+        edges += [max(0.0, p - half), min(1.0, p + half)]
+    sample = numbers.sample(size / rows, seed=1)
+    row = sample.agg(*[F.percentile(F.col(c), edges).alias(c) for c in numbers.columns]).first()
+    return {i: _disjoint(row[f"c{i}"]) for i in columns}
+
+
+def _disjoint(edges: list[float] | None) -> Intervals:
+    merged: Intervals = []
+    for lo, hi in sorted(zip(edges[::2], edges[1::2])) if edges else []:
+        if merged and lo <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+        else:
+            merged.append((lo, hi))
+    return merged
+
+
+def _region(value: Column, intervals: Intervals) -> Column:
+    """Odd numbers for the intervals, even ones for the gaps, in the order of the values."""
+    if not intervals:
+        return F.lit(1)
+    cases = F
+    for k, (lo, hi) in enumerate(intervals):
+        cases = cases.when(value < lo, 2 * k).when(value <= hi, 2 * k + 1)
+    return cases.otherwise(2 * len(intervals))
+
+
+def _counted(numbers: DataFrame, brackets: dict[int, Intervals]) -> DataFrame:
+    """(field, region, value, n), counted on the map side first; `value` is null in gaps."""
+    names = numbers.columns
+    placed = numbers.select("*", *[_region(F.col(c), brackets[i]).alias(f"r{i}") for i, c in enumerate(names)])
     # Adding zero folds -0.0 into 0.0.
-    long = numbers.unpivot([], [quoted(c) for c in columns], "field", "value").where("value is not null")
-    counted = long.groupBy("field", (F.col("value") + F.lit(0.0)).alias("value")).agg(F.count("*").alias("n"))
-    path = work_dir(spark, "ranks")
-    counted.repartitionByRange("field", "value").select("*", F.spark_partition_id().alias("part")).write.parquet(path)
-    stored = spark.read.parquet(path)
-
-    # One row per column and range from here on.
-    parts = stored.groupBy("field", "part").agg(F.sum("n").alias("size"))
-    placed = parts.selectExpr(
-        "field",
-        "part",
+    parts = [
+        x
+        for i, c in enumerate(names)
+        for x in (F.lit(i), F.when(F.col(c).isNotNull(), F.col(f"r{i}")), F.when(F.col(f"r{i}") % 2 == 1, F.col(c) + 0.0))
+    ]
+    long = placed.select(F.stack(F.lit(len(names)), *parts).alias("field", "region", "value"))
+    return long.where("region is not null").groupBy("field", "region", "value").agg(F.count("*").alias("n"))
+
+
+def _at_ranks(numbers: DataFrame, brackets: dict[int, Intervals], probs: Sequence[float], one_task: bool) -> list:
+    """One row (field, prob, value, missed) per column that has values, and probability."""
+    counted = _counted(numbers, brackets)
+    if one_task:
+        running = counted.selectExpr(
+            "field", "value",
+            "sum(n) over (partition by field order by region, value) - n as lo",
+            "sum(n) over (partition by field order by region, value) as hi",
+            "sum(n) over (partition by field) as total",
+        )
+        hits = running.select("*", _wanted(probs)).select("*", _positions()).select("*", _ranks()).where("rank >= lo and rank < hi")
+    else:
+        hits = _hits_by_range(counted, probs)
+    fraction = F.max("position") - F.floor(F.max("position"))
+    low, high = F.min("value"), F.max("value")
+    return hits.groupBy("field", "prob").agg(
+        (low + (high - low) * fraction).alias("value"), (F.count_if(F.col("value").isNull()) > 0).alias("missed")
+    ).collect()
+
+
+def _wanted(probs: Sequence[float]) -> Column:
+    return F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
+
+
+def _positions() -> Column:
+    return ((F.col("total") - 1) * F.col("prob")).alias("position")
+
+
+def _ranks() -> Column:
+    return F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank")
+
+
+def _hits_by_range(counted: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """The counted values at the wanted ranks, summed over all tasks.
+
+    The counts are range-partitioned and written once, each with the number of its range. The row
+    count of each range (one row per column and range) tells which ranges hold a wanted rank; only
+    those are read again and summed value by value.
+    """
+    ranges = stored(
+        counted.repartitionByRange("field", "region", "value").select("*", F.spark_partition_id().alias("part")), "ranks"
+    )
+    placed = ranges.groupBy("field", "part").agg(F.sum("n").alias("size")).selectExpr(
+        "field", "part",
         "sum(size) over (partition by field order by part) - size as first_rank",
         "sum(size) over (partition by field order by part) as end_rank",
         "sum(size) over (partition by field) as total",
     )
-    wanted = placed.select(
-        "*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ).withColumn("position", (F.col("total") - 1) * F.col("prob"))
-    ranks = wanted.select(
-        "field", "part", "first_rank", "end_rank", "prob", "position",
-        F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"),
-    ).where("rank >= first_rank and rank < end_rank")
-
-    needed = ranks.select("field", "part", "first_rank").distinct()
-    running = stored.join(needed, ["field", "part"]).selectExpr(
-        "field",
-        "part",
-        "value",
-        "first_rank + sum(n) over (partition by field, part order by value) - n as lo",
-        "first_rank + sum(n) over (partition by field, part order by value) as hi",
+    wanted = placed.select("*", _wanted(probs)).select("*", _positions()).select("*", _ranks())
+    wanted = wanted.where("rank >= first_rank and rank < end_rank")
+    needed = wanted.select("field", "part", "first_rank").distinct()
+    running = ranges.join(needed, ["field", "part"]).selectExpr(
+        "field", "part", "value",
+        "first_rank + sum(n) over (partition by field, part order by region, value) - n as lo",
+        "first_rank + sum(n) over (partition by field, part order by region, value) as hi",
     )
-    # A range holds few wanted ranks, so this join is one row per wanted rank.
-    hits = running.join(ranks.drop("first_rank", "end_rank"), ["field", "part"]).where("rank >= lo and rank < hi")
-    frac = F.max("position") - F.floor(F.max("position"))
-    low, high = F.min("value"), F.max("value")
-    return hits.groupBy("field", "prob").agg((low + (high - low) * frac).alias("value"))
+    ranks = wanted.select("field", "part", "prob", "position", "rank")
+    return running.join(ranks, ["field", "part"]).where("rank >= lo and rank < hi")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodewatch.functions import sqltext
 from lodewatch.functions.keys import strip_tmp
 from lodewatch.operators.lineage import lineage_direct_or_full
+from lodewatch.session import stored
 
 
 def split_statements(log: DataFrame, sql: str = "sql") -> DataFrame:
@@ -24,24 +25,29 @@ def drop_internal(log: DataFrame, sql: str = "sql") -> DataFrame:
     return log.where(~sqltext.is_internal(sql))
 
 
-def statement_tables(log: DataFrame, sql: str = "sql") -> DataFrame:
-    """Adds `stmt_type`, `inputs` and `outputs` (three-part names only) to each statement."""
-    rest = [c for c in log.columns if c != sql]
-    clean = log.select(*rest, sqltext.clean_sql(sql).alias("_clean"))
-    return clean.select(
+def statement_tables(statements: DataFrame, clean: str = "sql") -> DataFrame:
+    """Replaces the cleaned text of each statement by `stmt_type`, `inputs` and `outputs`
+    (three-part names only)."""
+    rest = [c for c in statements.columns if c != clean]
+    return statements.select(
         *rest,
-        sqltext.statement_type("_clean").alias("stmt_type"),
-        sqltext.qualified_only(sqltext.input_tables("_clean")).alias("inputs"),
-        sqltext.qualified_only(sqltext.output_tables("_clean")).alias("outputs"),
+        sqltext.statement_type(clean).alias("stmt_type"),
+        sqltext.qualified_only(sqltext.input_tables(clean)).alias("inputs"),
+        sqltext.qualified_only(sqltext.output_tables(clean)).alias("outputs"),
     )
 
 
 def tracked_statements(log: DataFrame, sql: str = "sql") -> DataFrame:
-    """Statements that write a table: split, without internal and untracked ones."""
+    """Statements that write a table: split, without internal and untracked ones.
+
+    The parsed statements are written once; the steps of the lineage read them several times.
+    """
     # Literals go first: a semicolon inside one does not end a statement.
     masked = log.withColumn(sql, sqltext.clean_sql(sqltext.bind_params(sql)))
-    typed = statement_tables(drop_internal(split_statements(masked, sql), sql), sql)
-    return typed.where(F.col("stmt_type") != sqltext.UNTRACKED)
+    internal = sqltext.is_internal(sql).alias("internal")
+    parsed = statement_tables(split_statements(masked, sql).select("*", internal), sql)
+    tracked = (F.col("stmt_type") != sqltext.UNTRACKED) & ~F.col("internal")
+    return stored(parsed, "statements").where(tracked).drop("internal")
 
 
 def statement_lineage(log: DataFrame, table_fields: DataFrame, seeds: DataFrame | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -12,7 +13,13 @@ from pyspark.sql import functions as F
 from lodewatch.functions.keys import DIRTY_SUFFIX, md5_of
 from lodewatch.operators import transform
 from lodewatch.operators.entities import frame_ids
-from lodewatch.operators.profile import default_registry, observe_frame_metrics, observed_rows, profile_table
+from lodewatch.operators.profile import (
+    default_registry,
+    metrics_long_to_map,
+    observe_frame_metrics,
+    observed_rows,
+    profile_table,
+)
 from lodewatch.sources.observations import write_observations
 
 
@@ -81,27 +88,31 @@ class ObservedSession:
         repo_id = md5_of(repo, app_id)
         version_id = md5_of(version, author_id, repo_id)
         self.execution_id = md5_of(version_id, user_id)
-        self._emit("id string, name string", [(app_id, app), *{(author_id, author), (user_id, user)}])
-        self._emit("id string, location string, application string", [(repo_id, repo, app_id)])
-        self._emit(
-            "id string, version string, user string, application_repository string",
-            [(version_id, version, author_id, repo_id)],
-        )
-        self._emit(
-            "id string, application_version string, user string", [(self.execution_id, version_id, user_id)]
-        )
+        self._pending: list[tuple[str]] = []
+        self._emit(id=app_id, name=app)
+        for person, name in {author_id: author, user_id: user}.items():
+            self._emit(id=person, name=name)
+        self._emit(id=repo_id, location=repo, application=app_id)
+        self._emit(id=version_id, version=version, user=author_id, application_repository=repo_id)
+        self._emit(id=self.execution_id, application_version=version_id, user=user_id)
         self._profiled: dict[str, DataFrame] = {}
 
-    def _emit(self, schema: str, rows: list[tuple]) -> None:
-        write_observations(self.spark.createDataFrame(rows, schema), f"{self.log}/entities")
+    def _emit(self, **columns) -> None:
+        """Takes one entity row; the rows of a read or write go to the log together."""
+        self._pending.append((json.dumps(columns, separators=(",", ":"), ensure_ascii=False),))
+
+    def flush(self) -> None:
+        """Appends the entities taken so far, a few rows per observed write, to the log."""
+        if self._pending:
+            lines = self.spark.createDataFrame(self._pending, "value string").coalesce(1)
+            lines.write.mode("append").text(f"{self.log}/entities")
+            self._pending = []
 
     def _emit_source(self, df: DataFrame, location: str, fmt: str, hints: dict[str, str] | None) -> Source:
         source_id, schema_id, rows = frame_ids(df, location, fmt, hints, self.dtype_style)
         fields = tuple((r[1], r[2]) for r in rows)
-        self._emit("id string, location string, format string", [(source_id, location, fmt)])
-        self._emit(
-            "id string, fields map<string,string>, data_source string", [(schema_id, dict(fields), source_id)]
-        )
+        self._emit(id=source_id, location=location, format=fmt)
+        self._emit(id=schema_id, fields=dict(fields), data_source=source_id)
         return Source(location, fmt, source_id, schema_id, fields, df)
 
     def read(
@@ -139,16 +150,11 @@ class ObservedSession:
         lineage_id = md5_of(
             target.schema_id + ",".join(f"{o}:{'-'.join(i)}" for _, m in mapping for o, i in m.items())
         )
-        self._emit(
-            "id string, schema string, "
-            "input_schemas_mapping array<struct<schema:string,mapping:map<string,array<string>>>>",
-            [(lineage_id, target.schema_id, [(s.schema_id, m) for s, m in mapping])],
-        )
+        inputs = [{"schema": s.schema_id, "mapping": m} for s, m in mapping]
+        self._emit(id=lineage_id, schema=target.schema_id, input_schemas_mapping=inputs)
         run_id = md5_of(lineage_id, self.execution_id, self.start)
-        self._emit(
-            "id string, lineage string, application_execution string, start_time string",
-            [(run_id, lineage_id, self.execution_id, self.start)],
-        )
+        self._emit(id=run_id, lineage=lineage_id, application_execution=self.execution_id, start_time=self.start)
+        self.flush()
         if self.profile_inputs:
             for source in frame.inputs:
                 self._emit_metrics(self._input_profile(source), source.schema_id, run_id)
@@ -186,3 +192,13 @@ class ObservedSession:
 
     def metrics(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.log}/metrics")
+
+    def export_metrics(self) -> None:
+        """Appends the metrics to the entity log as JSON lines, one object per schema and run."""
+        keys = ["metrics_id", "schema_id", "lineage_execution_id"]
+        maps = metrics_long_to_map(self.metrics(), keys)
+        lines = maps.select(
+            F.col("metrics_id").alias("id"), "metrics", F.col("schema_id").alias("schema"),
+            F.col("lineage_execution_id").alias("lineage_execution"),
+        )
+        write_observations(lines, f"{self.log}/entities")

@@ -10,7 +10,7 @@ from lodewatch.operators import entities, lineage
 from lodewatch.plans.observe import ObservedFrame, ObservedSession
 from lodewatch.plans.registry import query
 from lodewatch.plans.universe import FACTS_SQL, FILES_SQL, LINEAGE_SQL, RUNS_SQL
-from lodewatch.session import work_dir
+from lodewatch.session import stored, work_dir
 
 EDGE_SQL = (
     "CAST(row_number() OVER (PARTITION BY ck, ok ORDER BY pos) - 1 AS INTEGER) AS edge_ord, output_field, input_fields"
@@ -84,35 +84,39 @@ def g14(u):
     return texts.select(F.col("lineage_key").alias("ck"), F.col("input_ord").alias("ok"), "text", "n_edges")
 
 
-def _executions(u):
-    rows = lineage.lineages(universe_lineage(u, lineage.lineage_direct), u.outputs())
-    run = u.run_entities()["run"]
+def _lineages(u):
+    """The lineage table, written once: executions and facts refer to it."""
+    return stored(lineage.lineages(universe_lineage(u, lineage.lineage_direct), u.outputs()), "lineage")
+
+
+def _executions(u, lineage_rows, run=None):
+    run = u.run_entities()["run"] if run is None else run
     runs = run.select(F.col("run_id").alias("lineage_key"), "app_execution", F.col("start").alias("start_time"))
-    return lineage.lineage_executions(rows, runs)
+    return lineage.lineage_executions(lineage_rows, runs)
 
 
 @query("h6_lineage_execution", f"WITH {FACTS_SQL} SELECT id, lineage, application_execution, start_time FROM lineage_execution")
 def h6(u):
-    return _executions(u)
+    return _executions(u, _lineages(u))
 
 
-def _facts(u, executions):
+def _facts(u, lineage_rows, executions, schema):
     """Metrics of every order file, attached to the run of the report that read it."""
-    schema = u.order_schemas()
     metrics = u.order_metrics().join(schema.select("ok", "schema_id"), "ok").drop("ok")
-    outputs = u.outputs()
+    by_id = lineage_rows.select("lineage_key", "schema_id", F.col("id").alias("lineage_id"))
     inputs = schema.select(F.col("ck").alias("lineage_key"), F.col("schema_id").alias("input_schema_id"))
-    lineage_rows = lineage.lineages(universe_lineage(u, lineage.lineage_direct), outputs)
-    by_id = lineage_rows.select("lineage_key", F.col("id").alias("lineage_id"))
-    uses = entities.metric_uses(
-        executions, inputs.join(by_id, "lineage_key"), outputs.join(by_id, "lineage_key")
-    )
+    uses = entities.metric_uses(executions, inputs.join(by_id.drop("schema_id"), "lineage_key"), by_id)
     return entities.metrics_rows(metrics, uses)
 
 
+def _all_facts(u):
+    lineage_rows = _lineages(u)
+    return _facts(u, lineage_rows, _executions(u, lineage_rows), u.order_schemas())
+
+
 @query("h7_metrics_rows", f"WITH {FACTS_SQL} SELECT metrics_id, schema_id, lineage_execution_id, field, stat, value FROM facts")
 def h7(u):
-    return _facts(u, _executions(u))
+    return _all_facts(u)
 
 
 @query(
@@ -123,10 +127,11 @@ SELECT f.metrics_id, f.field, f.stat, f.value, s.location, 'parquet' AS format,
 FROM facts f JOIN order_sources s ON f.ok = s.ok JOIN executions e ON e.run_id = f.ck""",
 )
 def c1(u):
-    executions = _executions(u)
-    facts = _facts(u, executions)
+    lineage_rows, schema = _lineages(u), stored(u.order_schemas(), "schemas")
+    executions = stored(_executions(u, lineage_rows), "executions")
+    facts = _facts(u, lineage_rows, executions, schema)
     resolved = entities.resolve_executions(executions, u.run_entities())
-    wide = entities.resolve_refs(facts, u.order_schemas(), u.data_source_rows(), resolved)
+    wide = entities.resolve_refs(facts, schema, u.data_source_rows(), resolved)
     return wide.select(
         "metrics_id", "field", "stat", "value", "location", "format", "start_time", "version",
         "author_name", "repository_location", "application_name", "user_name",
@@ -137,12 +142,12 @@ ORPHANS_SQL = f"WITH {FACTS_SQL} SELECT metrics_id, field, stat, value FROM fact
 
 
 def _orphans(u):
-    executions = _executions(u)
+    """Only the runs of clean code are known; the metrics of the others are orphans."""
+    lineage_rows = _lineages(u)
     clean = u.run_entities()["run"].join(u.customer.where("c_acctbal >= 0"), F.col("run_id") == F.col("c_custkey"))
-    runs = clean.select(F.col("run_id").alias("lineage_key"), "app_execution", F.col("start").alias("start_time"))
-    rows = lineage.lineages(universe_lineage(u, lineage.lineage_direct), u.outputs())
-    known = lineage.lineage_executions(rows, runs)
-    return entities.orphan_metrics(_facts(u, executions), known).select("metrics_id", "field", "stat", "value")
+    known = _executions(u, lineage_rows, clean)
+    facts = _facts(u, lineage_rows, _executions(u, lineage_rows), u.order_schemas())
+    return entities.orphan_metrics(facts, known).select("metrics_id", "field", "stat", "value")
 
 
 @query("c4_orphan_anti_join", ORPHANS_SQL)
@@ -186,7 +191,7 @@ def h12(u):
 
 @query("h13_execution_summary", f"WITH {FACTS_SQL} SELECT lineage_execution_id, count(*) AS n, round(sum(value), 2) AS total FROM facts GROUP BY 1")
 def h13(u):
-    summary = entities.execution_summary(_facts(u, _executions(u)))
+    summary = entities.execution_summary(_all_facts(u))
     values = summary.select("lineage_execution_id", F.explode("metrics").alias("key", "value"))
     return values.groupBy("lineage_execution_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 

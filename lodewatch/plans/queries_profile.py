@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodewatch.operators import profile, transform
+from lodewatch.operators.quantiles import exact_quantiles
 from lodewatch.plans.queries_transform import DELTA, delta
 from lodewatch.plans.registry import query
 from lodewatch.sources.tables import external_table
@@ -90,10 +91,9 @@ def d1(u):
     stat_sql("orders", {c: {s: a for s, a in describe_sql(c).items() if "%" in s} for c in ("o_totalprice", "o_custkey")}),
 )
 def d1_ranked(u):
-    """Quartiles by distributed ranks, the way taken for tables beyond one buffer."""
-    from lodewatch.operators.quantiles import ranked_quantiles
-
-    ranked = ranked_quantiles(u.orders, ["o_totalprice", "o_custkey"], [0.25, 0.5, 0.75])
+    """Quartiles summed over all tasks, the way taken for tables beyond one task per column."""
+    columns = ["o_totalprice", "o_custkey"]
+    ranked = exact_quantiles(u.orders, columns, [0.25, 0.5, 0.75], u.orders.count(), one_task_rows=0)
     percent = F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
     return rounded(ranked.select("field", percent.alias("stat"), "value"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import iso_time, md5_key
 from lodewatch.operators.entities import app_run_rows, data_sources, schemas
+from lodewatch.session import spread
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -144,7 +145,7 @@ class Universe:
 
     def messages(self, events: DataFrame | None = None) -> DataFrame:
         """(type, namespace, stream, offset, data) of all events; also of a streaming read of them."""
-        return (self.events if events is None else events).selectExpr(*MESSAGE_COLUMNS)
+        return (spread(self.events) if events is None else events).selectExpr(*MESSAGE_COLUMNS)
 
     def chat_messages(self, conversations: DataFrame | None = None) -> DataFrame:
         """(stream, offset, data) of all conversation turns, the stream named by the role."""
@@ -167,7 +168,7 @@ class Universe:
 
     def query_log(self) -> DataFrame:
         """(stmt_id, sql) of all orders."""
-        return self.orders.selectExpr("o_orderkey AS stmt_id", f"{LOG_SQL} AS sql")
+        return spread(self.orders).selectExpr("o_orderkey AS stmt_id", f"{LOG_SQL} AS sql")
 
     def table_fields(self) -> DataFrame:
         """(table_name, pos, name) of all tables named in the log."""

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -42,3 +42,27 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="lodewatch-")
         spark.sparkContext.setCheckpointDir(root)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table written to the shared work folder.
+
+    For results that several later steps read: they are computed once, the plan behind them ends
+    here, and the table outlives a lost executor.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spreads a scan that has fewer splits than the session has cores over all cores.
+
+    For work that is heavy per row (JSON, regular expressions) on a few large splits. A scan with
+    enough splits, as any large one has, is returned as it is. Only for plain scans: asking a plan
+    with a shuffle for its partitions would run it.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.functions.messages import explode_fields, field_amount, json_type
+from lodewatch.functions.messages import explode_fields, field_amount, json_type_of
 
 METRIC_KINDS = ("number", "string")
 UNKNOWN = "unknown"
@@ -80,25 +80,36 @@ def record_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
     A field whose JSON type is not among its declared types breaks the rule; an undeclared field
     breaks none; a payload that is no JSON object is a violation itself.
     """
-    checked = messages.join(declared, "stream", "left").withColumn("_v", F.try_parse_json("data"))
-    is_object = F.coalesce(json_type("_v") == "object", F.lit(False))
-    entries = F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>"))
-    # Only entries of declared fields can break a rule.
-    broken = F.transform(
-        entries,
-        lambda e: F.when(
-            ~_allowed(F.try_element_at(F.col("declared"), e["key"]), json_type(e["value"])),
-            F.concat(
-                F.lit("$."), e["key"], F.lit(": "), json_type(e["value"]), F.lit(" found, "),
-                F.array_join(F.try_element_at(F.col("declared"), e["key"]), " or "), F.lit(" expected"),
-            ),
+    parsed = messages.select("*", F.try_parse_json("data").alias("_v"))
+    # The type of each field is taken once, as text, before the rules look at it.
+    found = F.transform(
+        F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")),
+        lambda e: F.struct(e["key"].alias("field"), F.schema_of_variant(e["value"]).alias("schema")),
+    )
+    checked = parsed.select(*messages.columns, found.alias("_found")).join(declared, "stream", "left")
+    entries = F.transform(
+        "_found",
+        lambda f: F.struct(
+            f["field"].alias("field"),
+            json_type_of(f["schema"]).alias("type"),
+            F.try_element_at(F.col("declared"), f["field"]).alias("types"),
+        ),
+    )
+    broken = F.filter(entries, lambda e: ~_allowed(e["types"], e["type"]))
+    texts = F.transform(
+        broken,
+        lambda e: F.concat(
+            F.lit("$."), e["field"], F.lit(": "), e["type"], F.lit(" found, "),
+            F.array_join(e["types"], " or "), F.lit(" expected"),
         ),
     )
-    violations = F.when(is_object, F.array_compact(broken)).otherwise(F.array(F.lit("$: object expected")))
-    return checked.withColumn("violations", violations).drop("_v", "declared")
+    # Only a JSON object can be taken as a map.
+    violations = F.when(F.col("_found").isNotNull(), texts).otherwise(F.array(F.lit("$: object expected")))
+    return checked.select(*messages.columns, violations.alias("violations"))
 
 
 def _allowed(types, found):
+    """Null, and so neither allowed nor broken, for an undeclared field."""
     return F.array_contains(types, found) | ((found == "integer") & F.array_contains(types, "number"))
 
 
