@@ -59,7 +59,8 @@ def explode_fields(messages: DataFrame, data: str = "data") -> DataFrame:
     rest = [c for c in messages.columns if c != data]
     parsed = messages.select(*rest, F.try_parse_json(F.col(data)).alias("_payload"))
     exploded = parsed.lateralJoin(spark.tvf.variant_explode(F.col("_payload").outer()).alias("_f"))
-    return exploded.select(
+    # The elements of an array have no key.
+    return exploded.where("_f.key is not null").select(
         *rest,
         F.col("_f.key").alias("field"),
         json_kind(F.col("_f.value")).alias("kind"),

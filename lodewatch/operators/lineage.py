@@ -139,25 +139,32 @@ def input_texts(edges: DataFrame) -> DataFrame:
     )
 
 
-def _chain_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """md5 over the sorted texts of each lineage, holding one digest at a time."""
-    key, schema_id, digest, edges, first = None, None, None, 0, True
-    for batch in batches:
-        done = []
-        for k, order, n, text in zip(batch["lineage_key"], batch["input_ord"], batch["n_edges"], batch["text"]):
-            if order < 0:
-                if key is not None:
-                    done.append((digest.hexdigest(), key, schema_id, edges))
-                key, schema_id, edges, first = k, text, 0, True
-                digest = hashlib.md5(text.encode("utf-8"))
-                continue
-            digest.update((text if first else "," + text).encode("utf-8"))
-            first, edges = False, edges + n
-        yield pd.DataFrame(done, columns=["id", "lineage_key", "schema_id", "n_edges"])
-    if key is not None:
-        yield pd.DataFrame(
-            [(digest.hexdigest(), key, schema_id, edges)], columns=["id", "lineage_key", "schema_id", "n_edges"]
-        )
+def _chain_digest():
+    """md5 over the sorted texts of each lineage, holding one digest at a time.
+
+    The function is made here, so that Spark ships its code and the executors need not have this
+    package installed.
+    """
+    columns = ["id", "lineage_key", "schema_id", "n_edges"]
+
+    def digest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, schema_id, digest, edges, first = None, None, None, 0, True
+        for batch in batches:
+            done = []
+            for k, order, n, text in zip(batch["lineage_key"], batch["input_ord"], batch["n_edges"], batch["text"]):
+                if order < 0:
+                    if digest is not None:
+                        done.append((digest.hexdigest(), key, schema_id, edges))
+                    key, schema_id, edges, first = k, text, 0, True
+                    digest = hashlib.md5(text.encode("utf-8"))
+                    continue
+                digest.update((text if first else "," + text).encode("utf-8"))
+                first, edges = False, edges + n
+            yield pd.DataFrame(done, columns=columns)
+        if digest is not None:
+            yield pd.DataFrame([(digest.hexdigest(), key, schema_id, edges)], columns=columns)
+
+    return digest_rows
 
 
 def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -175,7 +182,7 @@ def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
     chunks = input_texts(edges).withColumn("input_ord", F.col("input_ord").cast("long"))
     key_type = outputs.schema["lineage_key"].dataType.simpleString()
     ordered = heads.unionByName(chunks).repartition("lineage_key").sortWithinPartitions("lineage_key", "input_ord")
-    return ordered.mapInPandas(_chain_digest, f"id string, lineage_key {key_type}, schema_id string, n_edges long")
+    return ordered.mapInPandas(_chain_digest(), f"id string, lineage_key {key_type}, schema_id string, n_edges long")
 
 
 def lineage_executions(lineage_rows: DataFrame, runs: DataFrame) -> DataFrame:

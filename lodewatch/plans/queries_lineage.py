@@ -111,7 +111,7 @@ def _facts(u, lineage_rows, executions, schema):
 
 def _all_facts(u):
     lineage_rows = _lineages(u)
-    return _facts(u, lineage_rows, _executions(u, lineage_rows), u.order_schemas())
+    return _facts(u, lineage_rows, _executions(u, lineage_rows), stored(u.order_schemas(), "schemas"))
 
 
 @query("h7_metrics_rows", f"WITH {FACTS_SQL} SELECT metrics_id, schema_id, lineage_execution_id, field, stat, value FROM facts")
@@ -146,7 +146,7 @@ def _orphans(u):
     lineage_rows = _lineages(u)
     clean = u.run_entities()["run"].join(u.customer.where("c_acctbal >= 0"), F.col("run_id") == F.col("c_custkey"))
     known = _executions(u, lineage_rows, clean)
-    facts = _facts(u, lineage_rows, _executions(u, lineage_rows), u.order_schemas())
+    facts = _facts(u, lineage_rows, _executions(u, lineage_rows), stored(u.order_schemas(), "schemas"))
     return entities.orphan_metrics(facts, known).select("metrics_id", "field", "stat", "value")
 
 
