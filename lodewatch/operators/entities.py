@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodewatch.functions.keys import dirty_author, dirty_version, md5_key, md5_of, schema_key, sorted_fields
+from lodewatch.functions.keys import dirty_author, dirty_version, md5_key, md5_of, schema_key, sorted_fields, strip_tmp
+from lodewatch.operators.profile import metrics_long_to_map
+from lodewatch.operators.skew import salted_join
 from lodewatch.sources.tables import FIELD_SCHEMA, field_rows
 
 
@@ -108,8 +110,6 @@ def schema_changes(schema_rows: DataFrame) -> DataFrame:
 
 def unify_sources(names: DataFrame, name: str = "name") -> DataFrame:
     """Temporary and final names are one source: distinct final names."""
-    from lodewatch.functions.keys import strip_tmp
-
     return names.select(strip_tmp(name).alias(name)).distinct()
 
 
@@ -138,7 +138,7 @@ def resolve_executions(lineage_execution: DataFrame, entities: dict[str, DataFra
             "version", "author_name", "repository_location", "application_name", "user_name",
         )
     )
-    return lineage_execution.join(execution, "application_execution", "left")
+    return salted_join(lineage_execution, execution, "application_execution", "left")
 
 
 def resolve_refs(
@@ -147,14 +147,16 @@ def resolve_refs(
     """One wide fact row per metric.
 
     `metrics`: metrics_id, schema_id, lineage_execution_id, field, stat, value;
-    `executions`: result of `resolve_executions`. The facts are shuffled twice at most:
-    on the schema and on the execution.
+    `executions`: result of `resolve_executions`. The facts are shuffled twice at most: on the
+    schema and on the execution. They are read once more to find hot keys, so they had better be a
+    stored table.
     """
     located = schema.select("schema_id", "data_source_id").join(
         data_source.select(F.col("id").alias("data_source_id"), "location", "format"), "data_source_id", "left"
     )
     runs = executions.withColumnRenamed("id", "lineage_execution_id")
-    return metrics.join(located, "schema_id", "left").join(runs, "lineage_execution_id", "left")
+    with_location = salted_join(metrics, located, "schema_id", "left")
+    return salted_join(with_location, runs, "lineage_execution_id", "left", counted=metrics)
 
 
 def metric_uses(
@@ -164,12 +166,16 @@ def metric_uses(
     runs = lineage_execution.select(F.col("id").alias("lineage_execution_id"), F.col("lineage").alias("lineage_id"))
     read = inputs.select("lineage_id", F.col("input_schema_id").alias("schema_id"))
     written = outputs.select("lineage_id", "schema_id")
-    return runs.join(read.unionByName(written).distinct(), "lineage_id").select("schema_id", "lineage_execution_id")
+    uses = salted_join(runs, read.unionByName(written).distinct(), "lineage_id")
+    return uses.select("schema_id", "lineage_execution_id")
 
 
 def metrics_rows(metrics: DataFrame, uses: DataFrame) -> DataFrame:
-    """Attaches the metrics of a schema, taken once, to every execution that used it."""
-    return metrics.join(uses, "schema_id").select(
+    """Attaches the metrics of a schema, taken once, to every execution that used it.
+
+    `uses` is read once more to find the schemas that very many executions use.
+    """
+    return salted_join(uses, metrics, "schema_id").select(
         md5_key("schema_id", "lineage_execution_id").alias("metrics_id"),
         "schema_id", "lineage_execution_id", "field", "stat", "value",
     )
@@ -178,13 +184,11 @@ def metrics_rows(metrics: DataFrame, uses: DataFrame) -> DataFrame:
 def orphan_metrics(metrics: DataFrame, lineage_execution: DataFrame) -> DataFrame:
     """Metrics that no known lineage execution explains."""
     known = lineage_execution.select(F.col("id").alias("lineage_execution_id"))
-    return metrics.join(known, "lineage_execution_id", "left_anti")
+    return salted_join(metrics, known, "lineage_execution_id", "left_anti")
 
 
 def execution_summary(metrics: DataFrame) -> DataFrame:
     """All input and output metrics of an execution: one map per schema it touched."""
-    from lodewatch.operators.profile import metrics_long_to_map
-
     return metrics_long_to_map(metrics, ["lineage_execution_id", "schema_id"])
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import md5_key
+from lodewatch.operators.skew import salted_join
 
 EDGE_COLUMNS = ["lineage_key", "input_ord", "input_schema_id", "edge_ord", "output_field", "input_fields"]
 # Added edges come after all positions a field of a schema can have.
@@ -42,7 +43,9 @@ def paired(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataF
     """Each input of a lineage with its own field names and those of the output."""
     ins = packed(fields, "schema_id").select(F.col("schema_id").alias("input_schema_id"), F.col("names").alias("in_names"))
     outs = packed(out_fields, "lineage_key").withColumnRenamed("names", "out_names")
-    return inputs.join(ins, "input_schema_id").join(outs, "lineage_key")
+    # Every join keeps at most the rows of `inputs`, on which the hot keys are counted.
+    with_fields = salted_join(inputs, ins, "input_schema_id")
+    return salted_join(with_fields, outs, "lineage_key", counted=inputs)
 
 
 def _direct(in_names: Column, out_names: Column) -> Column:
@@ -100,7 +103,7 @@ def lineage_extra(direct: DataFrame, extra: DataFrame) -> DataFrame:
 
 def field_match_join(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
     """The same direct edges as one row per matching pair of fields, by an equi-join on the name."""
-    ins = inputs.join(fields.withColumnRenamed("schema_id", "input_schema_id"), "input_schema_id")
+    ins = salted_join(inputs, fields.withColumnRenamed("schema_id", "input_schema_id"), "input_schema_id")
     return ins.join(out_fields.select("lineage_key", "name"), ["lineage_key", "name"]).select(
         "lineage_key", "input_ord", "input_schema_id", F.col("pos").alias("edge_ord"), F.col("name").alias("field")
     )
@@ -110,7 +113,8 @@ def field_cross_counts(out_fields: DataFrame, inputs: DataFrame, fields: DataFra
     """Number of field pairs of a full mapping per input, without building the pairs."""
     widths = fields.groupBy(F.col("schema_id").alias("input_schema_id")).agg(F.count("*").alias("n_in"))
     outs = out_fields.groupBy("lineage_key").agg(F.count("*").alias("n_out"))
-    return inputs.join(widths, "input_schema_id").join(outs, "lineage_key").select(
+    with_widths = salted_join(inputs, widths, "input_schema_id")
+    return salted_join(with_widths, outs, "lineage_key", counted=inputs).select(
         "lineage_key", "input_ord", "input_schema_id", (F.col("n_in") * F.col("n_out")).alias("n_pairs")
     )
 
@@ -187,7 +191,7 @@ def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
 
 def lineage_executions(lineage_rows: DataFrame, runs: DataFrame) -> DataFrame:
     """Execution rows of lineages; `runs`: lineage_key, app_execution, start_time (ISO text)."""
-    joined = runs.join(lineage_rows.select("lineage_key", F.col("id").alias("lineage")), "lineage_key")
+    joined = salted_join(runs, lineage_rows.select("lineage_key", F.col("id").alias("lineage")), "lineage_key")
     return joined.select(
         md5_key("lineage", "app_execution", "start_time").alias("id"),
         "lineage",

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import quoted
+from lodewatch.operators.profile import long_form
+from lodewatch.operators.skew import salted_join
 
 TEST_PERCENT = 33
 
@@ -58,7 +60,7 @@ def predict_linear_by(
     df: DataFrame, lines: DataFrame, feature: str, groups: Sequence[str], name: str = "prediction"
 ) -> DataFrame:
     """Scores rows with the line of their group."""
-    scored = df.join(lines, list(groups), "left")
+    scored = salted_join(df, lines, groups, "left")
     return scored.withColumn(name, F.col("slope") * quoted(feature) + F.col("intercept")).drop("slope", "intercept")
 
 
@@ -76,8 +78,6 @@ def model_metrics(spark: SparkSession, model: LinearRegressionModel) -> DataFram
     wide = weights.agg(
         (F.count("*") + 1).alias("_m_n"), F.min("weight").alias("_m_min"), F.max("weight").alias("_m_max")
     )
-    from lodewatch.operators.profile import long_form
-
     return long_form(
         wide, [("", "n_parameters", F.col("_m_n")), ("weight", "min", F.col("_m_min")), ("weight", "max", F.col("_m_max"))]
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodewatch.functions import sqltext
 from lodewatch.functions.keys import strip_tmp
 from lodewatch.operators.lineage import lineage_direct_or_full
+from lodewatch.operators.skew import salted_join
 from lodewatch.session import stored
 
 
@@ -72,7 +73,8 @@ def statement_lineage(log: DataFrame, table_fields: DataFrame, seeds: DataFrame
         "lineage_key", "input_ord", strip_tmp("t").alias("input_schema_id")
     )
     fields = table_fields.withColumnRenamed("table_name", "schema_id")
-    out_fields = keyed.select("lineage_key", F.col("output").alias("table_name")).join(table_fields, "table_name")
+    targets = keyed.select("lineage_key", F.col("output").alias("table_name"))
+    out_fields = salted_join(targets, table_fields, "table_name")
     return lineage_direct_or_full(out_fields.select("lineage_key", "pos", "name"), inputs, fields)
 
 

@@ -106,11 +106,11 @@ def _facts(u, lineage_rows, executions, schema):
     by_id = lineage_rows.select("lineage_key", "schema_id", F.col("id").alias("lineage_id"))
     inputs = schema.select(F.col("ck").alias("lineage_key"), F.col("schema_id").alias("input_schema_id"))
     uses = entities.metric_uses(executions, inputs.join(by_id.drop("schema_id"), "lineage_key"), by_id)
-    return entities.metrics_rows(metrics, uses)
+    return entities.metrics_rows(metrics, stored(uses, "uses"))
 
 
-def _all_facts(u):
-    lineage_rows = _lineages(u)
+def _all_facts(u, lineage_rows=None):
+    lineage_rows = _lineages(u) if lineage_rows is None else lineage_rows
     return _facts(u, lineage_rows, _executions(u, lineage_rows), stored(u.order_schemas(), "schemas"))
 
 
@@ -129,7 +129,7 @@ FROM facts f JOIN order_sources s ON f.ok = s.ok JOIN executions e ON e.run_id =
 def c1(u):
     lineage_rows, schema = _lineages(u), stored(u.order_schemas(), "schemas")
     executions = stored(_executions(u, lineage_rows), "executions")
-    facts = _facts(u, lineage_rows, executions, schema)
+    facts = stored(_facts(u, lineage_rows, executions, schema), "facts")
     resolved = entities.resolve_executions(executions, u.run_entities())
     wide = entities.resolve_refs(facts, schema, u.data_source_rows(), resolved)
     return wide.select(
@@ -146,7 +146,7 @@ def _orphans(u):
     lineage_rows = _lineages(u)
     clean = u.run_entities()["run"].join(u.customer.where("c_acctbal >= 0"), F.col("run_id") == F.col("c_custkey"))
     known = _executions(u, lineage_rows, clean)
-    facts = _facts(u, lineage_rows, _executions(u, lineage_rows), stored(u.order_schemas(), "schemas"))
+    facts = stored(_all_facts(u, lineage_rows), "facts")
     return entities.orphan_metrics(facts, known).select("metrics_id", "field", "stat", "value")
 
 

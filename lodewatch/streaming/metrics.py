@@ -11,6 +11,9 @@ from lodewatch.functions.messages import explode_fields, field_amount, json_type
 
 METRIC_KINDS = ("number", "string")
 UNKNOWN = "unknown"
+# Up to this many streams the declared types are sent to all tasks.
+BROADCAST_STREAMS = 10_000
+STREAM_SALTS = 32
 
 
 def field_running_metrics(messages: DataFrame) -> DataFrame:
@@ -86,7 +89,7 @@ def record_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
         F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")),
         lambda e: F.struct(e["key"].alias("field"), F.schema_of_variant(e["value"]).alias("schema")),
     )
-    checked = parsed.select(*messages.columns, found.alias("_found")).join(declared, "stream", "left")
+    checked = _with_declared(parsed.select(*messages.columns, found.alias("_found")), declared)
     entries = F.transform(
         "_found",
         lambda f: F.struct(
@@ -108,6 +111,19 @@ def record_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
     return checked.select(*messages.columns, violations.alias("violations"))
 
 
+def _with_declared(messages: DataFrame, declared: DataFrame) -> DataFrame:
+    """Joins the declared types; a stream may hold a third of all messages.
+
+    The declared side is one row per stream. It is counted, and sent to all tasks if it is small;
+    otherwise the messages are salted and its rows repeated, which works for streaming frames too.
+    """
+    if declared.count() <= BROADCAST_STREAMS:
+        return messages.join(F.broadcast(declared), "stream", "left")
+    salted = messages.withColumn("_salt", F.pmod(F.xxhash64("offset"), F.lit(STREAM_SALTS)).cast("int"))
+    repeated = declared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
+    return salted.join(repeated, ["stream", "_salt"], "left").drop("_salt")
+
+
 def _allowed(types, found):
     """Null, and so neither allowed nor broken, for an undeclared field."""
     return F.array_contains(types, found) | ((found == "integer") & F.array_contains(types, "number"))
