@@ -17,9 +17,9 @@ NUMERIC, TEMPORAL, BOOLEAN, STRING, OTHER = "numeric", "temporal", "boolean", "s
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 APPROX_ACCURACY = 10_000
-# Up to this many rows the quartiles are taken in the same scan as the rest, by Spark's own
-# `percentile`; it keeps the distinct values of a column in one buffer.
-BUFFERED_ROWS = 100_000
+# Up to this many values, of all columns together, the quartiles are taken in the same scan as the
+# rest, by Spark's own `percentile`; it keeps the distinct values in one buffer.
+BUFFERED_VALUES = 1_000_000
 # Longer texts are told apart by their SHA-256 when they are counted; the prefix keeps a
 # digest apart from any short text.
 WIDE_TEXT_BYTES = 64
@@ -251,7 +251,7 @@ def describe_numeric(
         return df.sparkSession.createDataFrame([], "field string, stat string, value double")
     if quantiles == "exact" and rows is None:
         rows = df.count()
-    buffered = quantiles == "exact" and rows <= BUFFERED_ROWS
+    buffered = quantiles == "exact" and rows * len(names) <= BUFFERED_VALUES
     probs = list(QUARTILES.values())
 
     numbers = df.select(*[as_number(df, c).alias(c) for c in names])

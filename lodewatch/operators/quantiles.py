@@ -20,6 +20,8 @@ from lodewatch.functions.keys import quoted
 from lodewatch.session import stored
 
 SAMPLE_MIN, SAMPLE_MAX = 20_000, 1_000_000
+# Values of all columns together that the sample may hold, as it is one aggregation buffer.
+SAMPLE_VALUES = 20_000_000
 # Half width of a bracket in standard errors of the sample's rank.
 BRACKET_SIGMAS = 5
 # Up to this many rows a column's counted values are summed in one task per column.
@@ -57,7 +59,7 @@ def exact_quantiles(
 def sample_brackets(numbers: DataFrame, probs: Sequence[float], rows: int) -> dict[int, Intervals]:
     """Disjoint value intervals around the wanted quantiles of each column; none for small inputs."""
     columns = range(len(numbers.columns))
-    size = min(SAMPLE_MAX, max(SAMPLE_MIN, rows // 1000))
+    size = max(SAMPLE_MIN, min(SAMPLE_MAX, rows // 1000, SAMPLE_VALUES // len(columns)))
     if rows < 5 * size:
         return {i: [] for i in columns}
     edges = []

@@ -68,32 +68,55 @@ def b8(u):
     return scored.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", F.round("prediction", 2).alias("prediction"))
 
 
-@query("k4_model_persist")
+@query(
+    "k4_model_persist",
+    "SELECT l_orderkey, l_partkey, l_quantity, round(slope * l_quantity + intercept, 2) AS prediction FROM lineitem, "
+    "(SELECT regr_slope(l_extendedprice, l_quantity) AS slope, regr_intercept(l_extendedprice, l_quantity) AS intercept FROM lineitem)",
+)
 def k4(u):
     path = work_dir(u.spark, "model")
     models.save_model(_model(u), path)
-    loaded = models.load_model(path)
-    return models.predict_linear(u.lineitem, loaded, ["l_quantity"]).select("l_orderkey", "l_quantity", "prediction")
+    scored = models.predict_linear(u.lineitem, models.load_model(path), ["l_quantity"])
+    return scored.select("l_orderkey", "l_partkey", "l_quantity", F.round("prediction", 2).alias("prediction"))
 
 
-@query("k5_model_metrics")
+@query(
+    "k5_model_metrics",
+    """WITH c AS (SELECT var_pop(l_quantity) AS c11, var_pop(l_discount) AS c22, covar_pop(l_quantity, l_discount) AS c12,
+  covar_pop(l_quantity, l_extendedprice) AS c1y, covar_pop(l_discount, l_extendedprice) AS c2y FROM lineitem),
+w AS (SELECT (c22 * c1y - c12 * c2y) / (c11 * c22 - c12 * c12) AS w1, (c11 * c2y - c12 * c1y) / (c11 * c22 - c12 * c12) AS w2 FROM c)
+SELECT '' AS field, 'n_parameters' AS stat, CAST(3 AS DOUBLE) AS value
+UNION ALL SELECT 'weight', 'min', round(least(w1, w2), 2) FROM w UNION ALL SELECT 'weight', 'max', round(greatest(w1, w2), 2) FROM w""",
+)
 def k5(u):
-    model = models.fit_linear(u.lineitem, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
-    return models.model_metrics(u.spark, model)
+    model = models.fit_linear(u.lineitem, ["l_quantity", "l_discount"], "l_extendedprice")
+    return models.model_metrics(u.spark, model).withColumn("value", F.round("value", 2))
 
 
-@query("k6_model_lineage")
+@query(
+    "k6_model_lineage",
+    "SELECT lineage_key, input_ord, input_schema_id, edge_ord, output_field, input_fields, (SELECT count(*) FROM lineitem) AS training_rows "
+    "FROM (VALUES ('fit:m', 0, 'X', 0, 'weights', 'l_quantity'), ('fit:m', 1, 'y', 0, 'weights', 'l_extendedprice'), "
+    "('predict:m', 0, 'm', 0, 'prediction', 'weights'), ('predict:m', 1, 'X', 0, 'prediction', 'l_quantity')) "
+    "AS t(lineage_key, input_ord, input_schema_id, edge_ord, output_field, input_fields)",
+)
 def k6(u):
     """Lineage of a model fitted on the table, each edge with the model's number of training rows."""
-    edges = models.model_lineage(u.spark, "price_by_quantity", ["l_quantity"], "l_extendedprice")
-    # One row.
-    trained = u.lineitem.agg(F.count("l_quantity").alias("training_rows"))
-    return edges.withColumn("input_fields", F.array_join("input_fields", "-")).join(F.broadcast(trained))
+    edges = models.model_lineage(u.spark, "m", ["l_quantity"], "l_extendedprice")
+    trained = F.lit(_model(u).summary.numInstances).cast("long")
+    return edges.withColumn("input_fields", F.array_join("input_fields", "-")).withColumn("training_rows", trained)
 
 
-@query("k7_hyper_params")
+@query(
+    "k7_hyper_params",
+    "SELECT param, value, (SELECT count(*) FROM lineitem) AS training_rows FROM (VALUES ('elasticNetParam', '0.0'), "
+    "('fitIntercept', 'True'), ('regParam', '0.0'), ('solver', 'normal'), ('standardization', 'False'), ('loss', 'squaredError')) AS t(param, value)",
+)
 def k7(u):
-    return models.hyper_params(u.spark, _model(u))
+    model = _model(u)
+    wanted = ["elasticNetParam", "fitIntercept", "regParam", "solver", "standardization", "loss"]
+    rows = models.hyper_params(u.spark, model).where(F.col("param").isin(wanted))
+    return rows.withColumn("training_rows", F.lit(model.summary.numInstances).cast("long"))
 
 
 CHART_SQL = "SELECT c_mktsegment, count(*) AS customers, sum(c_acctbal) AS balance FROM customer GROUP BY 1"

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodewatch.functions.keys import md5_key
 from lodewatch.operators import transform
 from lodewatch.plans.registry import query
 from lodewatch.plans.universe import FILES_SQL, MESSAGES_SQL, TABLES
@@ -120,10 +119,10 @@ def a8(u):
     loaded, sources = files.load_from_uris(
         u.spark, uris, work_dir(u.spark, "customer-loaded"), u.customer.schema, "csv", header=True
     )
-    total = loaded.agg(F.count("*").alias("loaded"))
+    edges = files.load_edges(sources, u.customer.schema, "customer").groupBy(F.col("input_ord").alias("location"))
     name = F.substring_index("location", "/", -1).alias("drop_name")
-    # `total` is one row.
-    return sources.select(name, "nrows", F.col("n_edges").cast("int").alias("n_edges")).join(F.broadcast(total))
+    per_uri = sources.join(edges.agg(F.count("*").cast("int").alias("n_edges")), "location")
+    return per_uri.select(name, "nrows", "n_edges").withColumn("loaded", F.lit(loaded.count()).cast("long"))
 
 
 @query("a9_copy_dataset", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")

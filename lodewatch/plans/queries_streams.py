@@ -42,9 +42,17 @@ def d11_texts(u):
     return rounded(metrics.field_running_metrics(u.chat_messages()))
 
 
-@query("d12_field_distinct")
+@query(
+    "d12_field_distinct",
+    "SELECT role AS stream, 'text' AS field, count(DISTINCT text) AS exact, true AS near FROM conversations GROUP BY 1",
+)
 def d12(u):
-    return metrics.field_distinct(u.chat_messages())
+    """Distinct texts by a sketch; `near` tells that it lies within four standard errors of the exact count."""
+    turns, rsd = u.chat_messages(), 0.02
+    sketch = metrics.field_distinct(turns, rsd)
+    exact = u.conversations.groupBy(F.col("role").alias("stream")).agg(F.count_distinct("text").alias("exact"))
+    near = F.abs(F.col("levels") - F.col("exact")) <= F.greatest(F.lit(2), 4 * rsd * F.col("exact"))
+    return sketch.join(exact, "stream").select("stream", "field", "exact", near.alias("near"))
 
 
 @query(
@@ -157,19 +165,19 @@ def j6(u):
     return stats.unionByName(metrics.sync_totals(stats).withColumn("stream", F.lit("")))
 
 
-@query("j7_stream_progress")
+@query(
+    "j7_stream_progress",
+    f"WITH {MESSAGES_SQL} SELECT 'Records read: ' || count(*) || ' (' || CAST(sum(octet_length(encode(data))) AS BIGINT) || ' bytes)' AS line FROM keyed",
+)
 def j7(u):
-    """Progress of a streaming run: records and bytes observed with every micro-batch."""
-    out = work_dir(u.spark, "progress")
-    stream = run.with_progress(event_stream(u), "progress")
+    """Last progress line of a streaming run: records and bytes observed with every micro-batch."""
+    out, progress = work_dir(u.spark, "progress"), run.Progress("progress")
+    stream = run.with_progress(event_stream(u), progress.name)
     query_ = run.start_upsert(stream, f"{out}/rows", f"{out}/checkpoint")
     query_.awaitTermination()
-    rows = []
-    for p in query_.recentProgress:
-        seen = p.observedMetrics.get("progress")
-        if seen is not None:
-            rows.append((p.batchId, seen["records"], seen["bytes"]))
-    return u.spark.createDataFrame(rows, "batch_id long, records long, bytes long")
+    for update in query_.recentProgress:
+        progress.add(update)
+    return u.spark.createDataFrame([(progress.lines[-1],)], "line string")
 
 
 @query(

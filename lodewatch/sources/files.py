@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodewatch.functions.keys import as_col, md5_key, quoted
+from lodewatch.functions.keys import as_col, md5_key, quoted, schema_key
 from lodewatch.session import work_dir
+from lodewatch.sources.tables import type_name
 
 # Colour in the file path -> its date column.
 TRIP_DATE_COLUMNS = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
@@ -130,7 +131,7 @@ def load_from_uris(
     """Loads every URI into one table; returns (table, one row per URI).
 
     Each URI is its own data source and carries the destination's schema, since it is
-    loaded as it is: `location, nrows, data_source_id, n_edges`.
+    loaded as it is: `location, nrows, data_source_id, schema_id`.
     """
     table = spark.read.format(source_format).options(**options).schema(schema).load(list(uris))
     table.write.mode("overwrite").parquet(dst)
@@ -142,15 +143,26 @@ def load_from_uris(
     )
     per_uri = per_file.groupBy(owner.alias("location")).agg(F.sum("n").alias("nrows"))
     every_uri = spark.createDataFrame([(u,) for u in uris], "location string")
+    source_id = md5_key("location", F.lit(source_format))
+    fields = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(type_name(f.dataType)).alias("dtype")) for f in schema])
     sources = every_uri.join(per_uri, "location", "left").select(
         "location",
         F.coalesce("nrows", F.lit(0)).alias("nrows"),
-        md5_key("location", F.lit(source_format)).alias("data_source_id"),
-        F.lit(len(schema.fields)).cast("long").alias("n_edges"),
+        source_id.alias("data_source_id"),
+        schema_key(fields, source_id).alias("schema_id"),
     )
     return spark.read.parquet(dst), sources
 
 
+def load_edges(sources: DataFrame, schema: T.StructType, lineage_key: str) -> DataFrame:
+    """Lineage edges of such a load: each field of each URI feeds the field of the same name."""
+    names = F.array(*[F.lit(f.name) for f in schema])
+    return sources.select(
+        F.lit(lineage_key).alias("lineage_key"), F.col("location").alias("input_ord"),
+        F.col("schema_id").alias("input_schema_id"), F.posexplode(names).alias("edge_ord", "output_field"),
+    ).withColumn("input_fields", F.array("output_field"))
+
+
 def _plain(path: Column) -> Column:
     """Path without the local scheme, which Spark adds to local files."""
     return F.regexp_replace(path, "^file:(//)?", "")

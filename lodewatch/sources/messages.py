@@ -23,21 +23,23 @@ def read_file_stream(
     return reader.load(f"{path[:-1]}[{path[-1]}]")
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Messages from Kafka whose value is the whole message as JSON (needs Spark's Kafka package)."""
-    raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    parsed = raw.options(**options).load().select(
-        F.from_json(
-            F.col("value").cast("string"),
-            "type string, record struct<namespace string, stream string, data variant>",
-        ).alias("m"),
-        "offset",
-    )
+ENVELOPE = "type string, record struct<namespace: string, stream: string, data: variant>"
+
+
+def from_envelopes(raw: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
+    """Messages kept whole as JSON text (`type`, `record.stream`, `record.data`) -> message columns."""
+    parsed = raw.select(F.from_json(F.col(value).cast("string"), ENVELOPE).alias("m"), F.col(offset).alias("offset"))
     return parsed.select(
         "m.type", "m.record.namespace", "m.record.stream", "offset", F.to_json("m.record.data").alias("data")
     )
 
 
+def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """Messages from a Kafka topic (needs Spark's Kafka package on the cluster)."""
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    return from_envelopes(reader.options(**options).load())
+
+
 def records_only(messages: DataFrame) -> DataFrame:
     """Keeps the record messages; state, log and other messages carry no data."""
     return messages.where(F.col("type") == RECORD)

@@ -73,7 +73,10 @@ class Progress(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        seen = event.progress.observedMetrics.get(self.name)
+        self.add(event.progress)
+
+    def add(self, progress) -> None:
+        seen = progress.observedMetrics.get(self.name)
         if seen is not None:
             self.records += seen["records"] or 0
             self.size += seen["bytes"] or 0

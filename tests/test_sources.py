@@ -70,6 +70,18 @@ def test_load_from_uris(spark, tmp_path):
     loaded, sources = files.load_from_uris(spark, uris, f"{tmp_path}/dst", spark.range(1).schema, "parquet")
     assert loaded.count() == 8 and loaded.columns == ["id"]
     assert {os.path.basename(r["location"]): r["nrows"] for r in sources.collect()} == {"part": 3, "part2": 5, "none": 0}
+    edges = files.load_edges(sources, loaded.schema, "dst").collect()
+    assert [(r["output_field"], r["input_fields"]) for r in edges] == [("id", ["id"])] * 3
+    assert len({r["input_schema_id"] for r in edges}) == 3
+
+
+def test_envelopes(spark, rows):
+    raw = spark.createDataFrame(
+        [('{"type": "RECORD", "record": {"stream": "s", "namespace": "n.", "data": {"k": 1, "x": null}}}', 1), ('{"type": "STATE"}', 2)],
+        "value string, offset bigint",
+    )
+    kept = messages.keyed(messages.from_envelopes(raw))
+    assert rows(kept) == [("n.s", 1, '{"k":1,"x":null}')]
 
 
 def test_partitioned_table_is_pruned(spark, tmp_path):
