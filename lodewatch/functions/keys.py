@@ -111,14 +111,17 @@ def strip_tmp(name: Column | str) -> Column:
 
 
 def iso_time(ts: Column | str) -> Column:
-    """ISO-8601 text; the fraction is written only when there is one."""
-    t = as_col(ts)
-    micros = F.date_format(t, "SSSSSS")
-    seconds = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(micros == "000000", seconds).otherwise(F.concat(seconds, F.lit("."), micros))
+    """ISO-8601 text, the fraction in six digits and only when there is one.
+
+    Made from the plain text of the value, so a naive timestamp does not pass through the session's zone.
+    """
+    text = F.replace(as_col(ts).cast("string"), F.lit(" "), F.lit("T"))
+    fraction = F.rpad(F.substring_index(text, ".", -1), 6, "0")
+    return F.when(text.contains("."), F.concat(F.substring_index(text, ".", 1), F.lit("."), fraction)).otherwise(text)
 
 
 def epoch_ms(ts: Column | str) -> Column:
+    """Epoch milliseconds; a naive timestamp is read in the session's zone."""
     return F.unix_millis(as_col(ts).cast("timestamp"))
 
 

@@ -175,9 +175,10 @@ def metrics_rows(metrics: DataFrame, uses: DataFrame) -> DataFrame:
 
     `uses` is read once more to find the schemas that very many executions use.
     """
-    return salted_join(uses, metrics, "schema_id").select(
-        md5_key("schema_id", "lineage_execution_id").alias("metrics_id"),
-        "schema_id", "lineage_execution_id", "field", "stat", "value",
+    # The id is that of the schema and the execution, so it is made before the metrics multiply the rows.
+    keyed = uses.select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id")
+    return salted_join(keyed, metrics, "schema_id", counted=uses).select(
+        "metrics_id", "schema_id", "lineage_execution_id", "field", "stat", "value"
     )
 
 

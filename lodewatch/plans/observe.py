@@ -15,12 +15,35 @@ from lodewatch.operators import transform
 from lodewatch.operators.entities import frame_ids
 from lodewatch.operators.profile import (
     default_registry,
+    describe,
     metrics_long_to_map,
     observe_frame_metrics,
     observed_rows,
     profile_table,
 )
 from lodewatch.sources.observations import write_observations
+from lodewatch.sources.tables import FIELD_SCHEMA
+
+
+@dataclass(frozen=True)
+class FrameObservation:
+    data_source_id: str
+    schema_id: str
+    metrics_id: str
+    fields: DataFrame
+    metrics: DataFrame
+
+
+def observe_frame(
+    df: DataFrame, location: str, fmt: str, hints: dict[str, str] | None = None, dtype_style: str = "spark", skip_first: bool = False
+) -> FrameObservation:
+    """Source, schema and descriptive metrics of one frame, outside of any run.
+
+    Without a lineage execution the metrics are keyed by their schema alone.
+    """
+    source_id, schema_id, rows = frame_ids(df, location, fmt, hints, dtype_style)
+    fields = df.sparkSession.createDataFrame(rows, FIELD_SCHEMA)
+    return FrameObservation(source_id, schema_id, md5_of(schema_id), fields, describe(df, skip_first=skip_first))
 
 
 @dataclass(frozen=True)

@@ -6,8 +6,11 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from lodewatch.functions.keys import md5_key, schema_key
 from lodewatch.operators import entities, lineage
-from lodewatch.plans.observe import ObservedFrame, ObservedSession
+from lodewatch.operators.transform import concat
+from lodewatch.plans.observe import ObservedFrame, ObservedSession, observe_frame
+from lodewatch.plans.queries_profile import describe_sql, stat_sql
 from lodewatch.plans.registry import query
 from lodewatch.plans.universe import FACTS_SQL, FILES_SQL, LINEAGE_SQL, RUNS_SQL
 from lodewatch.session import stored, work_dir
@@ -160,11 +163,38 @@ def h9(u):
     return _orphans(u).groupBy("stat").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
-@query("h11_observe_frame", f"WITH {FILES_SQL} SELECT s.ok, s.data_source_id, s.schema_id, s.n_fields FROM order_schemas s")
-def h11(u):
+@query("h11_schema_ids", f"WITH {FILES_SQL} SELECT s.ok, s.data_source_id, s.schema_id, s.n_fields FROM order_schemas s")
+def h11_ids(u):
     return u.order_schemas().select("ok", "data_source_id", "schema_id", F.col("n_fields").cast("long").alias("n_fields"))
 
 
+CUSTOMER_METRICS_SQL = " UNION ALL ".join(
+    [stat_sql("customer", {c: describe_sql(c) for c in ("c_custkey", "c_nationkey", "c_acctbal")})]
+    + [
+        f"SELECT '{c}', s, round(CAST(v AS DOUBLE), 4) FROM (SELECT unnest(['count', 'unique', 'freq']) AS s, unnest([count(*), count(DISTINCT {c}), "
+        f"(SELECT max(n) FROM (SELECT count(*) AS n FROM customer GROUP BY {c}))]) AS v FROM customer)"
+        for c in ("c_name", "c_mktsegment")
+    ]
+)
+
+
+@query(
+    "h11_observe_frame",
+    f"""WITH fields AS (SELECT DISTINCT column_name AS n, CASE data_type WHEN 'INTEGER' THEN 'int64' WHEN 'BIGINT' THEN 'int64'
+  WHEN 'DOUBLE' THEN 'float64' ELSE CASE column_name WHEN 'c_mktsegment' THEN 'category' ELSE 'object' END END AS t
+  FROM information_schema.columns WHERE table_name = 'customer'),
+s AS (SELECT md5(string_agg(n || '-' || t, ',' ORDER BY n, t) || ',' || md5('data/customer.parquet,parquet')) AS schema_id FROM fields)
+SELECT md5('data/customer.parquet,parquet') AS data_source_id, schema_id, md5(schema_id) AS metrics_id, m.*
+FROM s, ({CUSTOMER_METRICS_SQL}) m""",
+)
+def h11(u):
+    seen = observe_frame(u.customer, "data/customer.parquet", "parquet", {"c_mktsegment": "category"}, "pandas")
+    ids = {"data_source_id": seen.data_source_id, "schema_id": seen.schema_id, "metrics_id": seen.metrics_id}
+    return seen.metrics.select(
+        *[F.lit(v).alias(k) for k, v in ids.items()], "field", "stat", F.round("value", 4).alias("value")
+    )
+
+
 @query(
     "h12_app_run_rows",
     f"""WITH {RUNS_SQL}
@@ -184,8 +214,6 @@ def h12(u):
         rows[name].select(F.lit(name).alias("entity"), "id", F.concat_ws("|", *columns).alias("detail"))
         for name, columns in details.items()
     ]
-    from lodewatch.operators.transform import concat
-
     return concat(parts)
 
 
@@ -222,8 +250,6 @@ SELECT md5('sink_' || ck) AS data_source_id, count(DISTINCT schema_id) AS n_sche
 )
 def h16(u):
     """Each customer is one source whose field list changes with every order."""
-    from lodewatch.functions.keys import md5_key, schema_key
-
     lists = u.order_fields().groupBy("ok").agg(F.collect_list(F.struct("name", "dtype")).alias("fields"))
     source = md5_key(F.concat(F.lit("sink_"), F.col("o_custkey")))
     rows = u.orders.select(F.col("o_orderkey").alias("ok"), source.alias("data_source_id")).join(lists, "ok")

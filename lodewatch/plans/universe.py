@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import iso_time, md5_key
 from lodewatch.operators.entities import app_run_rows, data_sources, schemas
-from lodewatch.session import spread
+from lodewatch.session import spread, stored
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -131,7 +131,7 @@ class Universe:
         )
 
     def run_entities(self) -> dict[str, DataFrame]:
-        return app_run_rows(self.run_meta())
+        return app_run_rows(stored(self.run_meta(), "run-meta"))
 
     def order_metrics(self) -> DataFrame:
         """(ok, field, stat, value): line count and quantity of each field of an order's file."""

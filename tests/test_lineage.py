@@ -176,6 +176,8 @@ def test_schemas_and_fields(spark, rows):
     assert rows(named, "pos", "name", "dtype") == [(0, "Symbol", "category"), (1, "Open", "float64"), (2, "n", "int64")]
     _, schema_id, _ = entities.frame_ids(df, "loc", "csv", dtype_style="pandas")
     assert schema_id == md5("Open-float64,Symbol-object,n-int64," + md5("loc,csv"))
+    located = spark.createDataFrame([("data/a.csv", "10.0.0.1")], "path string, server string")
+    assert entities.data_sources_on_servers(located, F.col("path"), F.col("server")).first()["id"] == md5("data/a.csv," + md5("10.0.0.1"))
     meta = spark.createDataFrame([("a", '{"sensitive": true}'), ("b", "{}"), ("c", None)], "name string, meta string")
     assert rows(entities.sensitive_fields(meta)) == [("a",)]
     versions = spark.createDataFrame([("d", "1"), ("d", "2"), ("d", "2"), ("e", "1")], "data_source_id string, schema_id string")
