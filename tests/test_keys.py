@@ -16,9 +16,9 @@ def one(spark, column):
 
 
 def test_md5_of_source_key(spark):
-    expected = "075bdd5690ad500cfa3a7e6dc202081b"
-    assert keys.md5_of("data/AppTech.csv", "csv") == expected
-    assert one(spark, keys.md5_key(F.lit("data/AppTech.csv"), F.lit("csv"))) == expected
+    expected = hashlib.md5(b"data/assets.csv,csv").hexdigest()
+    assert keys.md5_of("data/assets.csv", "csv") == expected
+    assert one(spark, keys.md5_key(F.lit("data/assets.csv"), F.lit("csv"))) == expected
 
 
 def test_null_part_is_an_error(spark):
