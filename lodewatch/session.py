@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_made: dict[str, list[str]] = {}  # work folders by application
+
 
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
@@ -28,20 +30,41 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
     return spark
 
 
+def one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that a local folder is seen by all of them."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where the session names none (tests, local runs) a folder of our own is
-    made and set, so that every later call uses the same root.
+    Only where a session on one machine names none (tests, local runs) a folder of our own is
+    made and set, so that every later call uses the same root. On a cluster a missing
+    `spark.checkpoint.dir` is an error: executors would write to disks that nobody else reads.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
+        if not one_machine(spark):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lodewatch-")
         spark.sparkContext.setCheckpointDir(root)
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Deletes the work folders that this session has made; for the end of a job. Returns their number."""
+    made = _made.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(made)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
