@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodewatch.llm.text import BLANKS
+from lodewatch.llm.text import without_blanks
 from lodewatch.session import stored
 
 HEAVY = 256  # digests whose groups are broadcast at most
@@ -25,7 +25,7 @@ TRACKED = 8192  # counters of the summary: a digest with more than 1/6000 of all
 
 def normalised(text: Column) -> Column:
     """The text without blanks; empty for null."""
-    return F.coalesce(F.translate(text.cast("string"), BLANKS, ""), F.lit(""))
+    return F.coalesce(without_blanks(text.cast("string")), F.lit(""))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

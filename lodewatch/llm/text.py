@@ -14,12 +14,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 BLANKS = " \t\n\x0b\x0c\r"
-WORD = "[^\\x20\\x09-\\x0D]+"
+
+
+def _each_blank(text: Column, blanks: str, by: str) -> Column:
+    """Plain replacements: several times faster than `translate` or a pattern, which look at every character."""
+    for blank in blanks:
+        text = F.replace(text, F.lit(blank), F.lit(by))
+    return text
+
+
+def without_blanks(text: Column) -> Column:
+    """The text without its blanks; null stays null."""
+    return _each_blank(text, BLANKS, "")
 
 
 def n_words(text: Column) -> Column:
-    """Number of words; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
+    """Number of words; 0 for null.
+
+    Where no two blanks meet, words are the blanks inside the trimmed text and one more; the pattern counts the rest.
+    """
+    def count(spaced: Column) -> Column:
+        blanks = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))
+        plain = F.when(spaced == "", F.lit(0)).otherwise(blanks + 1)
+        return F.when(F.contains(spaced, F.lit("  ")), F.regexp_count(spaced, F.lit("[^ ]+"))).otherwise(plain)
+
+    # the lambda's variable is made once, where a column used several times would be made several times
+    one = F.transform(F.array(F.trim(_each_blank(text, BLANKS[1:], " "))), count)
+    return F.coalesce(F.get(one, 0).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def text_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
