@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodewatch.llm import chat_format, exact_dedup, quality_fm, quality_rules, secret_scan, source_mix
+from lodewatch.llm import bpe, chat_format, exact_dedup, quality_fm, quality_rules, secret_scan, source_mix, token_counts
 from lodewatch.plans import registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +125,15 @@ def op4_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
     return quality_fm.score(docs, model).withColumnRenamed("id", "doc_id")
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return encoded.withColumnRenamed("id", "doc_id")
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.count_redacted(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
