@@ -7,7 +7,7 @@ linked list, all neighbouring pairs with a rank go into a heap by (rank, place),
 both of its symbols are still the ones it was made for (a stale entry is skipped); the two new neighbours enter the
 heap. Decoding joins vocabulary strings, with one space between tokens since the file has no decoder.
 
-Pieces repeat, so each Python worker keeps the results of up to `CACHE` pieces in memory; nothing else is shared. The
+Words repeat, so each Python worker keeps the results of a bounded number of words and pieces in memory; nothing else is shared. The
 file (under 2 MB) is read by the driver and travels with the tasks, so executors need no copy of it.
 
 Results by case: null counts as empty; an empty text has no tokens and decodes to the empty text; very long texts are taken
@@ -27,13 +27,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.llm.text import map_texts
-
-CACHE = 250_000  # pieces whose tokens a worker remembers; the memory is emptied when it is full
-
-# fixed values: the blanks of Unicode, as the normaliser's \s takes them
-UNICODE_BLANKS = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+from lodewatch.llm.text import Remembered, map_texts
 
+WORDS, PIECES = 400_000, 700_000  # words and pieces whose tokens a worker remembers at most
 
 def byte_alphabet() -> list[str]:
     """The character of each byte: printable Latin-1 stands for itself, the others for 256, 257, ... in order."""
@@ -52,73 +48,85 @@ class Bpe:
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         split = next(p for p in definition["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"]).findall
-        self.blanks = regex.compile(f"[{UNICODE_BLANKS}]+")
-        self.letters = str.maketrans(dict(enumerate(byte_alphabet())))
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        letters = byte_alphabet()
+        self.inner = [self.vocabulary[c] for c in letters]
+        self.last = [self.vocabulary[c + self.end] for c in letters]
+        self.ranks: dict[int, int] = {}  # rank by pair: left id * 2^20 + right id
+        self.made: list[int] = []  # id that a merge makes, by rank
         for rank, merge in enumerate(model["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges[self.vocabulary[a], self.vocabulary[b]] = (rank, self.vocabulary[a + b])
-        self.known: dict[str, tuple[int, str, str]] = {}
-
-    def normalise(self, text: str) -> str:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # by character: no final sigma
-        return self.blanks.sub(" ", text).lower()
+            self.ranks[self.vocabulary[a] << 20 | self.vocabulary[b]] = rank
+            self.made.append(self.vocabulary[a + b])
+        self.words, self.merged = Remembered(self._word, WORDS), Remembered(self.encode_piece, PIECES)
 
     def encode_piece(self, piece: str) -> list[int]:
-        """Merges one piece; ids of its tokens."""
-        symbols = piece.encode().decode("latin-1").translate(self.letters)
-        ids = [self.vocabulary[s] for s in symbols[:-1]] + [self.vocabulary[symbols[-1] + self.end]]
-        n, merges = len(ids), self.merges
+        """Merges one piece; ids of its tokens. A heap entry is rank * 2^32 + place of its left symbol."""
+        raw = piece.encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        n, rank_of, made = len(ids), self.ranks.get, self.made
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))  # after == n: the end
-        entries = []
-        for i, pair in enumerate(zip(ids, ids[1:])):
-            if (found := merges.get(pair)) is not None:
-                entries.append((found[0], i, found[1], *pair))
-        heapq.heapify(entries)
-        while entries:
-            _, i, new, a, b = heapq.heappop(entries)
+        heap = []
+        for i in range(n - 1):
+            if (rank := rank_of(ids[i] << 20 | ids[i + 1])) is not None:
+                heap.append(rank << 32 | i)
+        heapq.heapify(heap)
+        while heap:
+            entry = heapq.heappop(heap)
+            i, rank = entry & 0xFFFFFFFF, entry >> 32
             j = after[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue  # stale: one of the two has been merged meanwhile
-            ids[i], ids[j] = new, -1
+            if j >= n or rank_of(ids[i] << 20 | ids[j]) != rank:
+                continue  # stale: one of the two has been merged meanwhile (a merged one has id -1)
+            new = ids[i] = made[rank]
+            ids[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (found := merges.get((new, ids[k]))) is not None:
-                    heapq.heappush(entries, (found[0], i, found[1], new, ids[k]))
+                if (rank := rank_of(new << 20 | ids[k])) is not None:
+                    heapq.heappush(heap, rank << 32 | i)
             h = before[i]
-            if h >= 0 and (found := merges.get((ids[h], new))) is not None:
-                heapq.heappush(entries, (found[0], h, found[1], ids[h], new))
+            if h >= 0 and (rank := rank_of(ids[h] << 20 | new)) is not None:
+                heapq.heappush(heap, rank << 32 | h)
         return [x for x in ids if x >= 0]
 
-    def piece(self, piece: str) -> tuple[int, str, str]:
-        """Number of tokens, ids and strings of a piece, both joined by spaces; remembered."""
-        got = self.known.get(piece)
-        if got is None:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            ids = self.encode_piece(piece)
-            got = self.known[piece] = len(ids), " ".join(map(str, ids)), self.decode(ids)
-        return got
-
-    def parts(self, text: str) -> list[tuple[int, str, str]]:
-        """The pieces of a text with their tokens, special tokens as pieces of their own."""
+    def _word(self, word: str) -> tuple[str, str]:
+        """Ids and strings of the tokens of a normalised text without blanks, both joined by spaces."""
+        if word.isascii() and word.isalpha():
+            ids = self.merged[word]
+        else:
+            ids = [i for piece in self.pieces(word) for i in self.merged[piece]]
+        return " ".join(map(str, ids)), self.decode(ids)
+
+    def _words(self, text: str) -> list[str]:
+        """The normalised text (NFC, lower case by character) at its blanks, which no piece crosses.
+
+        The pattern takes the four separators of ASCII for characters, Python for blanks: such texts stay whole.
+        """
+        plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")  # by character: no final sigma
+        plain = plain.lower()
+        return [plain] if _SEPARATORS.search(plain) else plain.split()
+
+    def parts(self, text: str) -> list[tuple[str, str]]:
+        """The words of a text with their tokens, special tokens as words of their own."""
         out, at = [], 0
-        for m in self.cut.finditer(text) if self.cut and "<|" in text else ():
-            out += map(self.piece, self.pieces(self.normalise(text[at : m.start()])))
-            out.append((1, str(self.special[m[0]]), m[0]))
+        for m in self.cut.finditer(text) if self.cut and self.cut.search(text) else ():
+            out += map(self.words.__getitem__, self._words(text[at : m.start()]))
+            out.append((str(self.special[m[0]]), m[0]))
             at = m.end()
-        return out + list(map(self.piece, self.pieces(self.normalise(text[at:]))))
+        out += map(self.words.__getitem__, self._words(text[at:] if at else text))
+        return [p for p in out if p[0]]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.parts(text) for i in ids.split(" ")]
+        return [int(i) for ids, _ in self.parts(text) for i in ids.split(" ")]
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings, one space between tokens."""
         return " ".join([self.strings[i] for i in ids])
 
 
+_SEPARATORS = regex.compile("[\x1c-\x1f]")
+
+
 @lru_cache(maxsize=2)
 def _loaded(packed: bytes) -> Bpe:
     return Bpe(json.loads(zlib.decompress(packed)))
@@ -137,8 +145,8 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         bpe, rows = _loaded(packed), []
         for text in texts:
             parts = bpe.parts(text.decode("utf-8", "replace"))
-            ids, strings = " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
-            rows.append((sum([p[0] for p in parts]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(strings.encode()).hexdigest()))
+            ids, strings = " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+            rows.append((ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(strings.encode()).hexdigest()))
         return rows
 
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))

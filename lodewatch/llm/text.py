@@ -16,6 +16,19 @@ from pyspark.sql.types import StructField, StructType
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+class Remembered(dict):
+    """Remembers a function's results for the first `most` keys; frequent keys come early. Never grows beyond."""
+
+    def __init__(self, function, most: int):
+        self.function, self.most = function, most
+
+    def __missing__(self, key):
+        got = self.function(key)
+        if len(self) < self.most:
+            self[key] = got
+        return got
+
+
 def _each_blank(text: Column, blanks: str, by: str) -> Column:
     """Plain replacements: several times faster than `translate` or a pattern, which look at every character."""
     for blank in blanks:

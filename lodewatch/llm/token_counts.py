@@ -19,7 +19,7 @@ rows are counted alike; an empty table gives an empty frame; further columns are
 from __future__ import annotations
 
 import base64
-import bisect
+import re
 import zlib
 from functools import lru_cache
 
@@ -29,19 +29,32 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.llm.text import map_texts
+from lodewatch.llm.text import Remembered, map_texts
 
 CACHE = 400_000
 CONTEXT = 2
 
 #: Personal data and keys that the redaction of the registered query replaces, tried in this order at each place.
 REDACTIONS = {
-    "<mail>": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "<mail>": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "<key>": r"[0-9a-f]{32,}|[0-9A-F]{32,}",
     "<number>": r"[0-9]{13,}|\+[0-9][0-9 ().-]{7,}[0-9]",
 }
 _MARKS = list(REDACTIONS)
-_REDACT = regex.compile("|".join(f"({p})" for p in REDACTIONS.values()))
+_REDACT = re.compile("|".join(f"({p})" for p in REDACTIONS.values()))
+
+
+def _only(chars: bytes) -> bytes:
+    return bytes(120 if b in chars else 32 for b in range(256))
+
+
+#: Runs that every redaction but those with @ or + contains, looked for in a text whose other characters are blanked.
+_RUNS = [(_only(b"0123456789"), b"x" * 13), (_only(b"0123456789abcdef"), b"x" * 32), (_only(b"0123456789ABCDEF"), b"x" * 32)]
+
+
+def _may_match(raw: bytes) -> bool:
+    """False only for texts without any redaction; several times faster than the patterns."""
+    return b"@" in raw or b"+" in raw or any(run in raw.translate(only) for only, run in _RUNS)
 
 
 class Counter:
@@ -50,15 +63,8 @@ class Counter:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split = regex.compile(pattern)
         self.encoding = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, int] = {}
-
-    def tokens(self, piece: str) -> int:
-        n = self.known.get(piece)
-        if n is None:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            n = self.known[piece] = len(self.encoding.encode_ordinary(piece))
-        return n
+        self.known = Remembered(lambda piece: len(self.encoding.encode_ordinary(piece)), CACHE)
+        self.tokens = self.known.__getitem__
 
 
 class TokenTree:
@@ -126,7 +132,6 @@ class TokenTree:
         first, begin = self._find(max(0, reach - 1)) if reach else self._find(0)
         # split anew until a new end meets an old one beyond the edit
         shift = len(text) - size
-        leaf, bounds, last_start = first, [], begin
         lengths, tokens, at = [], 0, begin
         old_end, last = begin, first - 1
         while at < len(text):
@@ -186,7 +191,7 @@ def count_redacted(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
         counter, rows = _counter(packed, pattern), []
         for raw in texts:
             text = raw.decode("utf-8", "replace")
-            rows.append(_count(counter, text, redactions(text)))
+            rows.append(_count(counter, text, redactions(text) if _may_match(raw) else []))
         return rows
 
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
