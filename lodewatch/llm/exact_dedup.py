@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodewatch.llm.text import without_blanks
+from lodewatch.llm.text import keep_rows, row_key, without_blanks
 from lodewatch.session import stored
 
 HEAVY = 256  # digests whose groups are broadcast at most
@@ -69,16 +69,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return common.unionByName(rare)
 
 
-def _row_key(identity: Column, digest: Column) -> Column:
-    """One exact join key for (id, digest); a null id differs from every id."""
-    return F.unhex(F.sha2(F.concat(digest, F.coalesce(F.concat(F.lit("i"), identity.cast("string")), F.lit("n")).cast("binary")), 256))
-
-
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = HEAVY) -> DataFrame:
     """The documents that stay, with all their columns; of rows that repeat an id and a text one stays."""
-    kept = exact_groups(docs, id_col, text_col, heavy).where("kept").select(_row_key(F.col("id"), F.col("digest")).alias("row_key_"))
+    groups = exact_groups(docs, id_col, text_col, heavy)
+    kept = groups.where("kept").select(row_key(F.col("id"), F.col("digest")).alias("row_key_"))
     digest = F.unhex(F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256))
-    keyed = docs.withColumn("row_key_", _row_key(F.col(f"`{id_col}`"), digest))
-    same = Window.partitionBy("row_key_").orderBy("row_key_")
-    joined = keyed.join(kept, "row_key_", "left_semi")
-    return joined.withColumn("copy_", F.row_number().over(same)).where("copy_ = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keep_rows(docs, kept, F.col(f"`{id_col}`"), digest)

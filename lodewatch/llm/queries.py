@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodewatch.llm import bpe, chat_format, exact_dedup, quality_fm, quality_rules, secret_scan, source_mix, token_counts
+from lodewatch.llm import (
+    bpe,
+    chat_format,
+    exact_dedup,
+    quality_fm,
+    quality_rules,
+    secret_scan,
+    simhash_vptree,
+    source_mix,
+    token_counts,
+)
 from lodewatch.plans import registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +147,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_counts.count_redacted(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_simhash_vptree")
+def op7_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash_vptree.near_classes(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -41,6 +41,19 @@ def without_blanks(text: Column) -> Column:
     return _each_blank(text, BLANKS, "")
 
 
+def row_key(identity: Column, digest: Column) -> Column:
+    """One exact join key for (id, digest); a null id differs from every id."""
+    return F.unhex(F.sha2(F.concat(digest, F.coalesce(F.concat(F.lit("i"), identity.cast("string")), F.lit("n")).cast("binary")), 256))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, identity: Column, digest: Column) -> DataFrame:
+    """The rows of `docs` whose key is in `kept` (row_key_), each key once, with all columns and no others."""
+    same = Window.partitionBy("row_key_").orderBy("row_key_")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), row_key(identity, digest).alias("row_key_"))
+    joined = packed.join(kept, "row_key_", "left_semi")
+    return joined.withColumn("copy_", F.row_number().over(same)).where("copy_ = 1").select("row_.*")
+
+
 def n_words(text: Column) -> Column:
     """Number of words; 0 for null.
 
