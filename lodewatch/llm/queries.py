@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from lodewatch.llm import (
     secret_scan,
     simhash_vptree,
     source_mix,
+    substring_dedup,
     token_counts,
 )
 from lodewatch.plans import registry
@@ -153,3 +155,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash_vptree.near_classes(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op2_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, unnest(generate_series(1, len(words) - 49)) AS s, words FROM w WHERE len(words) >= 50),
+g AS (SELECT doc_id, s, array_to_string(list_slice(words, s, s + 49), ' ') AS gram FROM p),
+m AS (SELECT md5(gram) AS h, min(doc_id) AS source FROM g GROUP BY gram HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT g.doc_id, list(g.s) AS starts FROM g JOIN m ON md5(g.gram) = m.h WHERE m.source < g.doc_id GROUP BY g.doc_id),
+k AS (SELECT w.doc_id, w.words, unnest(generate_series(1, len(w.words))) AS i FROM w JOIN c USING (doc_id)),
+v AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 49)) AS i FROM (SELECT doc_id, unnest(starts) AS s FROM c)),
+r AS (SELECT k.doc_id, string_agg(k.words[k.i], ' ' ORDER BY k.i) FILTER (v.i IS NULL) AS kept, count(v.i) AS n_removed
+  FROM k LEFT JOIN v ON k.doc_id = v.doc_id AND k.i = v.i GROUP BY k.doc_id)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(r.n_removed, 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN r.doc_id IS NULL THEN array_to_string(w.words, ' ') ELSE coalesce(r.kept, '') END) AS kept_sha256
+FROM w LEFT JOIN r USING (doc_id)""")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
