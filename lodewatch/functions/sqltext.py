@@ -9,7 +9,8 @@ from lodewatch.functions.keys import as_col
 
 # Literals and comments are blanked in one alternation, so that neither can hide the
 # other; quoted identifiers are kept (group 1).
-MASK = r"""("[^"]*")|'[^']*'|--[^\n]*|/\*(?:[^*]|\*+[^*/])*\*+/"""
+# No part repeats a group, which the engine would do by recursion: texts of any length pass.
+MASK = r"""(?s)("[^"]*")|'[^']*'|--[^\n]*|/\*.*?\*/"""
 PART = r"""(?:"[^"]+"|\w+)"""
 NAME = rf"({PART}(?:\s*\.\s*{PART})*)"
 # Group 1: what the statement does, group 2: its target.

@@ -156,12 +156,14 @@ def _chain_digest():
         for batch in batches:
             done = []
             for k, order, n, text in zip(batch["lineage_key"], batch["input_ord"], batch["n_edges"], batch["text"]):
-                if order < 0:
+                if order < 0:  # a head; edges of a key without one belong to no output and are left out
                     if digest is not None:
                         done.append((digest.hexdigest(), key, schema_id, edges))
                     key, schema_id, edges, first = k, text, 0, True
                     digest = hashlib.md5(text.encode("utf-8"))
                     continue
+                if digest is None or k != key:
+                    continue
                 digest.update((text if first else "," + text).encode("utf-8"))
                 first, edges = False, edges + n
             yield pd.DataFrame(done, columns=columns)
@@ -177,13 +179,15 @@ def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
     An md5 depends on all bytes before, so one lineage must be hashed in order. Its texts are
     built in parallel and then streamed, sorted, through a running digest: nothing is collected,
     memory does not grow with the lineage. The row of the output schema comes first (order -1),
-    so a lineage without edges has an id as well.
+    so a lineage without edges has an id as well. Edges of a `lineage_key` that no output has are left out.
     """
     heads = outputs.select(
         "lineage_key", F.lit(-1).cast("long").alias("input_ord"), F.lit(0).cast("long").alias("n_edges"),
         F.col("schema_id").alias("text"),
     )
-    chunks = input_texts(edges).withColumn("input_ord", F.col("input_ord").cast("long"))
+    order = F.col("input_ord").cast("long")
+    refused = F.raise_error(F.lit("input_ord must not be negative or null")).cast("long")
+    chunks = input_texts(edges).withColumn("input_ord", F.when(order >= 0, order).otherwise(refused))
     key_type = outputs.schema["lineage_key"].dataType.simpleString()
     ordered = heads.unionByName(chunks).repartition("lineage_key").sortWithinPartitions("lineage_key", "input_ord")
     return ordered.mapInPandas(_chain_digest(), f"id string, lineage_key {key_type}, schema_id string, n_edges long")

@@ -350,11 +350,16 @@ def _observed_type(df: DataFrame, name: str, stat: str) -> T.DataType:
 # --- long metrics to a map -----------------------------------------------------------------------
 
 
-def metrics_long_to_map(metrics: DataFrame, keys: Sequence[str], name: str = "metrics") -> DataFrame:
-    """One map `field.stat -> value` per key; as many entries as a table has metrics."""
+def metrics_long_to_map(metrics: DataFrame, keys: Sequence[str], name: str = "metrics", order: str | None = None) -> DataFrame:
+    """One map `field.stat -> value` per key; as many entries as a table has metrics.
+
+    Of repeated metrics the later one holds: by the column `order` if there is one, else the larger value.
+    """
     label = F.when(F.col("field") == "", F.col("stat")).otherwise(F.concat_ws(".", "field", "stat"))
-    entry = F.struct(label.alias("key"), F.col("value"))
-    return metrics.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
+    later = F.max_by("value", order) if order else F.max("value")
+    once = metrics.groupBy(*keys, label.alias("key")).agg(later.alias("value"))
+    entry = F.struct("key", "value")
+    return once.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
 
 
 def read_vs_copied(read: DataFrame, copied: DataFrame, keys: Sequence[str]) -> DataFrame:

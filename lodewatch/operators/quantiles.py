@@ -118,10 +118,12 @@ def _at_ranks(numbers: DataFrame, brackets: dict[int, Intervals], probs: Sequenc
         hits = running.select("*", _wanted(probs)).select("*", _positions()).select("*", _ranks()).where("rank >= lo and rank < hi")
     else:
         hits = _hits_by_range(counted, probs)
-    fraction = F.max("position") - F.floor(F.max("position"))
+    # as Spark's own percentile: equal ends, also infinite ones, are the result; others are weighed
+    position = F.max("position")
     low, high = F.min("value"), F.max("value")
+    weighed = (F.floor(position) + 1 - position) * low + (position - F.floor(position)) * high
     return hits.groupBy("field", "prob").agg(
-        (low + (high - low) * fraction).alias("value"), (F.count_if(F.col("value").isNull()) > 0).alias("missed")
+        F.when(low == high, low).otherwise(weighed).alias("value"), (F.count_if(F.col("value").isNull()) > 0).alias("missed")
     ).collect()
 
 

@@ -6,32 +6,45 @@ right side is often an aggregation on the join key, so the hot keys are looked u
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType
+
+from lodewatch.session import stored
 
 # Rows of one key that a single task may be given.
 HOT_ROWS = 1_000_000
-# Keys beyond the largest MAX_HOT hold less than 1/MAX_HOT of the rows each and are left alone.
-MAX_HOT = 200
-MAX_SALTS = 1_000
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> tuple[list[int], int]:
-    """(hashes of the hot keys, number of salts); counts are partial before their shuffle.
+def common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> dict[str, DataType]:
+    """The type in which a plain join compares each key, as a union of both sides would have it."""
+    sides = [df.select(*[F.col(f"`{c}`") for c in on]).limit(0) for df in (left, right)]
+    return {f.name: f.dataType for f in sides[0].union(sides[1]).schema}
+
+
+def _key_hash(types: dict[str, DataType]):
+    """Hash of the keys in their common type; equal keys have equal hashes, also 0.0 and -0.0."""
+    keys = [(F.col(f"`{c}`").cast(t), t) for c, t in types.items()]
+    return F.xxhash64(*[k + F.lit(0.0).cast(t) if isinstance(t, (FloatType, DoubleType)) else k for k, t in keys])
+
+
+def hot_keys(df: DataFrame, types: dict[str, DataType], hot_rows: int) -> DataFrame:
+    """(hot_hash, salts) of every key with `hot_rows` rows or more; counts are partial before their shuffle.
 
-    Two keys of one hash are salted together, which changes no result.
+    Each hot key has salts of its own, one per `hot_rows` rows and one more. There is at most one row
+    per `hot_rows` rows of `df`, and no other limit. Two keys of one hash are salted together, which
+    changes no result.
     """
-    counts = df.groupBy(F.xxhash64(*on).alias("h")).agg(F.count("*").alias("n"))
-    top = counts.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(MAX_HOT).collect()
-    salts = min(MAX_SALTS, math.ceil(top[0]["n"] / HOT_ROWS) + 1) if top else 1
-    return [r["h"] for r in top], salts
+    counts = df.groupBy(_key_hash(types).alias("hot_hash")).agg(F.count("*").alias("n"))
+    salts = (F.ceil(F.col("n") / hot_rows) + 1).cast("int").alias("salts")
+    return counts.where(F.col("n") >= hot_rows).select("hot_hash", salts)
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner", counted: DataFrame | None = None
+    left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner", counted: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """`left.join(right, on, how)` for inner, left, left_semi and left_anti joins.
 
@@ -40,13 +53,15 @@ def salted_join(
     costly and a cheaper frame has at least as many rows per key.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot, salts = hot_keys(left if counted is None else counted, on)
-    if not hot:
+    types = common_types(left, right, on)
+    hot = stored(hot_keys(left if counted is None else counted, types, hot_rows or HOT_ROWS), "hot-keys")
+    if hot.isEmpty():
         return left.join(right, on, how)
-    is_hot = F.xxhash64(*on).isin(hot)
     # By the row's content alone: a task that runs again gives every row the salt it had before.
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
-    salted = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
-    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(every))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted = left.withColumn("_hash", _key_hash(types)).join(hot, F.col("_hash") == F.col("hot_hash"), "left")
+    salted = salted.withColumn("_salt", F.coalesce(F.pmod(row, F.col("salts")), F.lit(0)).cast("int"))
+    every = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
+    repeated = right.withColumn("_hash", _key_hash(types)).join(hot, F.col("_hash") == F.col("hot_hash"), "left")
+    repeated = repeated.withColumn("_salt", F.explode(every)).drop("_hash", "hot_hash", "salts")
+    return salted.drop("_hash", "hot_hash", "salts").join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -87,11 +87,11 @@ def d1(u):
 
 @query(
     "d1_describe_numeric_ranked",
-    stat_sql("orders", {c: {s: a for s, a in describe_sql(c).items() if "%" in s} for c in ("o_totalprice", "o_custkey")}),
+    stat_sql("orders", {c: {s: a for s, a in describe_sql(c).items() if "%" in s} for c in ("o_totalprice", "o_custkey", "o_orderkey")}),
 )
 def d1_ranked(u):
     """Quartiles summed over all tasks, the way taken for tables beyond one task per column."""
-    columns = ["o_totalprice", "o_custkey"]
+    columns = ["o_totalprice", "o_custkey", "o_orderkey"]
     ranked = exact_quantiles(u.orders, columns, [0.25, 0.5, 0.75], u.orders.count(), one_task_rows=0)
     percent = F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
     return rounded(ranked.select("field", percent.alias("stat"), "value"))

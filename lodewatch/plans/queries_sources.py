@@ -92,13 +92,14 @@ def a6(u):
 
 @query(
     "a7_ctas_partitioned",
-    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS d FROM events "
-    "WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'",
+    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS d, "
+    "ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' AS in_range FROM events",
 )
 def a7(u):
     table = tables.ctas_partitioned(u.events, temp_name("events_by_day"), "ts", work_dir(u.spark, "events-by-day"))
-    days = tables.on_dates(table, "ts", "2024-01-10", "2024-01-20")
-    return days.select("event_id", "user_id", "event_type", "value", F.col("d").cast("string").alias("d"))
+    days = tables.on_dates(table, "ts", "2024-01-10", "2024-01-20").select("event_id", F.lit(True).alias("hit"))
+    every = table.join(days, "event_id", "left")
+    return every.select("event_id", "user_id", "event_type", "value", F.col("d").cast("string").alias("d"), F.coalesce("hit", F.lit(False)).alias("in_range"))
 
 
 def _customer_drops(u):
@@ -118,7 +119,7 @@ def a8(u):
     loaded, sources = files.load_from_uris(
         u.spark, uris, work_dir(u.spark, "customer-loaded"), u.customer.schema, "csv", header=True
     )
-    edges = files.load_edges(sources, u.customer.schema, "customer").groupBy(F.col("input_ord").alias("location"))
+    edges = files.load_edges(sources, u.customer.schema, "customer").groupBy("location")
     name = F.substring_index("location", "/", -1).alias("drop_name")
     per_uri = sources.join(edges.agg(F.count("*").cast("int").alias("n_edges")), "location")
     return per_uri.select(name, "nrows", "n_edges").withColumn("loaded", F.lit(loaded.count()).cast("long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lodewatch.functions.messages import explode_fields
@@ -171,12 +173,9 @@ def j6(u):
 )
 def j7(u):
     """Last progress line of a streaming run: records and bytes observed with every micro-batch."""
-    out, progress = work_dir(u.spark, "progress"), run.Progress("progress")
+    out, progress = work_dir(u.spark, "progress"), run.Progress(f"progress-{uuid.uuid4().hex}")
     stream = run.with_progress(event_stream(u), progress.name)
-    query_ = run.start_upsert(stream, f"{out}/rows", f"{out}/checkpoint")
-    query_.awaitTermination()
-    for update in query_.recentProgress:
-        progress.add(update)
+    run.run_with_progress(lambda: run.start_upsert(stream, f"{out}/rows", f"{out}/checkpoint"), u.spark, progress)
     return u.spark.createDataFrame([(progress.lines[-1],)], "line string")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodewatch.functions import keys, sqltext
 from lodewatch.operators import entities, transform
+from lodewatch.operators.skew import salted_join
 from lodewatch.plans.registry import query
 from lodewatch.plans.universe import FILES_SQL, LOG_SQL, RUNS_SQL
 from lodewatch.session import work_dir
@@ -79,25 +80,28 @@ def b10(u):
 @query(
     "f1_concat",
     "SELECT l_orderkey, l_linenumber, l_quantity, CAST(NULL AS DOUBLE) AS l_tax FROM lineitem WHERE l_returnflag = 'A' "
-    "UNION ALL SELECT l_orderkey, l_linenumber, NULL, l_tax FROM lineitem WHERE l_returnflag = 'R'",
+    "UNION ALL SELECT l_orderkey, l_linenumber, NULL, l_tax FROM lineitem WHERE l_returnflag = 'R' "
+    "UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_tax FROM lineitem WHERE l_returnflag = 'N'",
 )
 def f1(u):
     a = transform.filter_eq(u.lineitem, "l_returnflag", "A").select("l_quantity", "l_orderkey", "l_linenumber")
     b = transform.filter_eq(u.lineitem, "l_returnflag", "R").select("l_orderkey", "l_linenumber", "l_tax")
-    return transform.concat([a, b])
+    c = transform.filter_eq(u.lineitem, "l_returnflag", "N").select("l_orderkey", "l_tax", "l_linenumber", "l_quantity")
+    return transform.concat([a, b, c])
 
 
 @query(
     "f2_merge_inputs",
     "SELECT stmt_id, input FROM (SELECT o_orderkey AS stmt_id, unnest(CASE o_orderpriority "
     "WHEN '1-URGENT' THEN ['seed_' || o_custkey, 'wh.sales.orders_' || o_orderkey, 'wh.sales.orders_' || (o_orderkey + 1)] "
+    "WHEN '3-MEDIUM' THEN ['seed_' || o_custkey, 'wh.sales.orders_' || o_orderkey, 'wh.sales.orders_' || (o_orderkey + 1)] "
     "WHEN '4-NOT SPECIFIED' THEN ['seed_' || o_custkey] "
-    "ELSE ['seed_' || o_custkey, 'wh.sales.orders_' || o_orderkey] END) AS input FROM orders WHERE o_orderpriority <> '3-MEDIUM')",
+    "ELSE ['seed_' || o_custkey, 'wh.sales.orders_' || o_orderkey] END) AS input FROM orders)",
 )
 def f2(u):
     from lodewatch.operators.sqllog import merge_inputs
 
-    log = u.orders.where("o_orderpriority <> '3-MEDIUM'").selectExpr("o_orderkey AS stmt_id", "o_custkey", f"{LOG_SQL} AS sql")
+    log = u.orders.selectExpr("o_orderkey AS stmt_id", "o_custkey", f"{LOG_SQL} AS sql")
     named = sqltext.qualified_only(sqltext.input_tables(sqltext.clean_sql("sql")))
     seeds = F.array(F.concat(F.lit("seed_"), F.col("o_custkey")))
     return log.select("stmt_id", F.explode(merge_inputs(seeds, named)).alias("input"))
@@ -239,3 +243,25 @@ def g13(u):
 )
 def e1(u):
     return entities.sort_fields(u.order_fields(), "ok")
+
+
+@query(
+    "c2_salted_join",
+    "SELECT l_orderkey, l_linenumber, l_returnflag, n FROM lineitem JOIN (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2) "
+    "USING (l_suppkey, l_returnflag)",
+)
+def salted(u):
+    """Line items with the number of their supplier and flag; every key above 20 rows is salted, and the keys' types differ."""
+    counts = u.lineitem.groupBy(F.col("l_suppkey").cast("decimal(20,0)").alias("l_suppkey"), "l_returnflag").agg(F.count("*").alias("n"))
+    joined = salted_join(u.lineitem, counts, ["l_suppkey", "l_returnflag"], hot_rows=20)
+    return joined.select("l_orderkey", "l_linenumber", "l_returnflag", "n")
+
+
+@query(
+    "c4_salted_anti_join",
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)",
+)
+def salted_anti(u):
+    """Orders of customers outside a list; customers with five orders or more are salted."""
+    listed = u.customer.where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("int").alias("o_custkey"))
+    return salted_join(u.orders.select("o_orderkey", "o_custkey"), listed, "o_custkey", "left_anti", hot_rows=5)

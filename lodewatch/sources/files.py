@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,15 +157,17 @@ def load_from_uris(
 def load_edges(sources: DataFrame, schema: T.StructType, lineage_key: str) -> DataFrame:
     """Lineage edges of such a load: each field of each URI feeds the field of the same name."""
     names = F.array(*[F.lit(f.name) for f in schema])
-    return sources.select(
-        F.lit(lineage_key).alias("lineage_key"), F.col("location").alias("input_ord"),
+    order = F.row_number().over(Window.orderBy("location")).cast("long") - 1  # as many rows as there are URIs
+    return sources.withColumn("input_ord", order).select(
+        F.lit(lineage_key).alias("lineage_key"), "input_ord", "location",
         F.col("schema_id").alias("input_schema_id"), F.posexplode(names).alias("edge_ord", "output_field"),
     ).withColumn("input_fields", F.array("output_field"))
 
 
 def _plain(path: Column) -> Column:
     """Path without the local scheme, which Spark adds to local files."""
-    return F.regexp_replace(path, "^file:(//)?", "")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))  # Spark reports blanks and others percent-encoded
+    return F.regexp_replace(decoded, "^file:(//)?", "")
 
 
 def copy_dataset(spark: SparkSession, src: str, dst: str) -> DataFrame:

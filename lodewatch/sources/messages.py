@@ -19,6 +19,7 @@ def read_file_stream(
     reader = spark.readStream.schema(schema).format(source_format)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    path = path.rstrip("/")
     # As a pattern the path may be a plain file too; a literal one must be a folder.
     return reader.load(f"{path[:-1]}[{path[-1]}]")
 

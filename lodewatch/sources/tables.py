@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodewatch.functions.keys import quoted
+from lodewatch.session import stored
 
 FIELD_SCHEMA = "pos int, name string, dtype string, nullable boolean, sensitive boolean"
 
 
 def external_table(spark: SparkSession, name: str, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Registers stored Parquet as a table; without a schema the files' own is taken."""
+    found = schema or spark.read.parquet(path).schema  # fails before the old table is dropped
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+    spark.catalog.createTable(name, path=path, source="parquet", schema=found)
     return spark.table(name)
 
 
@@ -27,10 +29,13 @@ def ctas_partitioned(
 
     The rebalance hint brings the rows of a day together before the write, so a day
     is a few files and not one per task, and lets Spark split a day that is too big
-    for one task.
+    for one task. Where the table exists, the rows are written to the work folder
+    first: `src` may read the table that is replaced, and a failed query leaves it.
     """
     spark = src.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        src = stored(src, "replacement")
+        spark.sql(f"DROP TABLE {name}")
     dated = src.withColumn(partition, F.to_date(quoted(ts))).hint("rebalance", partition)
     writer = dated.write.mode("overwrite").format("parquet").partitionBy(partition)
     if path:

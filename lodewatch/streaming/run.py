@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -59,6 +61,8 @@ class Progress(StreamingQueryListener):
     lines: list[str] = field(default_factory=list)
     records: int = 0
     size: int = 0
+    finished: list[str] = field(default_factory=list)
+    done: threading.Event = field(default_factory=threading.Event)
 
     def __hash__(self):
         return id(self)
@@ -70,7 +74,16 @@ class Progress(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.finished.append(str(event.runId))  # comes after the progress of every batch
+        self.done.set()
+
+    def ended(self, run_id: str, seconds: float) -> bool:
+        """Waits for the report that a run has ended."""
+        deadline = time.monotonic() + seconds
+        while run_id not in self.finished and (left := deadline - time.monotonic()) > 0:
+            self.done.wait(left)
+            self.done.clear()
+        return run_id in self.finished
 
     def onQueryProgress(self, event) -> None:
         self.add(event.progress)
@@ -83,6 +96,21 @@ class Progress(StreamingQueryListener):
             self.lines.append(f"Records read: {self.records} ({self.size} bytes)")
 
 
+def run_with_progress(start, spark: SparkSession, progress: Progress, seconds: float = 60) -> None:
+    """Runs the query that `start()` starts to its end, with every batch's progress counted.
+
+    A query itself keeps the progress of its last batches only; the listener is told of all.
+    """
+    spark.streams.addListener(progress)
+    try:
+        query = start()
+        query.awaitTermination()
+        if not progress.ended(str(query.runId), seconds):
+            raise TimeoutError("the end of the query was not reported")
+    finally:
+        spark.streams.removeListener(progress)
+
+
 def with_progress(messages: DataFrame, name: str = "progress") -> DataFrame:
     """The stream with its record and byte counts observed, for a `Progress` listener of that name."""
     return messages.observe(

@@ -24,13 +24,31 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, low_threshold, how):
     left, right = sides(spark)
-    hot, salts = skew.hot_keys(left, ["k"])
-    assert len(hot) == 1 and salts > 2
+    hot = skew.hot_keys(left, skew.common_types(left, right, ["k"]), 50).collect()
+    assert len(hot) == 1 and hot[0]["salts"] == 7
     got, plain = skew.salted_join(left, right, "k", how), left.join(right, ["k"], how)
     assert got.columns == plain.columns
     assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
 
 
+TYPES = [("int", "bigint"), ("bigint", "int"), ("date", "timestamp"), ("float", "double"), ("string", "string")]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("kinds", TYPES)
+def test_keys_of_different_types(spark, how, kinds):
+    def key(n, kind):
+        days = {"date": "date_add(date'2024-01-01', cast({0} as int))", "timestamp": "timestamp_seconds(1704067200 + 86400 * {0})"}
+        reals = {"float": "if({0} = 0, cast('-0.0' as float), cast({0} as float))", "double": "if({0} = 1, cast('NaN' as double), cast({0} as double))"}
+        return F.expr({**days, **reals}.get(kind, f"cast({{0}} as {kind})").format(n)).alias("k")
+
+    left = spark.range(400).select(key("if(id % 4 = 0, null, id % 4)", kinds[0]), F.col("id").alias("v"))
+    left = left.unionByName(spark.range(80).select(key("0", kinds[0]), F.col("id").alias("v")))
+    right = spark.range(6).select(key("if(id = 5, null, id)", kinds[1]), (F.col("id") * 2).alias("w"))
+    got, plain = skew.salted_join(left, right, "k", how, hot_rows=20), left.join(right, ["k"], how)
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
 def test_hot_key_is_spread_over_tasks(spark, low_threshold):
     left, right = sides(spark)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
