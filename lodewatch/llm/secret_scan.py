@@ -4,7 +4,8 @@ Two first-order models over characters (letters without case) are learned from l
 strings and one of ordinary identifiers. A candidate is a run of `LONG` or more letters, digits and `+/_=-`; it is
 added as a span of kind `random` if the log-likelihood ratio of its transitions, summed, is at least `ratio` and
 no span of the patterns overlaps it. Where the caller has no labelled samples, the corpus labels them itself:
-values that the patterns find are random strings, runs of `WORDY` or more characters elsewhere are ordinary.
+values that the patterns find are random strings, runs of `WORDY` or more characters elsewhere are ordinary, if they
+do not have both letters and digits.
 
 Everything is built of Spark expressions: matches and the text between them give positions by running sums of
 lengths; transitions are counted by a grouped aggregate with at most 2 x 43 x 43 result rows, which is all that
@@ -76,32 +77,36 @@ def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def label_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(value, secret) from the corpus itself: pattern values, and long runs that no pattern touches."""
+    """(value, secret) from the corpus itself: pattern values, and long runs of letters or of digits that no pattern touches."""
     rows = _base(docs, id_col, text_col)
     secret = rows.where(F.size("base") > 0).select(F.explode("base.value").alias("value"), F.lit(True).alias("secret"))
     runs = F.regexp_extract_all(F.col("text"), F.lit(RUN + "{%d,}" % WORDY), F.lit(0))
-    free = F.filter(runs, lambda r: ~F.exists("base", lambda b: F.contains(r, b["value"]) | F.contains(b["value"], r)))
+    mixed = "[0-9][^0-9]*[A-Za-z]|[A-Za-z][^A-Za-z]*[0-9]"  # letters and digits: may be a secret, not labelled
+    free = F.filter(runs, lambda r: ~r.rlike(mixed) & ~F.exists("base", lambda b: F.contains(r, b["value"]) | F.contains(b["value"], r)))
     return secret.unionByName(rows.select(F.explode(free).alias("value"), F.lit(False).alias("secret")))
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios random against ordinary, `N` x `N` by last and next character.
 
-    Random strings start from the even distribution (one count each), ordinary ones likewise, so that without
-    samples every ratio is 0.
+    A random string's next character is drawn half as learned and half evenly, since samples of one alphabet
+    (hexadecimal keys) must not speak against another; ordinary ones start from one count each. Without samples
+    every ratio is 0.
     """
     chars = F.split(F.lower(F.concat(F.lit("\u0001"), "value")), "")
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1))), lambda i: F.struct(F.get(chars, i - 1).alias("a"), F.get(chars, i).alias("b")))
     counted = samples.where(F.length("value") > 0).select("secret", F.explode(pairs).alias("p")).groupBy("secret", "p.a", "p.b").count()
     known = counted.withColumn("i", F.expr(f"instr('{LETTERS}', a)")).withColumn("j", F.expr(f"instr('{LETTERS}', b)")).where("j > 0")
-    total = {True: [[1.0] * N for _ in range(N)], False: [[1.0] * N for _ in range(N)]}
+    seen = {True: [[0.0] * N for _ in range(N)], False: [[0.0] * N for _ in range(N)]}
     for r in known.groupBy("secret", "i", "j").agg(F.sum("count").alias("n")).collect():
-        total[r["secret"]][r["i"]][r["j"]] += r["n"]
-    table = []
-    for i in range(N):
-        random, plain = total[True][i], total[False][i]
+        seen[r["secret"]][r["i"]][r["j"]] += r["n"]
+    table, even = [], 1 / (N - 1)
+    for random, plain in zip(seen[True], seen[False]):
+        n_random, n_plain = sum(random), sum(plain)
         for j in range(N):
-            table.append(math.log(random[j] / sum(random[1:])) - math.log(plain[j] / sum(plain[1:])) if j else 0.0)
+            learned = random[j] / n_random if n_random else even
+            ordinary = (plain[j] + 1) / (n_plain + N - 1)
+            table.append(math.log((learned + even) / 2) - math.log(ordinary) if j else 0.0)
     return table
 
 
