@@ -126,7 +126,39 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-@query("op1_quality_rules")
+RULE_GRID_SQL = ", ".join(
+    f"('{rule}', {i}, {cutoff}::DOUBLE)" for rule, (_, grid) in quality_rules.RULES.items() for i, cutoff in enumerate(grid)
+)
+METRIC_SQL = " ".join(
+    "WHEN '{}' THEN coalesce({}::DOUBLE / nullif({}, 0), 0)".format(rule, *metric.split(" / ")) for rule, (metric, _) in quality_rules.RULES.items()
+)
+
+
+@query("op1_quality_rules", rf"""
+WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 2)) AS i FROM t WHERE len(words) > 2)),
+r AS (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+p AS (SELECT doc_id, count(DISTINCT i) AS n_repeat_words FROM r GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+s AS (SELECT doc_id, lang, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM t LEFT JOIN l USING (doc_id) LEFT JOIN p USING (doc_id)),
+m AS (SELECT doc_id, lang, rule, place, cutoff, CASE rule {METRIC_SQL} END AS metric FROM s CROSS JOIN (VALUES {RULE_GRID_SQL}) AS v(rule, place, cutoff)),
+k AS (SELECT lang, rule, place, cutoff, count(*) AS n, count(*) FILTER (metric > cutoff) AS k FROM m
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1) GROUP BY ALL),
+q AS (SELECT *, CASE WHEN k >= n * {quality_rules.LIMIT}::DOUBLE THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
+    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({quality_rules.LIMIT}::DOUBLE) + (n - j) * ln(1 - {quality_rules.LIMIT}::DOUBLE))))
+    END <= {quality_rules.ERROR}::DOUBLE / ({len(quality_rules.RULES)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM k))) AS certified FROM k),
+f AS (SELECT lang, rule, min(place) FILTER (NOT certified) AS failed FROM q GROUP BY lang, rule),
+c AS (SELECT q.lang, q.rule, arg_max(cutoff, place) AS cutoff FROM q JOIN f ON q.rule = f.rule AND q.lang IS NOT DISTINCT FROM f.lang
+  WHERE place < coalesce(failed, 1000) GROUP BY q.lang, q.rule),
+j AS (SELECT DISTINCT m.doc_id FROM m JOIN c ON m.rule = c.rule AND m.lang IS NOT DISTINCT FROM c.lang WHERE m.place = 0 AND m.metric > c.cutoff),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM j) AS kept FROM b""")
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
