@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lodewatch.llm.text import Remembered, map_texts
 
-WORDS, PIECES = 400_000, 700_000  # words and pieces whose tokens a worker remembers at most
+WORDS, PIECES = 200_000, 300_000  # words and pieces whose tokens a worker remembers at most
 
 def byte_alphabet() -> list[str]:
     """The character of each byte: printable Latin-1 stands for itself, the others for 256, 257, ... in order."""
