@@ -51,7 +51,8 @@ def split_by_key(df: DataFrame, key: str, path: str, columns: Sequence[str] | No
     A report of one key is `result.where(key == value)`, which reads that folder only.
     """
     kept = df if columns is None else project(df, [key, *[c for c in columns if c != key]])
-    kept.write.mode("overwrite").partitionBy(key).parquet(path)
+    # brings a key's rows together, a few files each, and lets Spark split a key too big for one task
+    kept.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -77,8 +77,8 @@ class ObservedFrame:
 
 
 def _once(frames: Sequence[ObservedFrame]) -> tuple[Source, ...]:
-    """Inputs of several frames, each schema once, in order."""
-    return tuple({s.schema_id: s for f in frames for s in f.inputs}.values())
+    """Inputs of several frames, each frame once, in order; one location may be read as several frames."""
+    return tuple({(s.schema_id, id(s.frame)): s for f in frames for s in f.inputs}.values())
 
 
 class ObservedSession:
@@ -104,6 +104,7 @@ class ObservedSession:
     ):
         self.spark, self.log, self.dtype_style = spark, log, dtype_style
         self.profile_inputs = profile_inputs
+        self._unexported: set[str] = set()  # runs whose metrics are not in the entity log yet
         self.start = (start or datetime.datetime.now()).isoformat()
         if is_dirty:
             version, author = version + DIRTY_SUFFIX, user
@@ -198,11 +199,12 @@ class ObservedSession:
 
     def _input_profile(self, source: Source) -> DataFrame:
         """Profile of an input, computed once and kept as a written table."""
-        if source.schema_id not in self._profiled:
-            path = f"{self.log}/profiles/{source.schema_id}-{self.execution_id}"
+        key = source.schema_id, id(source.frame)
+        if key not in self._profiled:
+            path = f"{self.log}/profiles/{source.schema_id}-{self.execution_id}-{len(self._profiled)}"
             profile_table(source.frame, registry=default_registry()).write.mode("overwrite").parquet(path)
-            self._profiled[source.schema_id] = self.spark.read.parquet(path)
-        return self._profiled[source.schema_id]
+            self._profiled[key] = self.spark.read.parquet(path)
+        return self._profiled[key]
 
     def _emit_metrics(self, metrics: DataFrame, schema_id: str, run_id: str) -> None:
         rows = metrics.select(
@@ -212,14 +214,18 @@ class ObservedSession:
             "field", "stat", "value",
         )
         rows.write.mode("append").parquet(f"{self.log}/metrics")
+        self._unexported.add(run_id)
 
     def metrics(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.log}/metrics")
 
     def export_metrics(self) -> None:
-        """Appends the metrics to the entity log as JSON lines, one object per schema and run."""
+        """Appends this session's metrics to the entity log as JSON lines, one object per schema and run, each once."""
         keys = ["metrics_id", "schema_id", "lineage_execution_id"]
-        maps = metrics_long_to_map(self.metrics(), keys)
+        runs, self._unexported = sorted(self._unexported), set()
+        if not runs:
+            return
+        maps = metrics_long_to_map(self.metrics().where(F.col("lineage_execution_id").isin(runs)), keys)
         lines = maps.select(
             F.col("metrics_id").alias("id"), "metrics", F.col("schema_id").alias("schema"),
             F.col("lineage_execution_id").alias("lineage_execution"),

@@ -78,6 +78,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def small_enough(table: DataFrame) -> bool:
+    """Whether Spark broadcasts a stored table by itself: its size in bytes is below the session's threshold."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Spreads a scan that has fewer splits than the session has cores over all cores.
 

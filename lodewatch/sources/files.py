@@ -87,6 +87,7 @@ def csv_to_parquet(
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Header CSV without an index column."""
+    df = df.hint("rebalance", *partition_by) if partition_by else df
     writer = df.write.mode(mode).option("header", True).option("timestampNTZFormat", TIMESTAMP_TEXT)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

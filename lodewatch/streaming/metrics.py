@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.functions.messages import explode_fields, field_amount, json_type_of
+from lodewatch.session import small_enough, stored
 
 METRIC_KINDS = ("number", "string")
 UNKNOWN = "unknown"
-# Up to this many streams the declared types are sent to all tasks.
-BROADCAST_STREAMS = 10_000
 STREAM_SALTS = 32
 
 
@@ -77,7 +76,7 @@ def declared_types(catalog: DataFrame) -> DataFrame:
     return catalog.groupBy("stream").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("declared"))
 
 
-def record_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
+def record_violations(messages: DataFrame, declared: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
     """Messages with `violations`, the texts of all rules a record breaks.
 
     A field whose JSON type is not among its declared types breaks the rule; an undeclared field
@@ -89,7 +88,7 @@ def record_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
         F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")),
         lambda e: F.struct(e["key"].alias("field"), F.schema_of_variant(e["value"]).alias("schema")),
     )
-    checked = _with_declared(parsed.select(*messages.columns, found.alias("_found")), declared)
+    checked = _with_declared(parsed.select(*messages.columns, found.alias("_found")), declared, salts)
     entries = F.transform(
         "_found",
         lambda f: F.struct(
@@ -111,16 +110,18 @@ def record_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
     return checked.select(*messages.columns, violations.alias("violations"))
 
 
-def _with_declared(messages: DataFrame, declared: DataFrame) -> DataFrame:
+def _with_declared(messages: DataFrame, declared: DataFrame, salts: int) -> DataFrame:
     """Joins the declared types; a stream may hold a third of all messages.
 
-    The declared side is one row per stream. It is counted, and sent to all tasks if it is small;
+    The declared side, one row per stream, is written once, so that no micro-batch makes it again and
+    Spark knows its size in bytes. If that is below the session's threshold Spark broadcasts it;
     otherwise the messages are salted and its rows repeated, which works for streaming frames too.
     """
-    if declared.count() <= BROADCAST_STREAMS:
-        return messages.join(F.broadcast(declared), "stream", "left")
-    salted = messages.withColumn("_salt", F.pmod(F.xxhash64("offset"), F.lit(STREAM_SALTS)).cast("int"))
-    repeated = declared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
+    declared = stored(declared, "declared")
+    if small_enough(declared):
+        return messages.join(declared, "stream", "left")
+    salted = messages.withColumn("_salt", F.pmod(F.xxhash64("offset"), F.lit(salts)).cast("int"))
+    repeated = declared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, ["stream", "_salt"], "left").drop("_salt")
 
 
@@ -129,12 +130,12 @@ def _allowed(types, found):
     return F.array_contains(types, found) | ((found == "integer") & F.array_contains(types, "number"))
 
 
-def schema_violations(messages: DataFrame, declared: DataFrame) -> DataFrame:
+def schema_violations(messages: DataFrame, declared: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
     """(stream, records, messages): number of records that break a rule, and the distinct texts.
 
     Both are exact; the texts name fields and types, not values, so they are few.
     """
-    broken = record_violations(messages, declared).select("stream", F.posexplode("violations").alias("nth", "text"))
+    broken = record_violations(messages, declared, salts).select("stream", F.posexplode("violations").alias("nth", "text"))
     return broken.groupBy("stream").agg(
         F.count_if(F.col("nth") == 0).alias("records"), F.array_sort(F.collect_set("text")).alias("messages")
     )

@@ -83,7 +83,7 @@ def test_violations_with_many_streams(spark, monkeypatch):
     catalog = messages.select("stream", F.lit("k").alias("field"), F.array(F.lit("number")).alias("types")).distinct()
     declared = metrics.declared_types(catalog)
     small = metrics.schema_violations(messages, declared)
-    monkeypatch.setattr(metrics, "BROADCAST_STREAMS", 5)
+    monkeypatch.setattr(metrics, "small_enough", lambda table: False)
     large = metrics.schema_violations(messages, declared)
     assert large.exceptAll(small).count() == 0 and small.exceptAll(large).count() == 0
     assert large.where("stream = 'hot'").first()["records"] == 200
