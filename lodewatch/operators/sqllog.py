@@ -5,12 +5,15 @@ The log is a frame (stmt_id, sql); every step is a column expression over its ro
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.functions import sqltext
-from lodewatch.functions.keys import strip_tmp
-from lodewatch.operators.lineage import lineage_direct_or_full
+from lodewatch.functions.keys import md5_key, strip_tmp
+from lodewatch.operators.entities import schemas
+from lodewatch.operators.lineage import lineage_direct_or_full, lineage_executions, lineages
 from lodewatch.operators.skew import salted_join
 from lodewatch.session import stored
 
@@ -81,3 +84,60 @@ def statement_lineage(log: DataFrame, table_fields: DataFrame, seeds: DataFrame
 def merge_inputs(seeds: Column, inputs: Column) -> Column:
     """Seed inputs first, then those of the statement, each once."""
     return F.array_distinct(F.concat(F.coalesce(seeds, F.array().cast("array<string>")), inputs))
+
+
+# Format of logged tables as data sources, and what their category begins with.
+TABLE_FORMAT = "postgres"
+CATEGORY = "logical::"
+
+
+@dataclass
+class LogObservation:
+    """What a SQL log says, as entity rows."""
+
+    sources: DataFrame  # table_name, id, name, location, format, category, schema_id
+    edges: DataFrame
+    lineage: DataFrame
+    execution: DataFrame
+    metrics: DataFrame
+
+
+def observe_log(
+    log: DataFrame, table_fields: DataFrame, table_metrics: DataFrame, runs: DataFrame, host: str, port: int, seeds: DataFrame | None = None
+) -> LogObservation:
+    """Sources, schemas, lineage, runs and metrics of every table that a tracked statement reads or writes.
+
+    `table_fields`: table_name, pos, name, dtype; `table_metrics`: table_name, field, stat, value;
+    `runs`: stmt_id, app_execution, start_time. Metrics are tied to the run that read or wrote their table.
+    """
+    with_uri = table_fields.withColumn("location", sqltext.source_uri(F.lit(host), F.lit(port), "table_name"))
+    keyed = with_uri.withColumn("data_source_id", md5_key("location", F.lit(TABLE_FORMAT)))
+    ids = keyed.select("table_name", "location", "data_source_id").distinct().join(schemas(keyed), "data_source_id")
+    sources = stored(
+        ids.select(
+            "table_name", F.col("data_source_id").alias("id"), F.col("table_name").alias("name"), "location",
+            F.lit(TABLE_FORMAT).alias("format"), F.concat(F.lit(CATEGORY), F.col("table_name")).alias("category"), "schema_id",
+        ),
+        "log-sources",
+    )
+    edges = stored(statement_lineage(log, table_fields.select("table_name", "pos", "name"), seeds), "log-edges")
+    statement = F.split("lineage_key", ":")
+    written = edges.select("lineage_key").distinct().select("lineage_key", F.get(statement, 2).alias("table_name"))
+    outputs = stored(written.join(sources.select("table_name", "schema_id"), "table_name"), "log-outputs")
+    lineage = stored(lineages(edges, outputs.select("lineage_key", "schema_id")), "log-lineage")
+    started = outputs.select("lineage_key", F.get(statement, 0).alias("stmt_id")).join(
+        runs.withColumn("stmt_id", F.col("stmt_id").cast("string")), "stmt_id"
+    )
+    execution = stored(lineage_executions(lineage, started.select("lineage_key", "app_execution", "start_time")), "log-runs")
+    read = edges.select("lineage_key", F.col("input_schema_id").alias("table_name")).distinct()
+    touched = read.unionByName(outputs.select("lineage_key", "table_name")).distinct()
+    run_of = lineage.select("lineage_key", F.col("id").alias("lineage")).join(
+        execution.select("lineage", F.col("id").alias("lineage_execution_id"), "application_execution", "start_time"), "lineage"
+    ).join(started.select("lineage_key", F.col("app_execution").alias("application_execution"), "start_time"), ["lineage_key", "application_execution", "start_time"])
+    facts = touched.join(run_of.select("lineage_key", "lineage_execution_id").distinct(), "lineage_key").join(
+        sources.select("table_name", "schema_id"), "table_name"
+    )
+    metrics = facts.select("table_name", "schema_id", "lineage_execution_id").distinct().join(table_metrics, "table_name").select(
+        md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id", "field", "stat", "value"
+    )
+    return LogObservation(sources, edges, lineage, execution, metrics)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodewatch.functions import sqltext
+from lodewatch.functions.keys import iso_time
 from lodewatch.operators import sqllog
 from lodewatch.plans.queries_lineage import flat
 from lodewatch.plans.registry import query
@@ -78,7 +79,7 @@ def i6(u):
     return u.query_log().select("stmt_id", sqltext.bind_params("sql").alias("sql"))
 
 
-STATEMENT_LINEAGE_SQL = f"""WITH {LINEAGE_SQL},
+STATEMENT_EDGES_SQL = f"""{LINEAGE_SQL},
 reads AS (
   SELECT o_orderkey AS stmt_id, o_custkey AS ck, o_orderkey AS ok, 0 AS input_ord FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'
   UNION ALL SELECT o_orderkey, o_custkey, o_orderkey + 1, 1 FROM orders WHERE o_orderpriority = '1-URGENT'),
@@ -88,7 +89,9 @@ d AS (
 w AS (
   SELECT s.stmt_id, s.ck, s.input_ord, r.pos, r.name AS output_field, l.names AS input_fields
   FROM reads s JOIN in_lists l ON s.ok = l.ok JOIN report_fields r ON r.ck = s.ck),
-e AS (SELECT * FROM d UNION ALL SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.stmt_id = w.stmt_id AND d.input_ord = w.input_ord))
+e AS (SELECT * FROM d UNION ALL SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.stmt_id = w.stmt_id AND d.input_ord = w.input_ord))"""
+
+STATEMENT_LINEAGE_SQL = f"""WITH {STATEMENT_EDGES_SQL}
 SELECT stmt_id || ':0:wh.rep.customer_' || ck AS ck, CAST(input_ord AS INTEGER) AS ok,
   CAST(row_number() OVER (PARTITION BY stmt_id, input_ord ORDER BY pos) - 1 AS INTEGER) AS edge_ord, output_field, input_fields FROM e"""
 
@@ -114,3 +117,55 @@ def i9(u):
         "p_partkey", sqltext.model_application("p_name").alias("app"),
         sqltext.model_version(explicit, F.col("p_brand")).alias("version"),
     )
+
+
+@query(
+    "i10_log_observation",
+    f"""WITH {STATEMENT_EDGES_SQL},
+tf AS (SELECT 'wh.sales.orders_' || ok AS t, name, dtype FROM order_fields
+  UNION ALL SELECT 'wh.rep.customer_' || ck, name, dtype FROM report_fields),
+src AS (SELECT t, 'postgres://db.local:5432/' || t AS location, md5('postgres://db.local:5432/' || t || ',postgres') AS id FROM tf GROUP BY t),
+sch AS (SELECT t, location, id, md5(string_agg(name || '-' || dtype, ',' ORDER BY name, dtype) || ',' || id) AS schema_id
+  FROM src JOIN tf USING (t) GROUP BY t, location, id),
+ed AS (SELECT *, row_number() OVER (PARTITION BY stmt_id, input_ord ORDER BY pos) AS edge_ord FROM e),
+lin AS (SELECT stmt_id, ck, md5(schema_id || string_agg(output_field || ':' || input_fields, ',' ORDER BY input_ord, edge_ord)) AS id
+  FROM ed JOIN sch ON t = 'wh.rep.customer_' || ck GROUP BY stmt_id, ck, schema_id),
+ex AS (SELECT lin.*, md5(lin.id || ',' || md5('model_' || ck) || ',' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')) AS run
+  FROM lin JOIN orders ON o_orderkey = stmt_id),
+om AS (SELECT ok, field, stat, value FROM (
+    SELECT l_orderkey AS ok, 'col_' || (l_partkey % 40) AS field, CAST(count(*) AS DOUBLE) AS count, sum(l_quantity) AS sum
+    FROM lineitem GROUP BY 1, 2) UNPIVOT (value FOR stat IN (count, sum))),
+touched AS (SELECT DISTINCT stmt_id, stmt_id + input_ord AS ok FROM e)
+SELECT 'source' AS kind, id, schema_id AS parent, location || ' logical::' || t AS detail, CAST(NULL AS DOUBLE) AS value FROM sch
+UNION ALL SELECT 'lineage', id, stmt_id || ':0:wh.rep.customer_' || ck, NULL, NULL FROM lin
+UNION ALL SELECT 'run', run, id, stmt_id || ':0:wh.rep.customer_' || ck, NULL FROM ex
+UNION ALL SELECT 'metric', md5(schema_id || ',' || run), run, om.field || '.' || om.stat, round(om.value, 2)
+  FROM touched JOIN ex USING (stmt_id) JOIN sch ON t = 'wh.sales.orders_' || ok JOIN om USING (ok)""",
+)
+def i10(u):
+    """Everything that the log says: sources with their schemas, lineages, runs, and metrics of the tables read."""
+    fields = u.order_fields().select(F.concat(F.lit("wh.sales.orders_"), F.col("ok")).alias("table_name"), F.col("pos").cast("long").alias("pos"), "name", "dtype")
+    reports = u.report_fields().select(F.concat(F.lit("wh.rep.customer_"), F.col("ck")).alias("table_name"), F.col("pos").cast("long").alias("pos"), "name", "dtype")
+    metrics = u.order_metrics().withColumn("table_name", F.concat(F.lit("wh.sales.orders_"), F.col("ok"))).drop("ok")
+    runs = u.orders.select(
+        F.col("o_orderkey").alias("stmt_id"), F.md5(F.concat(F.lit("model_"), F.col("o_custkey"))).alias("app_execution"),
+        iso_time("o_orderdate").alias("start_time"),
+    )
+    seen = sqllog.observe_log(u.query_log(), fields.unionByName(reports), metrics, runs, "db.local", 5432)
+    nothing, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    by_key = seen.lineage.select("lineage_key", F.col("id").alias("lineage"))
+    run_keys = by_key.join(u.orders.select(F.col("o_orderkey").cast("string").alias("stmt_id"), iso_time("o_orderdate").alias("start_time"),
+                                           F.md5(F.concat(F.lit("model_"), F.col("o_custkey"))).alias("application_execution")),
+                           F.get(F.split("lineage_key", ":"), 0) == F.col("stmt_id"))
+    parts = [
+        seen.sources.select(F.lit("source").alias("kind"), "id", F.col("schema_id").alias("parent"), F.concat_ws(" ", "location", "category").alias("detail"), number.alias("value")),
+        seen.lineage.select(F.lit("lineage").alias("kind"), "id", F.col("lineage_key").alias("parent"), nothing.alias("detail"), number.alias("value")),
+        seen.execution.join(run_keys, ["lineage", "application_execution", "start_time"]).select(
+            F.lit("run").alias("kind"), "id", F.col("lineage").alias("parent"), F.col("lineage_key").alias("detail"), number.alias("value")),
+        seen.metrics.select(F.lit("metric").alias("kind"), F.col("metrics_id").alias("id"), F.col("lineage_execution_id").alias("parent"),
+                            F.concat_ws(".", "field", "stat").alias("detail"), F.round("value", 2).alias("value")),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
