@@ -105,3 +105,33 @@ def model_lineage(
         "lineage_key string, input_ord int, input_schema_id string, edge_ord int, output_field string, "
         "input_fields array<string>",
     )
+
+
+def model_lineages(models: DataFrame, name: str = "model", feature: str = "feature", label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """The same edges for a table of fitted lines, one row (name, feature, label) per model, in one job."""
+    key = lambda kind: F.concat(F.lit(kind), F.col(name))
+
+    def edge(kind: str, order: int, schema: Column, output: Column, inputs: Column) -> Column:
+        return F.struct(
+            key(kind).alias("lineage_key"), F.lit(order).alias("input_ord"), schema.alias("input_schema_id"), F.lit(0).alias("edge_ord"),
+            output.alias("output_field"), F.array(inputs).alias("input_fields"),
+        )
+
+    weights, predicted = F.lit("weights"), F.lit(prediction)
+    edges = F.array(
+        edge("fit:", 0, F.lit("X"), weights, F.col(feature)), edge("fit:", 1, F.lit("y"), weights, F.col(label)),
+        edge("predict:", 0, F.col(name), predicted, weights), edge("predict:", 1, F.lit("X"), predicted, F.col(feature)),
+    )
+    return models.select(F.explode(edges).alias("e")).select("e.*")
+
+
+def line_params(df: DataFrame, feature: str, label: str, groups: Sequence[str]) -> DataFrame:
+    """(groups, param, value): what each group's line was fitted with and on, and its weights."""
+    fitted = df.groupBy(*groups).agg(
+        F.regr_count(label, feature).alias("n"), F.regr_slope(label, feature).alias("slope"), F.regr_intercept(label, feature).alias("intercept")
+    )
+    params = F.create_map(
+        F.lit("feature"), F.lit(feature), F.lit("label"), F.lit(label), F.lit("fitIntercept"), F.lit("true"),
+        F.lit("training_rows"), F.col("n").cast("string"), F.lit("slope"), F.round("slope", 3).cast("decimal(20,3)").cast("string"),
+    )
+    return fitted.select(*groups, F.explode(params).alias("param", "value"))

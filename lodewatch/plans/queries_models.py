@@ -119,6 +119,30 @@ def k7(u):
     return rows.withColumn("training_rows", F.lit(model.summary.numInstances).cast("long"))
 
 
+@query(
+    "k6_model_lineages",
+    "SELECT unnest(['fit:line_' || s, 'fit:line_' || s, 'predict:line_' || s, 'predict:line_' || s]) AS lineage_key, unnest([0, 1, 0, 1]) AS input_ord, "
+    "unnest(['X', 'y', 'line_' || s, 'X']) AS input_schema_id, unnest(['weights', 'weights', 'prediction', 'prediction']) AS output_field, "
+    "unnest(['l_quantity', 'l_extendedprice', 'weights', 'l_quantity']) AS input_fields FROM (SELECT DISTINCT l_suppkey AS s FROM lineitem)",
+)
+def k6_table(u):
+    """Lineage of one line per supplier, made in one job from the table of fitted lines."""
+    lines = models.fit_linear_by(u.lineitem, "l_quantity", "l_extendedprice", ["l_suppkey"])
+    named = lines.select(F.concat(F.lit("line_"), F.col("l_suppkey")).alias("model"), F.lit("l_quantity").alias("feature"), F.lit("l_extendedprice").alias("label"))
+    edges = models.model_lineages(named)
+    return edges.withColumn("input_fields", F.array_join("input_fields", "-")).drop("edge_ord")
+
+
+@query(
+    "k7_line_params",
+    "SELECT l_suppkey, unnest(['feature', 'label', 'fitIntercept', 'training_rows']) AS param, "
+    "unnest(['l_quantity', 'l_extendedprice', 'true', regr_count(l_extendedprice, l_quantity)::BIGINT::VARCHAR]) AS value FROM lineitem GROUP BY l_suppkey",
+)
+def k7_table(u):
+    """Parameters of one line per supplier; the slope's text is left to the tests."""
+    return models.line_params(u.lineitem, "l_quantity", "l_extendedprice", ["l_suppkey"]).where("param <> 'slope'")
+
+
 CHART_SQL = "SELECT c_mktsegment, count(*) AS customers, sum(c_acctbal) AS balance FROM customer GROUP BY 1"
 
 
