@@ -54,9 +54,10 @@ def salted_join(
     """
     on = [on] if isinstance(on, str) else list(on)
     types = common_types(left, right, on)
-    hot = stored(hot_keys(left if counted is None else counted, types, hot_rows or HOT_ROWS), "hot-keys")
-    if hot.isEmpty():
+    hot = hot_keys(left if counted is None else counted, types, hot_rows or HOT_ROWS)
+    if not hot.count():
         return left.join(right, on, how)
+    hot = stored(hot, "hot-keys")  # counted once more, for joins that have hot keys; both sides read it
     # By the row's content alone: a task that runs again gives every row the salt it had before.
     row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     salted = left.withColumn("_hash", _key_hash(types)).join(hot, F.col("_hash") == F.col("hot_hash"), "left")
