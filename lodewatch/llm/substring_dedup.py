@@ -171,14 +171,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hash_ = F.struct("h1", "h2")
     anchors = rows.groupBy("anchor").agg(
         F.min(F.struct("id", "first")).alias("source"), F.max("id").alias("last"), F.min(hash_).alias("low"), F.max(hash_).alias("high"))
-    shared = anchors.where("source.id < last").select("anchor", "source", (F.col("low") != F.col("high")).alias("branches"))
+    # written before the joins back: Spark splits a common key only where both sides come straight from a shuffle
+    shared = stored(anchors.where("source.id < last").select("anchor", "source", (F.col("low") != F.col("high")).alias("branches")), "anchors")
     found = stored(rows.join(shared, "anchor").select("id", "first", "count", "source", "branches"), "shared-paths")
     span = [(F.col("first") + F.col("count") + (window - 1)).alias("end"), F.col("source.id").alias("source_id"), F.col("source.first").alias("source_first")]
     plain = found.where("not branches and source.id < id").select("id", "first", *span)
     parts = found.where("branches").groupBy("id").agg(F.collect_list(F.struct("first", "count")).alias("parts"))
     windows = stored(_windows_of(texts.join(parts, "id"), window), "windows")
     least = windows.groupBy("h1", "h2").agg(F.min(F.struct("id", "first")).alias("source"), F.max("id").alias("last")).where("source.id < last")
-    single = windows.join(least, ["h1", "h2"]).where("source.id < id").withColumn("count", F.lit(1)).select("id", "first", *span)
+    single = windows.join(stored(least.drop("last"), "sources"), ["h1", "h2"]).where("source.id < id").withColumn("count", F.lit(1)).select("id", "first", *span)
     return plain.unionByName(single)
 
 
