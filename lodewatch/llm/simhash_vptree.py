@@ -46,22 +46,33 @@ LEAF = 400  # points that are compared in blocks
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """SimHash of the lower-cased (A-Z) words' shingles, as a signed 64-bit number; 0 without words."""
+def gram_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of the shingles of a text's lower-cased (A-Z) words, in order."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) <= shingle:
         grams = [b" ".join(words)]
     else:
         grams = map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
-    hashes = np.fromiter(map(xxh64_intdigest, grams, repeat(SEED)), np.uint64)
+    return np.fromiter(map(xxh64_intdigest, grams, repeat(SEED)), np.uint64)
+
+
+def voted(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have, as a signed 64-bit number; 0 without hashes."""
+    if not len(hashes):
+        return 0
     columns = hashes.view(np.uint8).reshape(-1, 8)
     votes = np.concatenate([np.bincount(columns[:, i], minlength=256) @ _BITS for i in range(8)])
     bits = np.packbits(votes * 2 > len(hashes), bitorder="little")
     return int(bits.view(np.int64)[0])
 
 
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """SimHash of the lower-cased (A-Z) words' shingles, as a signed 64-bit number; 0 without words."""
+    return voted(gram_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, fp, digest), one row per document, written once; the digest is SHA-256 of the text."""
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
