@@ -13,6 +13,7 @@ from lodewatch.llm import (
     bpe,
     chat_format,
     exact_dedup,
+    fm_decontam,
     quality_fm,
     quality_rules,
     secret_scan,
@@ -208,6 +209,30 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+WORDS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)"""
+
+
+@query("op11_fm_decontam", WORDS_SQL + r""",
+i AS (SELECT DISTINCT item_id, least(10, len(words)) AS n, array_to_string(list_slice(words, s, s + least(10, len(words)) - 1), ' ') AS gram
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(words) - 9))) AS s FROM b WHERE len(words) > 0)),
+g AS (SELECT r, n, s, array_to_string(list_slice(words, s, s + n - 1), ' ') AS gram
+  FROM (SELECT r, words, n, unnest(generate_series(1, len(words) - n + 1)) AS s FROM d JOIN (SELECT DISTINCT n FROM i) ON len(words) >= n)),
+h AS (SELECT r, n, s, item_id FROM g JOIN i USING (n, gram)),
+k AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + n - 1)) AS w FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN k USING (r) LEFT JOIN t USING (r)""")
+def op11_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        hexed(F.array_join("items", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
