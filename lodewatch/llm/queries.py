@@ -14,11 +14,13 @@ from lodewatch.llm import (
     chat_format,
     exact_dedup,
     fm_decontam,
+    lexical_blas,
     quality_fm,
     quality_rules,
     secret_scan,
     simhash_vptree,
     source_mix,
+    spelling_trie,
     substring_dedup,
     token_counts,
 )
@@ -233,6 +235,27 @@ def op11_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_lexical_blas", WORDS_SQL + r""",
+n AS (SELECT r, doc_id, len(words)::BIGINT AS n FROM d WHERE len(words) > 0),
+z AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+q AS (SELECT DISTINCT item_id, unnest(words) AS term FROM b),
+f AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM f GROUP BY term) CROSS JOIN z),
+s AS (SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN n USING (r) CROSS JOIN z GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50""")
+def op12_lexical_blas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = lexical_blas.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@query("op13_spelling_trie")
+def op13_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_trie.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
