@@ -71,7 +71,7 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     key, ahead = np.zeros(n, np.int64), symbols.astype(np.int64) + 1
     for shift in range(depth):
         key <<= bits
-        key[: n - shift] |= ahead[shift:] if shift else ahead
+        key[: max(0, n - shift)] |= ahead[shift:]
     order = np.argsort(key)
     slots, keys = np.arange(n), key[order]
     rank = np.empty(n + 1, np.int64)
