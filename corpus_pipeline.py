@@ -13,10 +13,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodewatch.llm import bpe, exact_dedup, near_copies, quality_rules, source_mix
+from lodewatch.llm import bpe, exact_dedup, quality_rules, simhash_vptree, source_mix
 from lodewatch.session import stored
 
 TOKENIZER = "word_bpe_49k.json"
+SHINGLE, RADIUS = 3, 2  # words of a shingle, and the most bits in which linked fingerprints differ
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.keep_one(docs)
+    return simhash_vptree.keep_one(docs, shingle=SHINGLE, radius=RADIUS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
