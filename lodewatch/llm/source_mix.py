@@ -18,7 +18,9 @@ cut again by the same rule, with finer bins, `levels` times.
 
 Results by case: null text has size 0 and takes nothing; null source is a source of its own, last in the order;
 rows with equal rank go by id (null last), and fully equal rows are alike; a source without words has target 0; an
-empty table gives an empty frame. The draw depends on id and seed only, so a rerun takes the same documents.
+empty table gives an empty frame. The draw depends on id (where it is null: on the text's digest) and seed only, so a
+rerun takes the same documents. `take_copies` carries each row through the mix, so that rows that share an id, or have
+none, are taken as often as the mix says of each; further columns come along.
 """
 
 from __future__ import annotations
@@ -39,8 +41,8 @@ SEED = "pareto"
 
 
 def _draw(identity: Column, seed: str) -> Column:
-    """Uniform in (0, 1) from 52 bits of a digest of the id."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(identity.cast("string"), F.lit("")))
+    """Uniform in (0, 1) from 52 bits of a digest."""
+    text = F.concat(F.lit(seed + ":"), identity)
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
 
 
@@ -84,21 +86,26 @@ def _border(rows: DataFrame, bin_of: Column, left: str) -> tuple[DataFrame, Data
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, most: float = MOST_COPIES,
-        fragment: int = FRAGMENT, bins: int = BINS, levels: int = LEVELS, seed: str = SEED) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies, taken (size times copies)."""
+        fragment: int = FRAGMENT, bins: int = BINS, levels: int = LEVELS, seed: str = SEED, carry: bool = False) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, copies, taken (size times copies).
+
+    With `carry` there is the document itself as well, as the struct `row`.
+    """
+    text = F.col(f"`{text_col}`").cast("string")
+    drawn = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     rows = stored(
         docs.select(
-            F.col(f"`{id_col}`").alias("id"),
-            F.col(f"`{source_col}`").cast("string").alias("source"),
-            n_words(F.col(f"`{text_col}`").cast("string")).alias("size"),
-        ).withColumn("u", _draw(F.col("id"), seed)),
+            F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"),
+            n_words(text).alias("size"), _draw(drawn, seed).alias("u"), *whole,
+        ),
         "mix-sizes",
     )
     shares = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most), "mix-targets")
     joined = rows.join(shares.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     odds = F.col("u") / (1.0 - F.col("u")) / (F.col("fraction") / (1.0 - F.col("fraction")) * (F.col("size") / (F.col("size") + float(fragment))))
     ranked = joined.withColumn("odds", F.when((F.col("fraction") > 0) & (F.col("size") > 0), odds))
-    out = ["id", "source", "size", "source_size", "target"]
+    out = ["id", "source", "size", "source_size", "target", *["row"] * carry]
     untouched = ranked.where("odds is null").select(*out, F.col("whole").cast("bigint").alias("copies"))
     sampled = ranked.where("odds is not null").withColumn("rank", F.col("odds") / (1.0 + F.col("odds")))
     sampled = sampled.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -124,12 +131,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mixed documents: every document as often as the mix takes it, with all its columns.
-
-    Documents are matched by id; rows that share an id are given the same number of copies, the largest of theirs.
-    """
-    copies = mix(docs, id_col, text_col, source_col, **options).where("copies > 0")
-    copies = copies.groupBy(F.coalesce(F.concat(F.lit("i"), F.col("id").cast("string")), F.lit("n")).alias("copy_key_")).agg(F.max("copies").alias("copies_"))
-    keyed = docs.withColumn("copy_key_", F.coalesce(F.concat(F.lit("i"), F.col(f"`{id_col}`").cast("string")), F.lit("n")))
-    joined = keyed.join(copies, "copy_key_").withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_").cast("int"))))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mixed documents: every document as often as the mix takes it, with all its columns."""
+    taken = mix(docs, id_col, text_col, source_col, carry=True, **options).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")

@@ -118,3 +118,18 @@ def test_mix_comes_near_its_targets(spark):
     assert copies.columns == df.columns
     assert copies.where("doc_id < 3000 and doc_id <> 7").count() == sum(r["copies"] for r in got if r["id"] is not None and r["id"] < 3000 and r["id"] != 7)
     assert source_mix.mix(df.limit(0)).count() == 0 and source_mix.take_copies(df.limit(0)).count() == 0
+
+
+def test_copies_of_rows_without_or_with_the_same_id(spark):
+    """Each row is taken as often as the mix says of it, whatever its id; sources stay near their targets."""
+    words = " ".join(["word"] * 40)
+    rows = [(None if i % 2 else i % 7, f"{words} {i}", f"s{i % 3}", i) for i in range(300 + 100)] + [(None, None, None, -1), (None, "", "s1", -2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row int")
+    taken = source_mix.take_copies(docs)
+    assert taken.columns == docs.columns
+    got = {}
+    for r in taken.collect():
+        got[r["source"]] = got.get(r["source"], 0) + len(r["text"].split())
+    targets = {r["source"]: r["target"] for r in source_mix.mix(docs).collect()}
+    assert set(got) == {"s0", "s1", "s2"} and all(abs(got[s] - targets[s]) <= 21 for s in got)
+    assert max(taken.groupBy("row").count().toPandas()["count"]) <= 2
