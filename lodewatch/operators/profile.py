@@ -11,15 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodewatch.functions.keys import quoted
-from lodewatch.operators.quantiles import as_number, exact_quantiles
+from lodewatch.operators.quantiles import numbers_of, quantiles_of, sketch_aggregates
 
 NUMERIC, TEMPORAL, BOOLEAN, STRING, OTHER = "numeric", "temporal", "boolean", "string", "other"
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 APPROX_ACCURACY = 10_000
-# Up to this many values, of all columns together, the quartiles are taken in the same scan as the
-# rest, by Spark's own `percentile`; it keeps the distinct values in one buffer.
-BUFFERED_VALUES = 1_000_000
 # Longer texts are told apart by their SHA-256 when they are counted; the prefix keeps a
 # digest apart from any short text.
 WIDE_TEXT_BYTES = 64
@@ -237,41 +234,34 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 # --- descriptive statistics --------------------------------------------------------------------
 
 
-def describe_numeric(
-    df: DataFrame, columns: Sequence[str] | None = None, quantiles: str = "exact", rows: int | None = None
-) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, quantiles: str = "exact") -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max of numeric columns, NaN counted as missing.
 
-    `rows` is an upper bound of the row count, if the caller knows one; otherwise the
-    rows are counted first. Small tables take everything in one scan; larger ones rank
-    their values over all tasks (`exact_quantiles`). `quantiles="approx"` uses a sketch.
+    Moments and a KLL sketch of each column come from one read. The sketch holds all values of a small column; of a larger
+    one it brackets the quartiles, which a second read finds exactly (`operators.quantiles`).
+    `quantiles="approx"` takes a sketch's word for them. The rows, a few per column, are kept on the driver.
     """
     names = columns_of(df, NUMERIC) if columns is None else list(columns)
+    schema = "field string, stat string, value double"
     if not names:
-        return df.sparkSession.createDataFrame([], "field string, stat string, value double")
-    if quantiles == "exact" and rows is None:
-        rows = df.count()
-    buffered = quantiles == "exact" and rows * len(names) <= BUFFERED_VALUES
-    probs = list(QUARTILES.values())
-
-    numbers = df.select(*[as_number(df, c).alias(c) for c in names])
-    aggs, entries = [], []
-    for i, name in enumerate(names):
-        c = quoted(name)
-        plain = {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)}
-        for stat, agg in plain.items():
-            aggs.append(agg.alias(f"_m{i}_{stat}"))
-            entries.append((name, stat, F.col(f"_m{i}_{stat}")))
-        if buffered or quantiles == "approx":
-            q = F.percentile(c, probs) if buffered else F.percentile_approx(c, probs, APPROX_ACCURACY)
-            aggs.append(q.alias(f"_m{i}_q"))
-            entries += [(name, stat, F.get(f"_m{i}_q", F.lit(k))) for k, stat in enumerate(QUARTILES)]
-    result = long_form(numbers.agg(*aggs), entries)
-    if quantiles == "exact" and not buffered:
-        ranked = exact_quantiles(df, names, probs, rows)
-        stat = F.coalesce(*[F.when(F.col("prob") == p, F.lit(s)) for s, p in QUARTILES.items()])
-        result = result.unionByName(ranked.select("field", stat.alias("stat"), "value"))
-    return drop_nan_metrics(result)
+        return df.sparkSession.createDataFrame([], schema)
+    probs, numbers = list(QUARTILES.values()), numbers_of(df, names)
+    plain = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    aggs = [agg(c).alias(f"{c}_{stat}") for c in numbers.columns for stat, agg in plain.items()]
+    if quantiles == "exact":
+        aggs += sketch_aggregates(numbers, probs)
+    else:
+        aggs += [F.percentile_approx(c, probs, APPROX_ACCURACY).alias(f"{c}_q") for c in numbers.columns]
+    row = numbers.agg(*aggs).first()
+    rows = [(name, stat, row[f"{c}_{stat}"]) for name, c in zip(names, numbers.columns) for stat in plain]
+    if quantiles == "exact":
+        found = [(i, p, v) for i, p, v in quantiles_of(numbers, row, probs)]
+    else:
+        found = [(i, p, v) for i, c in enumerate(numbers.columns) for p, v in zip(probs, row[f"{c}_q"] or ())]
+    label = {p: stat for stat, p in QUARTILES.items()}
+    rows += [(names[i], label[p], v) for i, p, v in found]
+    numbered = [(field, stat, float(value)) for field, stat, value in rows if value is not None]
+    return drop_nan_metrics(df.sparkSession.createDataFrame(numbered, schema))
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -297,12 +287,12 @@ def describe_datetime(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return long_form(df.agg(*aggs), [(c, "count", F.col(f"_m{i}")) for i, c in enumerate(names)])
 
 
-def describe(df: DataFrame, skip_first: bool = False, quantiles: str = "exact", rows: int | None = None) -> DataFrame:
+def describe(df: DataFrame, skip_first: bool = False, quantiles: str = "exact") -> DataFrame:
     """Descriptive statistics of all columns; `skip_first` leaves the first column out."""
     kept = df.select(*[quoted(c) for c in df.columns[1:]]) if skip_first else df
     parts = []
     if columns_of(kept, NUMERIC):
-        parts.append(describe_numeric(kept, quantiles=quantiles, rows=rows))
+        parts.append(describe_numeric(kept, quantiles=quantiles))
     if columns_of(kept, STRING) or columns_of(kept, BOOLEAN):
         parts.append(describe_categorical(kept))
     if columns_of(kept, TEMPORAL):

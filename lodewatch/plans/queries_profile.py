@@ -92,7 +92,7 @@ def d1(u):
 def d1_ranked(u):
     """Quartiles summed over all tasks, the way taken for tables beyond one task per column."""
     columns = ["o_totalprice", "o_custkey", "o_orderkey"]
-    ranked = exact_quantiles(u.orders, columns, [0.25, 0.5, 0.75], u.orders.count(), one_task_rows=0)
+    ranked = exact_quantiles(u.orders, columns, [0.25, 0.5, 0.75], one_task_rows=0)
     percent = F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
     return rounded(ranked.select("field", percent.alias("stat"), "value"))
 

@@ -132,7 +132,7 @@ def test_describe_equals_pandas(spark):
 @pytest.mark.parametrize("one_task_rows", [0, 10**9])
 def test_quantiles_with_hot_value_equal_pandas(spark, monkeypatch, one_task_rows):
     """A third of the rows share one value; brackets are on, negative zero and NaN occur."""
-    monkeypatch.setattr(quantiles, "SAMPLE_MIN", 400)
+    monkeypatch.setattr(quantiles, "SKETCH_K", 400)
     df = spark.range(30_000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(10_000)) / 7).alias("hot"),
         F.when(F.col("id") % 10 == 0, F.lit(float("nan"))).when(F.col("id") % 10 == 1, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("zero"),
@@ -140,7 +140,7 @@ def test_quantiles_with_hot_value_equal_pandas(spark, monkeypatch, one_task_rows
         F.lit(None).cast("int").alias("none"),
     )
     columns, probs = ["hot", "zero", "id", "none"], [0.25, 0.5, 0.75]
-    got = quantiles.exact_quantiles(df, columns, probs, 30_000, one_task_rows)
+    got = quantiles.exact_quantiles(df, columns, probs, one_task_rows)
     values = {(r["field"], r["prob"]): r["value"] for r in got.collect()}
     pdf = df.toPandas()
     expected = {(c, p): pdf[c].quantile(p) for c in ("hot", "zero", "id") for p in probs}
@@ -148,9 +148,10 @@ def test_quantiles_with_hot_value_equal_pandas(spark, monkeypatch, one_task_rows
 
 
 def test_missed_brackets_are_counted_again(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "sample_brackets", lambda numbers, probs, rows: {0: [(-5.0, -4.0), (990.0, 999.0)]})
+    monkeypatch.setattr(quantiles, "sketched_brackets", lambda row, columns: {"c0": [(-5.0, -4.0), (990.0, 999.0)]})
+    monkeypatch.setattr(quantiles, "SKETCH_K", 200)
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
-    got = quantiles.exact_quantiles(df, ["x"], [0.25, 0.5], 1000)
+    got = quantiles.exact_quantiles(df, ["x"], [0.25, 0.5])
     assert {r["prob"]: r["value"] for r in got.collect()} == {0.25: 249.75, 0.5: 499.5}
 
 
