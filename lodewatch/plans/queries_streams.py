@@ -10,7 +10,7 @@ from lodewatch.functions.messages import explode_fields
 from lodewatch.operators.profile import read_vs_copied
 from lodewatch.plans.registry import query
 from lodewatch.plans.universe import MESSAGES_SQL
-from lodewatch.session import work_dir
+from lodewatch.session import stored, work_dir
 from lodewatch.sources import messages
 from lodewatch.streaming import metrics, run
 
@@ -94,6 +94,14 @@ def j1(u):
     return rounded(run.run_to_end(metrics.field_running_metrics(event_stream(u)), KEYS))
 
 
+@query("j1_stream_generations", D11_SQL)
+def j1_generations(u):
+    """The same from twelve files, one a micro-batch, whose changed rows are merged as they come."""
+    events = stored(u.events.repartition(12), "event-files")
+    files = messages.read_file_stream(u.spark, events.inputFiles()[0].rsplit("/", 1)[0], u.events.schema, files_per_trigger=1)
+    return rounded(run.run_to_end(metrics.field_running_metrics(messages.keyed(u.messages(files))), KEYS, fanout=3))
+
+
 SCHEMA_SQL = f"""WITH {MESSAGES_SQL}
 SELECT stream, field, arg_min(kind, "offset") AS dtype, min("offset") AS since,
   count(*) FILTER (kind = 'number') > 0 AND count(*) FILTER (kind = 'string') > 0 AS mixed

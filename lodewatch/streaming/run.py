@@ -15,18 +15,23 @@ from lodewatch.functions.keys import md5_key
 from lodewatch.operators.entities import schemas
 from lodewatch.operators.lineage import lineage_direct, lineage_executions, lineages
 from lodewatch.session import work_dir
+from lodewatch.streaming.state import BATCH, FANOUT, Part, PartLog, latest
 
-BATCH = "batch_id"
 
+def start_upsert(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, keys: Sequence[str] = (), fanout: int = FANOUT
+) -> StreamingQuery:
+    """Writes the changed rows of each micro-batch to a part of their own, and merges parts by `keys` as they get many.
 
-def start_upsert(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Writes the changed rows of each micro-batch to a folder of their own.
-
-    A batch that is run again after a failure replaces its folder, so nothing is counted twice.
+    A batch that is run again after a failure replaces its part, so nothing is counted twice. Without keys
+    there is nothing to merge by, and the parts stay.
     """
+    log = PartLog(stream.sparkSession, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if keys:
+            log.merge(keys, before=batch_id, fanout=fanout)
+        log.write(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), Part(0, batch_id, batch_id))
 
     writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -34,21 +39,20 @@ def start_upsert(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 def current_rows(spark: SparkSession, path: str, keys: Sequence[str], schema) -> DataFrame:
     """Latest row of each key of an upserted table."""
-    changes = spark.read.schema(f"{_ddl(schema)}, {BATCH} bigint").parquet(path)
-    values = [c for c in schema.fieldNames() if c not in keys]
-    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("_v"))
-    return latest.select(*keys, *[F.col("_v")[v].alias(v) for v in values]).select(*schema.fieldNames())
+    log = PartLog(spark, path)
+    changes = log.read(log.live(), f"{_ddl(schema)}, {BATCH} bigint")
+    return latest(changes, keys).select(*schema.fieldNames())
 
 
 def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def run_to_end(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+def run_to_end(stream: DataFrame, keys: Sequence[str], fanout: int = FANOUT) -> DataFrame:
     """Runs a streaming aggregation over all that is available and returns its current rows."""
     spark = stream.sparkSession
     out = work_dir(spark, "stream")
-    query = start_upsert(stream, f"{out}/changes", f"{out}/checkpoint")
+    query = start_upsert(stream, f"{out}/changes", f"{out}/checkpoint", keys=keys, fanout=fanout)
     query.awaitTermination()
     return current_rows(spark, f"{out}/changes", keys, stream.schema)
 
