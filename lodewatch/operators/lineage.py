@@ -12,6 +12,10 @@ input_fields`: one row per output field and input, the inputs' fields as an arra
 the shape of the mapping itself; a full mapping of m output and n input fields is m rows
 and not m x n.
 
+A mapping may also stay in factors: rows `lineage_key, input_ord, input_schema_id, pairwise, outputs, inputs`, one per
+input. `pairwise` links the n-th output field to the n-th input field; otherwise every output field depends on
+all input fields, and m + n names stand for m x n links. `expand` makes edges of factors, `lineages` takes either.
+
 Field lists are packed into one array per schema first (as long as a table is wide), so the
 joins move one row per input, whatever the number of fields.
 """
@@ -29,6 +33,7 @@ from lodewatch.functions.keys import md5_key
 from lodewatch.operators.skew import salted_join
 
 EDGE_COLUMNS = ["lineage_key", "input_ord", "input_schema_id", "edge_ord", "output_field", "input_fields"]
+FACTOR_COLUMNS = ["lineage_key", "input_ord", "input_schema_id", "pairwise", "outputs", "inputs"]
 # Added edges come after all positions a field of a schema can have.
 APPENDED = 1_000_000_000
 
@@ -48,37 +53,50 @@ def paired(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataF
     return salted_join(with_fields, outs, "lineage_key", counted=inputs)
 
 
-def _direct(in_names: Column, out_names: Column) -> Column:
-    """Equal names, each field its own source, in the order of the input's fields."""
-    common = F.filter(in_names, lambda n: F.array_contains(out_names, n))
-    return F.transform(common, lambda n: F.struct(n.alias("output_field"), F.array(n).alias("input_fields")))
+def _factors(pairs: DataFrame, pairwise: Column) -> DataFrame:
+    """Factors of paired field lists: equal names where `pairwise`, in the order of the input's fields, else both lists whole."""
+    common = F.filter("in_names", lambda n: F.array_contains(F.col("out_names"), n))
+    made = pairs.withColumn("pairwise", pairwise).withColumn("inputs", F.when(F.col("pairwise"), common).otherwise(F.col("in_names")))
+    made = made.withColumn("outputs", F.when(F.col("pairwise"), F.col("inputs")).otherwise(F.col("out_names")))
+    return made.where(F.size("outputs") > 0).select(*FACTOR_COLUMNS)
+
+
+def direct_factors(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
+    """Factors of the mapping between fields of equal name; an input without any gives none."""
+    return _factors(paired(out_fields, inputs, fields), F.lit(True))
+
+
+def full_factors(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
+    """Factors of the mapping in which every output field depends on all fields of every input."""
+    return _factors(paired(out_fields, inputs, fields), F.lit(False))
 
 
-def _full(in_names: Column, out_names: Column) -> Column:
-    return F.transform(out_names, lambda n: F.struct(n.alias("output_field"), in_names.alias("input_fields")))
+def direct_or_full_factors(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
+    """Direct where an input shares any name with the output, full where not."""
+    return _factors(paired(out_fields, inputs, fields), F.arrays_overlap("in_names", "out_names"))
 
 
-def _edges(pairs: DataFrame, mapping: Column) -> DataFrame:
-    return pairs.select(
-        "lineage_key", "input_ord", "input_schema_id", F.posexplode(mapping).alias("edge_ord", "e")
-    ).select("lineage_key", "input_ord", "input_schema_id", "edge_ord", "e.output_field", "e.input_fields")
+def expand(factors: DataFrame) -> DataFrame:
+    """The edges of factors: one row per output field and input."""
+    one = F.transform("outputs", lambda o, i: F.struct(
+        o.alias("output_field"), F.when(F.col("pairwise"), F.array(F.get("inputs", i))).otherwise(F.col("inputs")).alias("input_fields")))
+    return factors.select("lineage_key", "input_ord", "input_schema_id", F.posexplode(one).alias("edge_ord", "e")).select(
+        "lineage_key", "input_ord", "input_schema_id", "edge_ord", "e.output_field", "e.input_fields")
 
 
 def lineage_direct(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
     """Edges between fields of equal name; an input without any gives no edge."""
-    return _edges(paired(out_fields, inputs, fields), _direct(F.col("in_names"), F.col("out_names")))
+    return expand(direct_factors(out_fields, inputs, fields))
 
 
 def lineage_full(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
-    """Every output field depends on all fields of every input."""
-    return _edges(paired(out_fields, inputs, fields), _full(F.col("in_names"), F.col("out_names")))
+    """Every output field depends on all fields of every input; as edges (`full_factors` is the small form)."""
+    return expand(full_factors(out_fields, inputs, fields))
 
 
 def lineage_direct_or_full(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
     """Direct edges where an input shares any name with the output, full edges where not."""
-    ins, outs = F.col("in_names"), F.col("out_names")
-    mapping = F.when(F.arrays_overlap(ins, outs), _direct(ins, outs)).otherwise(_full(ins, outs))
-    return _edges(paired(out_fields, inputs, fields), mapping)
+    return expand(direct_or_full_factors(out_fields, inputs, fields))
 
 
 def lineage_extra(direct: DataFrame, extra: DataFrame) -> DataFrame:
@@ -119,14 +137,6 @@ def field_cross_counts(out_fields: DataFrame, inputs: DataFrame, fields: DataFra
     )
 
 
-def edge_rows(edges: DataFrame) -> DataFrame:
-    """The edge table: one row per input field of an edge."""
-    return edges.select(
-        "lineage_key", "input_ord", "input_schema_id", "edge_ord", "output_field",
-        F.explode("input_fields").alias("input_field"),
-    )
-
-
 def input_texts(edges: DataFrame) -> DataFrame:
     """(lineage_key, input_ord, n_edges, text): the linearized edges of each input.
 
@@ -144,18 +154,27 @@ def input_texts(edges: DataFrame) -> DataFrame:
 
 
 def _chain_digest():
-    """md5 over the sorted texts of each lineage, holding one digest at a time.
+    """md5 over the sorted rows of each lineage, holding one digest at a time.
 
-    The function is made here, so that Spark ships its code and the executors need not have this
-    package installed.
+    A row is an input's text or its factors, whose text is fed to the digest piece by piece. The function is made here, so
+    that Spark ships its code and the executors need not have this package installed.
     """
     columns = ["id", "lineage_key", "schema_id", "n_edges"]
 
+    def factor_pieces(pairwise, outputs, inputs):
+        if pairwise:
+            yield ",".join(f"{name}:{own}" for name, own in zip(outputs, inputs))
+            return
+        behind = ":" + "-".join(inputs)
+        for place, name in enumerate(outputs):
+            yield ("," if place else "") + name + behind
+
     def digest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, schema_id, digest, edges, first = None, None, None, 0, True
         for batch in batches:
             done = []
-            for k, order, n, text in zip(batch["lineage_key"], batch["input_ord"], batch["n_edges"], batch["text"]):
+            parts = zip(batch["pairwise"], batch["outputs"], batch["inputs"]) if "outputs" in batch else iter(lambda: None, 0)
+            for k, order, n, text, part in zip(batch["lineage_key"], batch["input_ord"], batch["n_edges"], batch["text"], parts):
                 if order < 0:  # a head; edges of a key without one belong to no output and are left out
                     if digest is not None:
                         done.append((digest.hexdigest(), key, schema_id, edges))
@@ -164,7 +183,10 @@ def _chain_digest():
                     continue
                 if digest is None or k != key:
                     continue
-                digest.update((text if first else "," + text).encode("utf-8"))
+                if not first:
+                    digest.update(b",")
+                for piece in [text] if part is None else factor_pieces(*part):
+                    digest.update(piece.encode("utf-8"))
                 first, edges = False, edges + n
             yield pd.DataFrame(done, columns=columns)
         if digest is not None:
@@ -176,10 +198,11 @@ def _chain_digest():
 def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
     """(id, lineage_key, schema_id, n_edges): md5 of the output schema's id followed by the edges.
 
-    An md5 depends on all bytes before, so one lineage must be hashed in order. Its texts are
-    built in parallel and then streamed, sorted, through a running digest: nothing is collected,
-    memory does not grow with the lineage. The row of the output schema comes first (order -1),
-    so a lineage without edges has an id as well. Edges of a `lineage_key` that no output has are left out.
+    `edges` are rows of edges or of factors; the id is the same. An md5 depends on all bytes before, so one lineage must be
+    hashed in order. Texts are built in parallel (those of factors piece by piece, as they are hashed) and streamed,
+    sorted, through a running digest: nothing is collected, memory does not grow with the lineage. The row of the output
+    schema comes first (order -1), so a lineage without edges has an id as well. Edges of a `lineage_key` that no output has
+    are left out.
     """
     heads = outputs.select(
         "lineage_key", F.lit(-1).cast("long").alias("input_ord"), F.lit(0).cast("long").alias("n_edges"),
@@ -187,9 +210,12 @@ def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
     )
     order = F.col("input_ord").cast("long")
     refused = F.raise_error(F.lit("input_ord must not be negative or null")).cast("long")
-    chunks = input_texts(edges).withColumn("input_ord", F.when(order >= 0, order).otherwise(refused))
+    factored = "outputs" in edges.columns
+    chunks = input_texts(edges) if not factored else edges.select(
+        "lineage_key", "input_ord", F.size("outputs").cast("long").alias("n_edges"), F.lit(None).cast("string").alias("text"), "pairwise", "outputs", "inputs")
+    chunks = chunks.withColumn("input_ord", F.when(order >= 0, order).otherwise(refused))
     key_type = outputs.schema["lineage_key"].dataType.simpleString()
-    ordered = heads.unionByName(chunks).repartition("lineage_key").sortWithinPartitions("lineage_key", "input_ord")
+    ordered = heads.unionByName(chunks, allowMissingColumns=factored).repartition("lineage_key").sortWithinPartitions("lineage_key", "input_ord")
     return ordered.mapInPandas(_chain_digest(), f"id string, lineage_key {key_type}, schema_id string, n_edges long")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lodewatch.functions import sqltext
 from lodewatch.functions.keys import md5_key, strip_tmp
 from lodewatch.operators.entities import schemas
-from lodewatch.operators.lineage import lineage_direct_or_full, lineage_executions, lineages
+from lodewatch.operators.lineage import direct_or_full_factors, expand, lineage_executions, lineages
 from lodewatch.operators.skew import salted_join
 from lodewatch.session import stored
 
@@ -55,7 +55,12 @@ def tracked_statements(log: DataFrame, sql: str = "sql") -> DataFrame:
 
 
 def statement_lineage(log: DataFrame, table_fields: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
-    """Direct or full edges of every output of every tracked statement.
+    """Edges of `statement_factors`."""
+    return expand(statement_factors(log, table_fields, seeds))
+
+
+def statement_factors(log: DataFrame, table_fields: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """Direct or full mapping, in factors, of every output of every tracked statement.
 
     `table_fields`: table_name, pos, name. `seeds` (stmt_id, table_name) are inputs known from
     elsewhere; they precede those named in an insert. Tables whose fields are unknown give no
@@ -78,7 +83,7 @@ def statement_lineage(log: DataFrame, table_fields: DataFrame, seeds: DataFrame
     fields = table_fields.withColumnRenamed("table_name", "schema_id")
     targets = keyed.select("lineage_key", F.col("output").alias("table_name"))
     out_fields = salted_join(targets, table_fields, "table_name")
-    return lineage_direct_or_full(out_fields.select("lineage_key", "pos", "name"), inputs, fields)
+    return direct_or_full_factors(out_fields.select("lineage_key", "pos", "name"), inputs, fields)
 
 
 def merge_inputs(seeds: Column, inputs: Column) -> Column:
@@ -120,16 +125,16 @@ def observe_log(
         ),
         "log-sources",
     )
-    edges = stored(statement_lineage(log, table_fields.select("table_name", "pos", "name"), seeds), "log-edges")
+    mapping = stored(statement_factors(log, table_fields.select("table_name", "pos", "name"), seeds), "log-mapping")
     statement = F.split("lineage_key", ":")
-    written = edges.select("lineage_key").distinct().select("lineage_key", F.get(statement, 2).alias("table_name"))
+    written = mapping.select("lineage_key").distinct().select("lineage_key", F.get(statement, 2).alias("table_name"))
     outputs = stored(written.join(sources.select("table_name", "schema_id"), "table_name"), "log-outputs")
-    lineage = stored(lineages(edges, outputs.select("lineage_key", "schema_id")), "log-lineage")
+    lineage = stored(lineages(mapping, outputs.select("lineage_key", "schema_id")), "log-lineage")
     started = outputs.select("lineage_key", F.get(statement, 0).alias("stmt_id")).join(
         runs.withColumn("stmt_id", F.col("stmt_id").cast("string")), "stmt_id"
     )
     execution = stored(lineage_executions(lineage, started.select("lineage_key", "app_execution", "start_time")), "log-runs")
-    read = edges.select("lineage_key", F.col("input_schema_id").alias("table_name")).distinct()
+    read = mapping.select("lineage_key", F.col("input_schema_id").alias("table_name")).distinct()
     touched = read.unionByName(outputs.select("lineage_key", "table_name")).distinct()
     run_of = lineage.select("lineage_key", F.col("id").alias("lineage")).join(
         execution.select("lineage", F.col("id").alias("lineage_execution_id"), "application_execution", "start_time"), "lineage"
@@ -140,4 +145,4 @@ def observe_log(
     metrics = facts.select("table_name", "schema_id", "lineage_execution_id").distinct().join(table_metrics, "table_name").select(
         md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id", "field", "stat", "value"
     )
-    return LogObservation(sources, edges, lineage, execution, metrics)
+    return LogObservation(sources, expand(mapping), lineage, execution, metrics)

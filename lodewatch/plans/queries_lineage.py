@@ -49,16 +49,50 @@ def h2(u):
     return flat(lineage.lineage_extra(universe_lineage(u, lineage.lineage_direct), u.extra())).drop("edge_ord")
 
 
-@query("h3_lineage_full", f"WITH {LINEAGE_SQL} SELECT ck, ok, {EDGE_SQL} FROM whole")
+def factors(rows):
+    """Factors with their lists as text, for comparison."""
+    lists = [F.array_join(c, "-").alias(f"{c[:-1]}_fields") for c in ("outputs", "inputs")]
+    return rows.select(F.col("lineage_key").alias("ck"), F.col("input_ord").alias("ok"), "pairwise", *lists)
+
+
+def factor_sql(kind: str) -> str:
+    """Factors from the edges of a mapping: `direct` ones are pairwise, those of `whole` repeat one list."""
+    inputs = {"direct": "string_agg(input_fields, '-' ORDER BY pos)", "whole": "min(input_fields)"}[kind]
+    return f"SELECT ck, ok, {str(kind == 'direct').lower()} AS pairwise, string_agg(output_field, '-' ORDER BY pos) AS output_fields, {inputs} AS input_fields FROM"
+
+
+@query("h3_lineage_full", f"WITH {LINEAGE_SQL} {factor_sql('whole')} whole GROUP BY ck, ok")
 def h3(u):
-    return flat(universe_lineage(u, lineage.lineage_full))
+    """A full mapping in factors: both field lists once per input."""
+    return factors(universe_lineage(u, lineage.full_factors))
 
 
-@query("h4_lineage_direct_or_full", f"WITH {LINEAGE_SQL} SELECT ck, ok, {EDGE_SQL} FROM direct_or_whole")
+@query(
+    "h4_lineage_direct_or_full",
+    f"WITH {LINEAGE_SQL} {factor_sql('direct')} direct GROUP BY ck, ok UNION ALL {factor_sql('whole')} whole w "
+    "WHERE NOT EXISTS (SELECT 1 FROM direct d WHERE d.ok = w.ok) GROUP BY ck, ok",
+)
 def h4(u):
+    return factors(universe_lineage(u, lineage.direct_or_full_factors))
+
+
+@query("h4_mapping_edges", f"WITH {LINEAGE_SQL} SELECT ck, ok, {EDGE_SQL} FROM direct_or_whole")
+def h4_edges(u):
+    """The same mapping expanded to one row per output field and input."""
     return flat(universe_lineage(u, lineage.lineage_direct_or_full))
 
 
+@query(
+    "h5_lineage_id_factored",
+    f"""WITH {LINEAGE_SQL} SELECT s.ck, s.schema_id, md5(s.schema_id || coalesce(string_agg(d.output_field || ':' || d.input_fields, ',' ORDER BY d.ok, d.pos)
+  FILTER (WHERE d.ok IS NOT NULL), '')) AS id, count(d.ok) AS n_edges FROM report_schemas s LEFT JOIN direct_or_whole d ON s.ck = d.ck GROUP BY s.ck, s.schema_id""",
+)
+def h5_factored(u):
+    """Lineage ids of direct or full mappings, hashed from their factors."""
+    mapping = universe_lineage(u, lineage.direct_or_full_factors)
+    return lineage.lineages(mapping, u.outputs()).withColumnRenamed("lineage_key", "ck")
+
+
 @query("c2_field_match_join", f"WITH {LINEAGE_SQL} SELECT ck, ok, pos AS edge_ord, output_field AS field FROM direct")
 def c2(u):
     pairs = universe_lineage(u, lineage.field_match_join)

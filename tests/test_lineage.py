@@ -104,7 +104,15 @@ def test_edges_and_ids_against_brute_force(spark, seed):
     for key in outputs:
         texts = [f"{o}:{'-'.join(i)}" for (k, _), m in sorted(expected.items()) if k == key for o, i in m.items()]
         assert got[key] == (hashlib.md5((f"id of {key}" + ",".join(texts)).encode()).hexdigest(), len(texts))
-    assert lineage.edge_rows(direct).count() == sum(len(m) for m in expected.values())
+
+    # factors give the same ids as their edges, and a full mapping has one row per input
+    for kind in (lineage.direct_factors, lineage.full_factors, lineage.direct_or_full_factors):
+        factors = kind(*parts)
+        ids = lambda mapping: {r["lineage_key"]: (r["id"], r["n_edges"]) for r in lineage.lineages(mapping, heads).collect()}
+        assert ids(factors) == ids(lineage.expand(factors))
+    full = lineage.full_factors(*parts).collect()
+    assert sorted((r["lineage_key"], r["input_ord"], tuple(r["outputs"]), tuple(r["inputs"])) for r in full) == sorted(
+        (k, o, tuple(outputs[k]), tuple(schemas[s])) for k, o, s in inputs if outputs[k] and schemas[s])
 
 
 def test_digest_needs_small_batches_only(spark):
