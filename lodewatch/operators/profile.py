@@ -246,7 +246,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, quanti
     if not names:
         return df.sparkSession.createDataFrame([], schema)
     probs, numbers = list(QUARTILES.values()), numbers_of(df, names)
-    plain = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    plain = {"mean": F.avg, "std": F.stddev_samp}
+    if quantiles != "exact":
+        plain |= {"count": F.count, "min": F.min, "max": F.max}
     aggs = [agg(c).alias(f"{c}_{stat}") for c in numbers.columns for stat, agg in plain.items()]
     if quantiles == "exact":
         aggs += sketch_aggregates(numbers, probs)
@@ -255,7 +257,10 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, quanti
     row = numbers.agg(*aggs).first()
     rows = [(name, stat, row[f"{c}_{stat}"]) for name, c in zip(names, numbers.columns) for stat in plain]
     if quantiles == "exact":
-        found = [(i, p, v) for i, p, v in quantiles_of(numbers, row, probs)]
+        for name, c in zip(names, numbers.columns):
+            low, high = row[f"{c}_range"] or (None, None)
+            rows += [(name, "count", row[f"{c}_n"]), (name, "min", low), (name, "max", high)]
+        found = quantiles_of(numbers, row, probs)
     else:
         found = [(i, p, v) for i, c in enumerate(numbers.columns) for p, v in zip(probs, row[f"{c}_q"] or ())]
     label = {p: stat for stat, p in QUARTILES.items()}

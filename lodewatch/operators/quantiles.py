@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import quoted
-from lodewatch.session import spread, stored
+from lodewatch.session import stored
 
 # Size of a column's sketch, and of the sketches of all columns together, as they share one aggregation buffer.
 SKETCH_K, SKETCH_LEAST, SKETCH_ITEMS = 4096, 200, 1 << 20
@@ -41,14 +41,8 @@ def as_number(df: DataFrame, column: str) -> Column:
 
 
 def numbers_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns as doubles c0, c1, ..., spread over all cores if they come from a scan of few splits."""
-    numbers = df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    return spread(numbers) if _plain_scan(numbers) else numbers
-
-
-def _plain_scan(df: DataFrame) -> bool:
-    plan = df._jdf.queryExecution().optimizedPlan().treeString().splitlines()
-    return all(node.strip(" :+-").startswith(("Project", "Filter", "Relation")) for node in plan)
+    """The columns as doubles c0, c1, ..."""
+    return df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
 
 
 def sketch_size(columns: int) -> int:
@@ -56,15 +50,20 @@ def sketch_size(columns: int) -> int:
 
 
 def sketch_aggregates(numbers: DataFrame, probs: Sequence[float]) -> list[Column]:
-    """For each column the number of values, and bracket edges or, if it has all values, the sketch itself."""
+    """For each column the number of values, least and greatest, and bracket edges or, if it has all values, the sketch itself.
+
+    A sketch knows all of these, which keeps the number of aggregates small: with a sketch among them none is compiled.
+    """
     k = sketch_size(len(numbers.columns))
     error = BRACKET_ERRORS * KLL_FACTOR / k**KLL_POWER
     edges = F.array(*[F.lit(min(1.0, max(0.0, p + side * error))) for p in probs for side in (-1, 1)])
     aggregates = []
     for c in numbers.columns:
-        n, sketch = F.count(c), F.kll_sketch_agg_double(F.col(c) + 0.0, k)  # adding zero folds -0.0 into 0.0
+        sketch = F.kll_sketch_agg_double(F.col(c) + 0.0, k)  # adding zero folds -0.0 into 0.0
+        n = F.kll_sketch_get_n_double(sketch)
         aggregates += [
             n.alias(f"{c}_n"),
+            F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.0), F.lit(1.0)))).alias(f"{c}_range"),
             F.when(n > k, F.kll_sketch_get_quantile_double(sketch, edges)).alias(f"{c}_edges"),
             F.when((n > 0) & (n <= k), sketch).alias(f"{c}_whole"),
         ]
