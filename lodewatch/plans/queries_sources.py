@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodewatch.operators import transform
 from lodewatch.plans.registry import query
-from lodewatch.plans.universe import FILES_SQL, MESSAGES_SQL, TABLES
+from lodewatch.plans.universe import FILES_SQL, MESSAGES_SQL, RUNS_SQL, TABLES
 from lodewatch.session import work_dir
 from lodewatch.sources import files, messages, observations, tables
 
@@ -257,6 +257,56 @@ def a16(u):
     return messages.keyed(u.messages())
 
 
+# Every eleventh envelope is broken in one of five ways.
+BROKEN = (
+    "CASE event_id % 11 WHEN 0 THEN substr({text}, 3) WHEN 1 THEN concat('[', {text}, ']') WHEN 2 THEN replace({text}, '\"type\"', '\"kind\"') "
+    "WHEN 3 THEN replace({text}, '\"stream\"', '\"channel\"') WHEN 4 THEN replace({text}, '\"data\"', '\"body\"') ELSE {text} END"
+)
+ENVELOPE_TEXT = "concat('{{\"type\": \"RECORD\", \"record\": {{\"stream\": \"', event_type, '\", \"data\": {{\"n\": ', CAST(event_id AS {text}), '}}}}}}')"
+
+
+@query(
+    "a16_refused_envelopes",
+    "SELECT reason, event_type AS stream, count(*) AS n, sum(event_id)::BIGINT AS ids FROM (SELECT event_id, CASE WHEN event_id % 11 > 4 THEN event_type END AS event_type, "
+    "CASE event_id % 11 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no object' WHEN 2 THEN 'no type' WHEN 3 THEN 'record without stream' WHEN 4 THEN 'record without data' END AS reason "
+    "FROM events) GROUP BY 1, 2",
+)
+def a16_refused(u):
+    """Envelopes that were taken, by stream, and refused ones, by reason: together all that were read."""
+    raw = u.events.selectExpr("event_id AS offset", BROKEN.format(text=ENVELOPE_TEXT.format(text="STRING")) + " AS value")
+    judged = messages.judged_envelopes(raw)
+    kept = messages.kept_envelopes(judged).select(F.lit(None).cast("string").alias("reason"), "stream", "offset")
+    refused = messages.refused_envelopes(judged).select("reason", F.lit(None).cast("string").alias("stream"), "offset")
+    return kept.unionByName(refused).groupBy("reason", "stream").agg(F.count(F.lit(1)).alias("n"), F.sum("offset").alias("ids"))
+
+
+PEOPLE_SQL = f"""WITH {RUNS_SQL}
+SELECT DISTINCT 'application' AS entity, application AS id, app AS name FROM executions
+UNION SELECT 'app_user', user_id, username FROM executions UNION SELECT 'app_user', author_id, author FROM executions"""
+
+
+def _people(back):
+    return transform.concat([back[name].select(F.lit(name).alias("entity"), "id", "name") for name in ("application", "app_user")])
+
+
+@query("a14_tagged_log", PEOPLE_SQL)
+def a14_tagged(u):
+    """Users and applications from a tagged log, each read from its own folder."""
+    path, entities = work_dir(u.spark, "tagged-log"), u.run_entities()
+    observations.write_tagged({name: rows for name, rows in entities.items() if name != "run"}, path)
+    return _people(observations.read_tagged(u.spark, path))
+
+
+@query("a14_untagged_people", PEOPLE_SQL)
+def a14_people(u):
+    """The same from an untagged log: users are those that versions and runs name, applications those that repositories do."""
+    path, entities = work_dir(u.spark, "untagged-log"), u.run_entities()
+    for name, rows in entities.items():
+        if name != "run":
+            observations.write_observations(rows, path)
+    return _people(observations.read_observations(u.spark, path))
+
+
 @query("j9_stream_key", "SELECT event_id, coalesce(CASE WHEN event_type IN ('click', 'view') THEN 'web.' END, '') || event_type AS stream FROM events")
 def j9(u):
     return u.messages().select(F.col("offset").alias("event_id"), messages.stream_key("namespace", "stream").alias("stream"))

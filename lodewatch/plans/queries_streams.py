@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.functions.messages import explode_fields
 from lodewatch.operators.profile import read_vs_copied
 from lodewatch.plans.registry import query
-from lodewatch.plans.universe import MESSAGES_SQL
+from lodewatch.plans.universe import MESSAGE_COLUMNS, MESSAGES_SQL
 from lodewatch.session import stored, work_dir
 from lodewatch.sources import messages
 from lodewatch.streaming import metrics, run
@@ -51,12 +53,28 @@ def d11_texts(u):
 def d12(u):
     """Distinct texts by a sketch; `near` tells that it lies within four standard errors of the exact count."""
     turns, rsd = u.chat_messages(), 0.02
-    sketch = metrics.field_distinct(turns, rsd)
+    sketch = metrics.field_distinct(turns)
     exact = u.conversations.groupBy(F.col("role").alias("stream")).agg(F.count_distinct("text").alias("exact"))
     near = F.abs(F.col("levels") - F.col("exact")) <= F.greatest(F.lit(2), 4 * rsd * F.col("exact"))
     return sketch.join(exact, "stream").select("stream", "field", "exact", near.alias("near"))
 
 
+@query(
+    "d12_distinct_states",
+    "SELECT role AS stream, 'text' AS field, count(DISTINCT text) AS exact, true AS near, true AS as_whole FROM conversations GROUP BY 1",
+)
+def d12_states(u):
+    """Stored states of four runs united: near the exact count, and the same as one state of everything."""
+    runs = [metrics.field_sketches(u.chat_messages(u.conversations.where(F.col("conv_id") % 4 == i))) for i in range(4)]
+    parts = stored(reduce(DataFrame.unionByName, runs), "distinct-states")
+    united = metrics.sketch_levels(metrics.united_sketches(parts))
+    whole = metrics.sketch_levels(metrics.united_sketches(metrics.field_sketches(u.chat_messages()))).withColumnRenamed("levels", "at_once")
+    exact = u.conversations.groupBy(F.col("role").alias("stream")).agg(F.count_distinct("text").alias("exact"))
+    near = F.abs(F.col("levels") - F.col("exact")) <= F.greatest(F.lit(2), 0.08 * F.col("exact"))
+    joined = united.join(whole, KEYS).join(exact, "stream")
+    return joined.select(*KEYS, "exact", near.alias("near"), (F.col("levels") == F.col("at_once")).alias("as_whole"))
+
+
 @query(
     "d13_read_vs_copied",
     f"""WITH {MESSAGES_SQL},
@@ -118,6 +136,32 @@ def j2_batch(u):
     return metrics.schema_growth(messages.keyed(u.messages()))
 
 
+PARTITIONS_SQL = f"""WITH {MESSAGES_SQL},
+placed AS (SELECT a.stream, a.field, a.kind, {{'time': epoch_ms(e.ts) // 3600000, 'part': "offset" % 3, 'off': "offset" // 3}} AS place
+  FROM amounts a JOIN events e ON "offset" = event_id)
+SELECT stream, field, arg_min(kind, place) AS dtype, min(place).time AS since_time, min(place).part AS since_partition, min(place).off AS since_offset,
+  count(*) FILTER (kind = 'number') > 0 AND count(*) FILTER (kind = 'string') > 0 AS mixed
+FROM placed GROUP BY 1, 2"""
+PLACE = ["time", "partition", "offset"]
+
+
+def partitioned_messages(u, events=None):
+    """Messages of a topic of three partitions, each with its own offsets; `time` is that of their hour."""
+    rows = u.events if events is None else events
+    sent = messages.records_only(rows.selectExpr(*MESSAGE_COLUMNS, "unix_date(CAST(ts AS DATE)) * 24L + hour(ts) AS time"))
+    return sent.select(
+        messages.stream_key("namespace", "stream").alias("stream"), "time", (F.col("offset") % 3).alias("partition"),
+        F.floor(F.col("offset") / 3).alias("offset"), "data",
+    )
+
+
+@query("j2_schema_growth_partitions", PARTITIONS_SQL)
+def j2_partitions(u):
+    """First kinds over three partitions whose messages come in any order."""
+    files = messages.read_file_stream(u.spark, f"{u.sf_dir}/events.parquet", u.events.schema)
+    return run.run_to_end(metrics.schema_growth(partitioned_messages(u, files), PLACE), KEYS)
+
+
 @query("j3_stream_record_count", f"WITH {MESSAGES_SQL} SELECT stream, count(*) AS count FROM keyed GROUP BY 1")
 def j3(u):
     return run.run_to_end(metrics.record_count(event_stream(u)), ["stream"])

@@ -24,21 +24,58 @@ def read_file_stream(
     return reader.load(f"{path[:-1]}[{path[-1]}]")
 
 
-ENVELOPE = "type string, record struct<namespace: string, stream: string, data: variant>"
+ENVELOPE = "struct<type: string, record: struct<namespace: string, stream: string, data: variant>>"
+#: Why an envelope is refused; the first that applies.
+NO_JSON, NO_OBJECT, NO_TYPE, NO_STREAM, NO_DATA = "no JSON", "no object", "no type", "record without stream", "record without data"
 
 
-def from_envelopes(raw: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
-    """Messages kept whole as JSON text (`type`, `record.stream`, `record.data`) -> message columns."""
-    parsed = raw.select(F.from_json(F.col(value).cast("string"), ENVELOPE).alias("m"), F.col(offset).alias("offset"))
-    return parsed.select(
-        "m.type", "m.record.namespace", "m.record.stream", "offset", F.to_json("m.record.data").alias("data")
+def judged_envelopes(raw: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
+    """Messages kept whole as JSON text, parsed once: `offset`, the message columns, `reason` and `value`.
+
+    `reason` is null where the envelope is taken; otherwise it says why not, and `value` has the text. Every row that is
+    read is a row here, so what is kept and what is refused add up. Works on streams.
+    """
+    text = F.col(value).cast("string")
+    parsed = raw.select(F.col(offset).alias("offset"), text.alias("value"), F.try_parse_json(text).alias("v"))
+    shaped = parsed.select("offset", "value", F.schema_of_variant("v").alias("kind"), F.try_variant_get("v", "$", ENVELOPE).alias("m"))
+    kind, record = F.col("kind"), F.col("m.type") == RECORD
+    reason = (
+        F.when(kind.isNull(), NO_JSON)
+        .when(~kind.startswith("OBJECT"), NO_OBJECT)
+        .when(F.col("m.type").isNull(), NO_TYPE)
+        .when(record & F.col("m.record.stream").isNull(), NO_STREAM)
+        .when(record & F.col("m.record.data").isNull(), NO_DATA)
     )
+    return shaped.select(
+        "offset", "m.type", "m.record.namespace", "m.record.stream", F.to_json("m.record.data").alias("data"),
+        reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("value"),
+    )
+
+
+def kept_envelopes(judged: DataFrame) -> DataFrame:
+    """The message columns of the envelopes that are taken."""
+    return judged.where("reason is null").select("type", "namespace", "stream", "offset", "data")
+
+
+def refused_envelopes(judged: DataFrame) -> DataFrame:
+    """(offset, reason, value) of the others: the side output, to be written beside the messages."""
+    return judged.where("reason is not null").select("offset", "reason", "value")
+
+
+def envelope_counts(judged: DataFrame) -> DataFrame:
+    """(reason, n): how many envelopes were taken (null) and refused for each reason."""
+    return judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def from_envelopes(raw: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
+    """Messages kept whole as JSON text (`type`, `record.stream`, `record.data`) -> message columns, refused ones left out."""
+    return kept_envelopes(judged_envelopes(raw, value, offset))
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Messages from a Kafka topic (needs Spark's Kafka package on the cluster)."""
+def kafka_envelopes(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """Judged envelopes of a Kafka topic (needs Spark's Kafka package on the cluster)."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    return from_envelopes(reader.options(**options).load())
+    return judged_envelopes(reader.options(**options).load())
 
 
 def records_only(messages: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from lodewatch.session import small_enough, stored
 METRIC_KINDS = ("number", "string")
 UNKNOWN = "unknown"
 STREAM_SALTS = 32
+# Registers of a distinct sketch, as a power of two: a standard error of 1.04 / 2 ** (log_size / 2), 1.6 % here.
+SKETCH_LOG_SIZE = 12
 
 
 def field_running_metrics(messages: DataFrame) -> DataFrame:
@@ -25,34 +29,59 @@ def field_running_metrics(messages: DataFrame) -> DataFrame:
     )
 
 
-def field_distinct(messages: DataFrame, rsd: float = 0.05) -> DataFrame:
-    """(stream, field, levels): distinct texts, by a sketch of fixed size."""
+def field_sketches(messages: DataFrame, log_size: int = SKETCH_LOG_SIZE) -> DataFrame:
+    """(stream, field, sketch): HLL states of the texts of each field, of fixed size (2 ** log_size registers).
+
+    States may be stored and united with those of other batches and runs (`united_sketches`).
+    """
     texts = explode_fields(messages.select("stream", "data")).where("kind = 'string'")
     value = F.try_variant_get("value", "$", "string")
-    return texts.groupBy("stream", "field").agg(F.approx_count_distinct(value, rsd).alias("levels"))
+    return texts.groupBy("stream", "field").agg(F.hll_sketch_agg(value, log_size).alias("sketch"))
+
+
+def united_sketches(sketches: DataFrame) -> DataFrame:
+    """(stream, field, sketch) of any number of stored states: the state of all their messages together."""
+    return sketches.groupBy("stream", "field").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_levels(sketches: DataFrame) -> DataFrame:
+    """(stream, field, levels): distinct texts that states stand for.
+
+    A state that was never united estimates from the history of its changes, others from their registers. United
+    with itself any state does the latter, so that the same registers give the same number however they came about.
+    """
+    return sketches.select("stream", "field", F.hll_sketch_estimate(F.hll_union("sketch", "sketch")).alias("levels"))
+
+
+def field_distinct(messages: DataFrame, log_size: int = SKETCH_LOG_SIZE) -> DataFrame:
+    """(stream, field, levels): distinct texts, by a sketch of fixed size."""
+    return sketch_levels(field_sketches(messages, log_size))
 
 
 def record_count(messages: DataFrame) -> DataFrame:
     return messages.groupBy("stream").agg(F.count("*").alias("count"))
 
 
-def schema_growth(messages: DataFrame) -> DataFrame:
+def schema_growth(messages: DataFrame, order: Sequence[str] = ("offset",)) -> DataFrame:
     """(stream, field, dtype, since, mixed): a field joins at its first number or text.
 
     `since` is the offset at which it joined, `dtype` the kind it had there; `mixed` tells that
-    the other kind came later.
+    the other kind came later. Offsets count within one partition of a topic only: where there are several, name the columns
+    that order messages, such as ("time", "partition", "offset"); they take the place of `since` as `since_time` and so on.
+    The first place, and the kind there, are minima and so the same in whichever order messages come.
     """
-    typed = explode_fields(messages.select("stream", "offset", "data")).where(F.col("kind").isin(*METRIC_KINDS))
-    kind = F.col("kind")
+    typed = explode_fields(messages.select("stream", *order, "data")).where(F.col("kind").isin(*METRIC_KINDS))
+    kind, place = F.col("kind"), F.struct(*order)
+    since = [F.col("_first")[c].alias("since" if len(order) == 1 else f"since_{c}") for c in order]
     return (
         typed.groupBy("stream", "field")
         .agg(
-            F.min_by("kind", "offset").alias("dtype"),
-            F.min("offset").alias("since"),
+            F.min_by("kind", place).alias("dtype"),
+            F.min(place).alias("_first"),
             F.count_if(kind == "number").alias("_numbers"),
             F.count_if(kind == "string").alias("_texts"),
         )
-        .select("stream", "field", "dtype", "since", ((F.col("_numbers") > 0) & (F.col("_texts") > 0)).alias("mixed"))
+        .select("stream", "field", "dtype", *since, ((F.col("_numbers") > 0) & (F.col("_texts") > 0)).alias("mixed"))
     )
 
 

@@ -84,6 +84,31 @@ def test_envelopes(spark, rows):
     assert rows(kept) == [("n.s", 1, '{"k":1,"x":null}')]
 
 
+def test_refused_envelopes_are_counted(spark, rows):
+    texts = [
+        '{"type": "RECORD", "record": {"stream": "s", "data": {"k": 1}}}', '{"type": "LOG"}', "no json", None, "[1, 2]", '"text"',
+        '{"record": {"stream": "s", "data": {}}}', '{"type": "RECORD"}', '{"type": "RECORD", "record": {"data": {}}}', '{"type": "RECORD", "record": {"stream": "s"}}',
+    ]
+    raw = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, offset bigint")
+    judged = messages.judged_envelopes(raw)
+    counts = {r["reason"]: r["n"] for r in messages.envelope_counts(judged).collect()}
+    assert counts == {None: 2, messages.NO_JSON: 2, messages.NO_OBJECT: 2, messages.NO_TYPE: 1, messages.NO_STREAM: 2, messages.NO_DATA: 1}
+    assert messages.kept_envelopes(judged).count() + messages.refused_envelopes(judged).count() == len(texts)
+    assert {(r["offset"], r["value"]) for r in messages.refused_envelopes(judged).where("reason = 'no object'").collect()} == {(4, "[1, 2]"), (5, '"text"')}
+
+
+def test_tagged_log_reads_each_entity_alone(spark, tmp_path):
+    people = spark.createDataFrame([("u", "ann")], "id string, name string")
+    apps = spark.createDataFrame([("a", "job")], "id string, name string")
+    observations.write_tagged({"app_user": people, "application": apps}, f"{tmp_path}/log")
+    observations.write_tagged({"app_user": people.selectExpr("'v' as id", "'bob' as name")}, f"{tmp_path}/log")
+    back = observations.read_tagged(spark, f"{tmp_path}/log")
+    assert {tuple(r) for r in back["app_user"].collect()} == {("u", "ann"), ("v", "bob")} and back["application"].first()["name"] == "job"
+    assert all("entity=app_user" in f for f in back["app_user"].inputFiles()) and back["schema"].count() == 0
+    with pytest.raises(ValueError, match="stray"):
+        observations.write_tagged({"stray": people}, f"{tmp_path}/log")
+
+
 def test_partitioned_table_is_pruned(spark, tmp_path):
     df = spark.range(100).select("id", (F.expr("timestamp_ntz'2024-01-01'") + F.expr("make_dt_interval(cast(id % 5 as int))")).alias("ts"))
     table = tables.ctas_partitioned(df, "pruned_test", "ts", f"{tmp_path}/t")
@@ -152,7 +177,8 @@ def test_observed_job(spark, tmp_path, rows):
     run.export_metrics()
 
     back = observations.read_observations(spark, f"{tmp_path}/log/entities")
-    assert {r["name"] for r in back["application"].collect()} == {"assets.py", "ann", "bob"}
+    assert {r["name"] for r in back["application"].collect()} == {"assets.py"}
+    assert {r["name"] for r in back["app_user"].collect()} == {"ann", "bob"}
     assert back["lineage_execution"].count() == 3 and back["app_execution"].count() == 1
     # The union read both inputs, each report the monthly table only, with the derived field.
     mappings = [r["input_schemas_mapping"] for r in back["lineage"].collect()]

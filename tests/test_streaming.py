@@ -89,6 +89,23 @@ def test_metrics_against_brute_force(spark, stored_messages):
     assert {(r["stream"], r["field"], r["dtype"]) for r in null_only.collect()} == {("s", "x", "unknown"), ("ns.s", "x", "unknown")}
 
 
+def test_first_kind_over_partitions_out_of_order(spark):
+    """Offsets of three partitions overlap; the earliest time decides, then partition and offset."""
+    rows = [("s", 5, 0, 0, '{"k": "late"}'), ("s", 2, 2, 9, '{"k": 1}'), ("s", 2, 1, 10, '{"k": "first"}'), ("s", 3, 0, 1, '{"k": 2}')]
+    columns = "stream string, time bigint, partition int, offset bigint, data string"
+    for sent in (rows, rows[::-1]):
+        got = metrics.schema_growth(spark.createDataFrame(sent, columns), ["time", "partition", "offset"]).first()
+        assert tuple(got) == ("s", "k", "string", 2, 1, 10, True)
+
+
+def test_states_of_parts_unite_to_the_state_of_all(spark):
+    sent = spark.range(3000).selectExpr("'s' as stream", "concat('{\"k\": \"v', id % 1000, '\"}') as data")
+    halves = [metrics.field_sketches(sent.where(f"hash(data) % 2 {test} 0")) for test in ("=", "<>")]
+    united = metrics.united_sketches(halves[0].unionByName(halves[1]))
+    assert metrics.sketch_levels(united).first()["levels"] == metrics.sketch_levels(metrics.united_sketches(metrics.field_sketches(sent))).first()["levels"]
+    assert abs(metrics.field_distinct(sent).first()["levels"] - 1000) < 70
+
+
 def test_violations(spark, stored_messages, rows):
     found = {r["stream"]: (r["records"], r["messages"]) for r in metrics.schema_violations(batch(spark, stored_messages), declared(spark)).collect()}
     texts = {
