@@ -1,9 +1,15 @@
-"""Linear models as observed steps: split, fit, score, persist, metrics, lineage."""
+"""Linear models as observed steps: split, fit, score, persist, metrics, lineage.
+
+Models of groups are rows. Their Gram matrices (sums of products of the features, a constant and the label) come from one partial
+aggregation, may be stored and added to those of other batches, and are solved per row in tasks.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +45,109 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearRegr
     return solver.fit(assemble(df.dropna(subset=[label, *features]), features).select("features", label))
 
 
+def _products(features: Sequence[str], label: str) -> list[Column]:
+    """Products of all pairs of (1, features, label), the upper triangle row by row."""
+    parts = [F.lit(1.0), *[quoted(c).cast("double") for c in (*features, label)]]
+    return [a * b for i, a in enumerate(parts) for b in parts[i:]]
+
+
+def gram(df: DataFrame, features: Sequence[str], label: str, groups: Sequence[str] = ()) -> DataFrame:
+    """(groups, gram): the upper triangle of each group's Gram matrix of (1, features, label); rows with a null are left out."""
+    whole = df.dropna(subset=[label, *features])
+    sums = whole.groupBy(*groups).agg(*[F.sum(p).alias(f"_g{i}") for i, p in enumerate(_products(features, label))])
+    entries = [c for c in sums.columns if c.startswith("_g")]
+    return sums.where(F.col(entries[0]).isNotNull()).select(*groups, F.array(*entries).alias("gram"))
+
+
+def added_grams(grams: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """Sums of stored Gram matrices: those of all their rows together."""
+    entries = grams.select(*groups, F.posexplode("gram").alias("_i", "_v"))
+    summed = entries.groupBy(*groups, "_i").agg(F.sum("_v").alias("_v"))
+    rows = summed.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_g"))
+    return rows.select(*groups, F.col("_g._v").alias("gram"))
+
+
+def solve_grams(grams: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """(groups, n, intercept, weights, rss, r2): least squares of each Gram matrix, the shortest solution if it is singular."""
+    kept = list(groups)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for flat in batch["gram"]:
+                size = int((np.sqrt(8 * len(flat) + 1) - 1) / 2)
+                full = np.zeros((size, size))
+                full[np.triu_indices(size)] = flat
+                full = full + np.triu(full, 1).T
+                n, mean = full[0, 0], full[0] / full[0, 0]
+                centred = full - n * np.outer(mean, mean)  # sums about the means: better conditioned
+                scale = np.sqrt(np.maximum(np.diag(centred)[1:-1], 0))
+                scale[scale == 0] = 1.0
+                weights = np.linalg.pinv(centred[1:-1, 1:-1] / np.outer(scale, scale), hermitian=True) @ (centred[1:-1, -1] / scale) / scale
+                total = centred[-1, -1]
+                rss = max(0.0, total - weights @ centred[1:-1, -1])
+                rows.append((int(n), float(mean[-1] - weights @ mean[1:-1]), weights.tolist(), float(rss), float(1 - rss / total) if total > 0 else None))
+            made = pd.DataFrame(rows, columns=["n", "intercept", "weights", "rss", "r2"])
+            yield pd.concat([batch[kept].reset_index(drop=True), made], axis=1)
+
+    keys = "".join(f"`{c}` {grams.schema[c].dataType.simpleString()}, " for c in groups)
+    return grams.mapInPandas(solve, f"{keys}n bigint, intercept double, weights array<double>, rss double, r2 double")
+
+
+def fit_linear_groups(df: DataFrame, features: Sequence[str], label: str, groups: Sequence[str] = ()) -> DataFrame:
+    """(groups, n, intercept, weights, rss, r2): one linear model of several features per group."""
+    return solve_grams(gram(df, features, label, groups), groups)
+
+
+def predict_groups(df: DataFrame, fitted: DataFrame, features: Sequence[str], groups: Sequence[str], name: str = "prediction") -> DataFrame:
+    """Scores rows with the model of their group; null where it has none."""
+    total = F.col("intercept")
+    for i, f in enumerate(features):
+        total = total + F.get("weights", F.lit(i)) * quoted(f)
+    # one row per group: Spark broadcasts it by its measured size, and the rows stay where they are
+    scored = df.join(fitted.select(*groups, "intercept", "weights"), list(groups), "left")
+    return scored.withColumn(name, total).drop("intercept", "weights")
+
+
+def group_metrics(fitted: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(groups, field, stat, value) of models: parameters, training rows, fit, and smallest and largest weight."""
+    stats = [
+        ("", "n_parameters", F.size("weights") + 1), ("", "training_rows", F.col("n")), ("", "r2", F.col("r2")),
+        ("weight", "min", F.array_min("weights")), ("weight", "max", F.array_max("weights")),
+    ]
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(s).alias("stat"), v.cast("double").alias("value")) for f, s, v in stats])
+    return fitted.select(*groups, F.inline(rows)).where("value is not null")
+
+
+def group_lineages(
+    fitted: DataFrame, name: Column, features: Sequence[str], label: str, prediction: str = "prediction", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Edges (X, y) -> weights and (model, X) -> predictions of each fitted model, in the shape of lineage edges.
+
+    `carry` are columns of the models that come along.
+    """
+    named = fitted.select(name.alias("_name"), *carry)
+    xs, ws = F.array(*[F.lit(f) for f in features]), F.array(F.lit("weights"))
+
+    def edge(kind: str, order: int, schema: Column, output: str, inputs: Column) -> Column:
+        return F.struct(
+            F.concat(F.lit(kind), F.col("_name")).alias("lineage_key"), F.lit(order).alias("input_ord"), schema.alias("input_schema_id"),
+            F.lit(0).alias("edge_ord"), F.lit(output).alias("output_field"), inputs.alias("input_fields"))
+
+    edges = F.array(
+        edge("fit:", 0, F.lit("X"), "weights", xs), edge("fit:", 1, F.lit("y"), "weights", F.array(F.lit(label))),
+        edge("predict:", 0, F.col("_name"), prediction, ws), edge("predict:", 1, F.lit("X"), prediction, xs))
+    return named.select(*carry, F.inline(edges))
+
+
+def group_params(fitted: DataFrame, features: Sequence[str], label: str, groups: Sequence[str]) -> DataFrame:
+    """(groups, param, value): what each group's model was fitted with and on."""
+    params = F.create_map(
+        F.lit("features"), F.lit(",".join(features)), F.lit("label"), F.lit(label), F.lit("fitIntercept"), F.lit("true"),
+        F.lit("solver"), F.lit("normal"), F.lit("training_rows"), F.col("n").cast("string"))
+    return fitted.select(*groups, F.explode(params).alias("param", "value"))
+
+
 def fit_linear_by(df: DataFrame, feature: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
     """(groups, slope, intercept): one line per group, as a plain partial aggregation."""
     return df.groupBy(*groups).agg(
@@ -89,24 +198,6 @@ def hyper_params(spark: SparkSession, model: LinearRegressionModel) -> DataFrame
     return spark.createDataFrame(rows, "param string, value string")
 
 
-def model_lineage(
-    spark: SparkSession, model_name: str, features: Sequence[str], label: str, prediction: str = "prediction"
-) -> DataFrame:
-    """Edges (X, y) -> model and (model, X) -> predictions, in the shape of lineage edges."""
-    xs = list(features)
-    rows = [
-        (f"fit:{model_name}", 0, "X", 0, "weights", xs),
-        (f"fit:{model_name}", 1, "y", 0, "weights", [label]),
-        (f"predict:{model_name}", 0, model_name, 0, prediction, ["weights"]),
-        (f"predict:{model_name}", 1, "X", 0, prediction, xs),
-    ]
-    return spark.createDataFrame(
-        rows,
-        "lineage_key string, input_ord int, input_schema_id string, edge_ord int, output_field string, "
-        "input_fields array<string>",
-    )
-
-
 def model_lineages(models: DataFrame, name: str = "model", feature: str = "feature", label: str = "label", prediction: str = "prediction") -> DataFrame:
     """The same edges for a table of fitted lines, one row (name, feature, label) per model, in one job."""
     key = lambda kind: F.concat(F.lit(kind), F.col(name))

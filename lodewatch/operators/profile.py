@@ -177,12 +177,12 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Counting is partial before the shuffle, so a value held by a third of the rows
     travels as one row per task.
     """
-    texts = df.select(*[_countable(quoted(c).cast("string")).alias(c) for c in columns])
+    texts = df.select(*[countable(quoted(c).cast("string")).alias(c) for c in columns])
     long = texts.unpivot([], [quoted(c) for c in columns], "field", "value")
     return long.groupBy("field", "value").agg(F.count("*").alias("n"))
 
 
-def _countable(text: Column) -> Column:
+def countable(text: Column) -> Column:
     wide = F.concat(F.lit("sha256:"), F.sha2(text, 256))
     return F.when(F.octet_length(text) > WIDE_TEXT_BYTES, wide).otherwise(text)
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from lodewatch.functions import sqltext
 from lodewatch.operators import profile, transform
+from lodewatch.operators.cells import profile_tables
 from lodewatch.operators.quantiles import exact_quantiles
 from lodewatch.plans.queries_transform import DELTA, delta
 from lodewatch.plans.registry import query
+from lodewatch.plans.universe import TABLES
 
 DIGITS = 4
 
@@ -205,18 +207,31 @@ CUSTOMER_STATS = {
 ORDER_PROFILE = ORDER_STATS | {"o_orderstatus": text_sql("o_orderstatus"), "o_orderpriority": text_sql("o_orderpriority")}
 
 
+SUPPLIER_STATS = {
+    "s_suppkey": numeric_sql("s_suppkey"), "s_name": text_sql("s_name"), "s_nationkey": numeric_sql("s_nationkey"), "s_acctbal": numeric_sql("s_acctbal"),
+} | NROWS
+# The logged tables by the remainder of the statement's key.
+LOGGED = ("orders", "customer", "supplier")
+TABLE_STATS = {"orders": ORDER_PROFILE, "customer": CUSTOMER_STATS, "supplier": SUPPLIER_STATS}
+
+
+def logged_tables(u) -> list[str]:
+    """Tables of the catalog that statements of the log read; at most as many as the catalog has."""
+    tables = F.get(F.array(*[F.lit(t) for t in LOGGED]), (F.col("o_orderkey") % 3).cast("int"))
+    text = F.concat(F.lit("insert into wh.rep.r_"), F.col("o_orderkey"), F.lit(" select * from wh.main."), tables, F.lit(" t where k = 'from wh.main.part'"))
+    log = u.orders.select(F.col("o_orderkey").alias("stmt_id"), text.alias("sql"))
+    read = log.select(F.explode(sqltext.input_tables(sqltext.clean_sql(F.col("sql")))).alias("name")).distinct()
+    short = F.substring_index("name", ".", -1)
+    return sorted(r["name"] for r in read.select(short.alias("name")).where(F.col("name").isin(TABLES)).collect())
+
+
 @query(
     "d15_sql_table_metrics",
-    f"SELECT 'orders' AS table_name, * FROM ({stat_sql('orders', ORDER_PROFILE)}) UNION ALL "
-    f"SELECT 'customer', * FROM ({stat_sql('customer', CUSTOMER_STATS)})",
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, * FROM ({stat_sql(t, stats)})" for t, stats in TABLE_STATS.items()),
 )
 def d15(u):
-    """Metrics of every table that a logged statement reads."""
-    statement = "insert into wh.rep.x select * from orders o join customer c on o.o_custkey = c.c_custkey"
-    found = sqltext.input_tables(sqltext.clean_sql(F.lit(statement)))
-    names = u.spark.range(1).select(found.alias("names")).first()["names"]
-    profiles = [rounded(profile.profile_table(getattr(u, n))).withColumn("table_name", F.lit(n)) for n in names]
-    return transform.concat(profiles)
+    """Metrics of every table that a logged statement reads, all in one aggregation."""
+    return rounded(profile_tables({name: getattr(u, name) for name in logged_tables(u)}))
 
 
 @query(
