@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lodewatch.functions.keys import dirty_author, dirty_version, md5_key, md5_of, schema_key, sorted_fields, strip_tmp
 from lodewatch.operators.profile import metrics_long_to_map
 from lodewatch.operators.skew import salted_join
+from lodewatch.session import stored
 from lodewatch.sources.tables import FIELD_SCHEMA, field_rows
 
 
@@ -168,18 +169,30 @@ def metric_uses(
     return uses.select("schema_id", "lineage_execution_id")
 
 
+def keyed_uses(uses: DataFrame) -> DataFrame:
+    """Uses with the id of the metrics of that schema in that execution, made before metrics multiply the rows."""
+    return uses.select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id")
+
+
 def metrics_rows(metrics: DataFrame, uses: DataFrame) -> DataFrame:
     """Attaches the metrics of a schema, taken once, to every execution that used it.
 
     `uses` is read once more to find the schemas that very many executions use.
     """
-    # The id is that of the schema and the execution, so it is made before the metrics multiply the rows.
-    keyed = uses.select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id")
-    return salted_join(keyed, metrics, "schema_id", counted=uses).select(
+    return salted_join(keyed_uses(uses), metrics, "schema_id", counted=uses).select(
         "metrics_id", "schema_id", "lineage_execution_id", "field", "stat", "value"
     )
 
 
+def resolved_metrics(metrics: DataFrame, uses: DataFrame, schema: DataFrame, data_source: DataFrame, executions: DataFrame) -> DataFrame:
+    """`resolve_refs` of `metrics_rows`: sources and runs are resolved once per use, and only then joined by its many metrics.
+
+    `uses` had better be a stored table; `executions` is the result of `resolve_executions`.
+    """
+    wide = stored(resolve_refs(keyed_uses(uses), schema, data_source, executions), "resolved-uses")
+    return salted_join(wide, metrics, "schema_id")
+
+
 def orphan_metrics(metrics: DataFrame, lineage_execution: DataFrame) -> DataFrame:
     """Metrics that no known lineage execution explains."""
     known = lineage_execution.select(F.col("id").alias("lineage_execution_id"))

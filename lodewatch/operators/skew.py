@@ -42,6 +42,12 @@ def hot_keys(df: DataFrame, types: dict[str, DataType], hot_rows: int) -> DataFr
     return counts.where(F.col("n") >= hot_rows).select("hot_hash", salts)
 
 
+def _few_rows(df: DataFrame, most: int) -> bool:
+    """Whether a stored table has fewer rows than `most`, from the row counts in its files; no for anything but a plain scan."""
+    plan = df._jdf.queryExecution().optimizedPlan().treeString().splitlines()
+    return all(node.strip(" :+-").startswith(("Project", "Relation")) for node in plan) and df.count() < most
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner", counted: DataFrame | None = None,
     hot_rows: int | None = None,
@@ -50,11 +56,15 @@ def salted_join(
 
     The rows of a hot key are spread over several salts; the right side's rows of that key, and of
     no other, are repeated once per salt. The keys are counted on `counted`, if the left side is
-    costly and a cheaper frame has at least as many rows per key.
+    costly and a cheaper frame has at least as many rows per key. A stored table with fewer rows than make a key hot is
+    not counted by key.
     """
     on = [on] if isinstance(on, str) else list(on)
+    counted, hot_rows = left if counted is None else counted, hot_rows or HOT_ROWS
+    if _few_rows(counted, hot_rows):
+        return left.join(right, on, how)
     types = common_types(left, right, on)
-    hot = hot_keys(left if counted is None else counted, types, hot_rows or HOT_ROWS)
+    hot = hot_keys(counted, types, hot_rows)
     if not hot.count():
         return left.join(right, on, how)
     hot = stored(hot, "hot-keys")  # counted once more, for joins that have hot keys; both sides read it

@@ -137,18 +137,29 @@ def h6(u):
     return _executions(u, _lineages(u))
 
 
-def _facts(u, lineage_rows, executions, schema):
-    """Metrics of every order file, attached to the run of the report that read it."""
-    metrics = u.order_metrics().join(schema.select("ok", "schema_id"), "ok").drop("ok")
+def _metrics(u, read, written):
+    """Metrics of every order file and of every report, by schema."""
+    return u.order_metrics().join(read.select("ok", "schema_id"), "ok").drop("ok").unionByName(
+        u.report_metrics().join(written.select("ck", "schema_id"), "ck").drop("ck"))
+
+
+def _uses(lineage_rows, executions, read):
+    """Schemas that each run read (the files of its customer's orders) or wrote (the report)."""
     by_id = lineage_rows.select("lineage_key", "schema_id", F.col("id").alias("lineage_id"))
-    inputs = schema.select(F.col("ck").alias("lineage_key"), F.col("schema_id").alias("input_schema_id"))
-    uses = entities.metric_uses(executions, inputs.join(by_id.drop("schema_id"), "lineage_key"), by_id)
-    return entities.metrics_rows(metrics, stored(uses, "uses"))
+    inputs = read.select(F.col("ck").alias("lineage_key"), F.col("schema_id").alias("input_schema_id"))
+    return stored(entities.metric_uses(executions, inputs.join(by_id.drop("schema_id"), "lineage_key"), by_id), "uses")
+
+
+def _schemas(u):
+    """The schemas of the files read and of the reports written, each written once."""
+    return stored(u.order_schemas(), "schemas"), stored(u.report_schemas(), "report-schemas")
 
 
 def _all_facts(u, lineage_rows=None):
     lineage_rows = _lineages(u) if lineage_rows is None else lineage_rows
-    return _facts(u, lineage_rows, _executions(u, lineage_rows), stored(u.order_schemas(), "schemas"))
+    read, written = _schemas(u)
+    uses = _uses(lineage_rows, stored(_executions(u, lineage_rows), "executions"), read)
+    return entities.metrics_rows(_metrics(u, read, written), uses)
 
 
 @query("h7_metrics_rows", f"WITH {FACTS_SQL} SELECT metrics_id, schema_id, lineage_execution_id, field, stat, value FROM facts")
@@ -159,16 +170,16 @@ def h7(u):
 @query(
     "c1_resolve_refs",
     f"""WITH {FACTS_SQL}
-SELECT f.metrics_id, f.field, f.stat, f.value, s.location, 'parquet' AS format, e.start AS start_time, e.version,
+SELECT f.metrics_id, f.field, f.stat, f.value, f.location, f.format, e.start AS start_time, e.version,
   e.author AS author_name, e.repo AS repository_location, e.app AS application_name, e.username AS user_name
-FROM facts f JOIN order_sources s ON f.ok = s.ok JOIN executions e ON e.run_id = f.ck""",
+FROM facts f JOIN executions e ON e.run_id = f.ck""",
 )
 def c1(u):
-    lineage_rows, schema = _lineages(u), stored(u.order_schemas(), "schemas")
+    lineage_rows, (read, written) = _lineages(u), _schemas(u)
     executions = stored(_executions(u, lineage_rows), "executions")
-    facts = stored(_facts(u, lineage_rows, executions, schema), "facts")
+    schema = concat([rows.select("schema_id", "data_source_id") for rows in (read, written)])
     resolved = entities.resolve_executions(executions, u.run_entities())
-    wide = entities.resolve_refs(facts, schema, u.data_source_rows(), resolved)
+    wide = entities.resolved_metrics(_metrics(u, read, written), _uses(lineage_rows, executions, read), schema, u.data_source_rows(), resolved)
     return wide.select(
         "metrics_id", "field", "stat", "value", "location", "format", "start_time", "version",
         "author_name", "repository_location", "application_name", "user_name",

@@ -141,6 +141,13 @@ class Universe:
         )
         return per_field.unpivot(["ok", "field"], ["count", "sum"], "stat", "value")
 
+    def report_metrics(self) -> DataFrame:
+        """(ck, field, stat, value): orders in a customer's report, and their total."""
+        per_report = self.orders.groupBy(F.col("o_custkey").alias("ck")).agg(
+            F.count("*").cast("double").alias("nrows"), F.round(F.sum("o_totalprice"), 2).alias("total")
+        )
+        return per_report.unpivot(["ck"], ["nrows", "total"], "stat", "value").select("ck", F.lit("").alias("field"), "stat", "value")
+
     # --- messages ----------------------------------------------------------------------------
 
     def messages(self, events: DataFrame | None = None) -> DataFrame:
@@ -273,9 +280,15 @@ order_metrics AS (
   SELECT ok, field, stat, value FROM (
     SELECT l_orderkey AS ok, 'col_' || (l_partkey % 40) AS field, CAST(count(*) AS DOUBLE) AS count, sum(l_quantity) AS sum
     FROM lineitem GROUP BY 1, 2) UNPIVOT (value FOR stat IN (count, sum))),
+report_metrics AS (
+  SELECT ck, '' AS field, stat, value FROM (SELECT o_custkey AS ck, CAST(count(*) AS DOUBLE) AS nrows, round(sum(o_totalprice), 2) AS total
+    FROM orders GROUP BY 1) UNPIVOT (value FOR stat IN (nrows, total))),
 facts AS (
-  SELECT md5(s.schema_id || ',' || x.id) AS metrics_id, s.schema_id, x.id AS lineage_execution_id, m.field, m.stat, m.value, s.ck, s.ok
-  FROM order_metrics m JOIN order_schemas s ON m.ok = s.ok JOIN lineage_execution x ON x.ck = s.ck)"""
+  SELECT md5(s.schema_id || ',' || x.id) AS metrics_id, s.schema_id, x.id AS lineage_execution_id, m.field, m.stat, m.value, s.ck, o.location, 'parquet' AS format
+  FROM order_metrics m JOIN order_schemas s ON m.ok = s.ok JOIN order_sources o ON m.ok = o.ok JOIN lineage_execution x ON x.ck = s.ck
+  UNION ALL
+  SELECT md5(s.schema_id || ',' || x.id), s.schema_id, x.id, m.field, m.stat, m.value, s.ck, r.location, 'csv'
+  FROM report_metrics m JOIN report_schemas s ON m.ck = s.ck JOIN report_sources r ON r.ck = s.ck JOIN lineage_execution x ON x.ck = s.ck)"""
 
 
 def duck(expression: str) -> str:
