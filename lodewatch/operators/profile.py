@@ -307,10 +307,6 @@ def describe(df: DataFrame, skip_first: bool = False, quantiles: str = "exact")
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("nrows"))
-
-
 # --- metrics taken while a frame is read or written ------------------------------------------
 
 

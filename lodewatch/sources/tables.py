@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,10 +125,3 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def sql_query_source(spark: SparkSession, query: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Result of a query as a frame; `tables` are made visible to it under their names."""
     return spark.sql(query, **(tables or {}))
-
-
-def where_all(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
-    """Conjunction of any number of predicates; none keeps every row."""
-    for p in predicates:
-        df = df.where(p)
-    return df

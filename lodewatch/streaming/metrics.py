@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.functions.messages import explode_fields, field_amount, json_type_of
+from lodewatch.functions.messages import explode_fields, field_amount, json_kind, json_type_of
 from lodewatch.session import small_enough, stored
 
 METRIC_KINDS = ("number", "string")
@@ -99,6 +99,29 @@ def all_null_fields(kinds: DataFrame) -> DataFrame:
     return kinds.where("values = 0").select("stream", "field", F.lit(UNKNOWN).alias("dtype"))
 
 
+def sync_state(messages: DataFrame, copied: Column) -> DataFrame:
+    """Everything that the end of a sync reports, as one aggregation and so one streaming run: per stream and field
+
+    `count`, `sum` of what was read and `copied_count`, `copied_sum` of what the destination took (`copied`, a condition on the
+    messages); `dtype`, the first kind of a copied value; `records` and `copied_records`, the messages whose first
+    field this is, so that they add up to those of the stream. A payload without fields counts under a null field.
+    """
+    spark = messages.sparkSession
+    parsed = messages.select("stream", "offset", F.coalesce(copied, F.lit(False)).alias("copied"), F.try_parse_json("data").alias("_p"))
+    exploded = parsed.lateralJoin(spark.tvf.variant_explode_outer(F.col("_p").outer()).alias("_f"))
+    kind, value = json_kind(F.col("_f.value")), F.col("_f.value")
+    rows = exploded.select("stream", "offset", "copied", F.col("_f.key").alias("field"), kind.alias("kind"), (F.coalesce(F.col("_f.pos"), F.lit(0)) == 0).alias("first"), value.alias("value"))
+    measured = F.col("kind").isin(*METRIC_KINDS) & F.col("field").isNotNull()
+    amount = F.when(measured, field_amount(F.col("kind"), F.col("value")))
+    taken = F.col("copied")
+    return rows.select("stream", "field", "offset", "copied", "kind", "first", amount.alias("amount")).groupBy("stream", "field").agg(
+        F.count("amount").alias("count"), F.sum("amount").alias("sum"),
+        F.count(F.when(taken, F.col("amount"))).alias("copied_count"), F.sum(F.when(taken, F.col("amount"))).alias("copied_sum"),
+        F.min_by(F.when(taken & F.col("kind").isin(*METRIC_KINDS), F.col("kind")), F.when(taken & F.col("kind").isin(*METRIC_KINDS), F.col("offset"))).alias("dtype"),
+        F.count_if("first").alias("records"), F.count_if(F.col("first") & taken).alias("copied_records"),
+    )
+
+
 def declared_types(catalog: DataFrame) -> DataFrame:
     """Catalog (stream, field, types) -> one map field -> types per stream, as long as a stream is wide."""
     entry = F.struct("field", "types")

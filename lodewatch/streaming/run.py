@@ -6,6 +6,7 @@ import threading
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from lodewatch.functions.keys import md5_key
 from lodewatch.operators.entities import schemas
 from lodewatch.operators.lineage import lineage_direct, lineage_executions, lineages
-from lodewatch.session import work_dir
+from lodewatch.session import stored, work_dir
 from lodewatch.streaming.state import BATCH, FANOUT, Part, PartLog, latest
 
 
@@ -140,9 +141,12 @@ def finish_sync(
     copied: DataFrame,
     app_execution: str,
     start_time: str,
+    records: DataFrame | None = None,
 ) -> SyncObservation:
     """Schemas, lineage, run and statistics of a finished sync.
 
+    `records` (stream, read, copied) adds the numbers of records of both sides, without a field.
+
     Fields are `stream, name, dtype`; metrics are `stream, field, count, sum`. Fields of equal name
     are linked; a stream without any keeps a lineage with no edges.
     """
@@ -170,9 +174,30 @@ def finish_sync(
     by_stream = lineage.select(F.col("lineage_key").alias("stream"), F.col("id").alias("lineage")).join(
         execution.select("lineage", F.col("id").alias("lineage_execution_id")), "lineage"
     )
+    def counted(side: str, schema: DataFrame) -> list[DataFrame]:
+        if records is None:
+            return []
+        rows = records.select("stream", F.lit("").alias("field"), F.lit("records").alias("stat"), F.col(side).cast("double").alias("value"))
+        return [rows.join(schema.select("stream", "schema_id"), "stream").select("stream", "schema_id", "field", "stat", "value")]
+
+    sides = [stats(read, src), stats(copied, dst), *counted("read", src), *counted("copied", dst)]
     metrics = (
-        stats(read, src).unionByName(stats(copied, dst)).join(by_stream.drop("lineage"), "stream")
+        reduce(DataFrame.unionByName, sides).join(by_stream.drop("lineage"), "stream")
         .select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "stream", "schema_id", "lineage_execution_id", "field", "stat", "value")
     )
     both = src.withColumn("side", F.lit("source")).unionByName(dst.withColumn("side", F.lit("destination")))
     return SyncObservation(both, edges, lineage, execution, metrics)
+
+
+def finish_state(state: DataFrame, declared: DataFrame, app_execution: str, start_time: str) -> SyncObservation:
+    """The end of a sync from its one state (`metrics.sync_state`), written once.
+
+    `declared` (stream, name, dtype) are the source's fields; the destination's are those of which a value was copied.
+    """
+    state = stored(state, "sync-state")
+    fields = state.where("field is not null")
+    read = fields.where("count > 0").select("stream", "field", "count", "sum")
+    copied = fields.where("copied_count > 0").select("stream", "field", F.col("copied_count").alias("count"), F.col("copied_sum").alias("sum"))
+    landed = fields.where("copied_count > 0").select("stream", F.col("field").alias("name"), "dtype")
+    records = state.groupBy("stream").agg(F.sum("records").alias("read"), F.sum("copied_records").alias("copied"))
+    return finish_sync(declared, landed, read, copied, app_execution, start_time, records)

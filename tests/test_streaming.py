@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodewatch.sources import messages
 from lodewatch.streaming import metrics, run
@@ -166,3 +167,20 @@ def test_finish(spark, stored_messages):
     assert {r["lineage_key"]: r["n_edges"] for r in done.lineage.collect()} == {"s": 1, "ns.s": 0}
     assert done.execution.count() == 2 and done.schemas.count() == 4
     assert done.metrics.count() == 2 * 2 * read.count()
+
+
+def test_finish_of_one_state(spark):
+    """Copied and read sides differ; payloads without fields are records as well."""
+    sent = [("s", 1, '{"k": 1, "t": "ab"}', True), ("s", 2, '{"k": 2.5, "x": null}', False), ("s", 3, "[1]", True), ("s", 4, "no json", None), ("s", 5, '{"k": "late"}', True), ("r", 6, "{}", True)]
+    df = spark.createDataFrame(sent, "stream string, offset bigint, data string, took boolean")
+    state = metrics.sync_state(df, F.col("took"))
+    got = {(r["stream"], r["field"]): r for r in state.collect()}
+    assert tuple(got[("s", "k")])[2:] == (3, 7.5, 2, 5.0, "number", 3, 2)
+    assert (got[("s", "t")]["count"], got[("s", "t")]["records"], got[("s", "x")]["count"]) == (1, 0, 0)
+    declared = spark.createDataFrame([("s", "k", "number"), ("s", "x", "string")], "stream string, name string, dtype string")
+    done = run.finish_state(state, declared, "exec", "2024-01-01T00:00:00")
+    sides = {r["schema_id"]: r["side"] for r in done.schemas.collect()}
+    found = {(sides[r["schema_id"]], r["field"], r["stat"]): r["value"] for r in done.metrics.collect()}
+    assert found[("source", "", "records")] == 5.0 and found[("destination", "", "records")] == 3.0
+    assert (found[("source", "k", "count")], found[("destination", "k", "count")], found[("destination", "k", "sum")]) == (3.0, 2.0, 5.0)
+    assert {r["output_field"] for r in done.edges.collect()} == {"k"}
