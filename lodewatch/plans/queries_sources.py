@@ -125,6 +125,22 @@ def a8(u):
     return per_uri.select(name, "nrows", "n_edges").withColumn("loaded", F.lit(loaded.count()).cast("long"))
 
 
+CUSTOMER_FIELDS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query(
+    "a8_uri_lineages",
+    "SELECT DISTINCT 'drop=' || (c_custkey % 8) AS drop_name, md5('0123456789abcdef' || '" + ",".join(f"{c}:{c}" for c in CUSTOMER_FIELDS) + "') AS id, "
+    "5 AS n_edges FROM customer",
+)
+def a8_lineages(u):
+    """One lineage, with its id, per loaded URI."""
+    _, uris = _customer_drops(u)
+    _, sources = files.load_from_uris(u.spark, uris, work_dir(u.spark, "customer-loaded"), u.customer.schema, "csv", header=True)
+    made = files.load_lineages(sources, u.customer.schema, "0123456789abcdef")
+    return made.select(F.substring_index("lineage_key", "/", -1).alias("drop_name"), "id", F.col("n_edges").cast("int").alias("n_edges"))
+
+
 @query("a9_copy_dataset", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def a9(u):
     return files.copy_dataset(u.spark, f"{u.sf_dir}/supplier.parquet", work_dir(u.spark, "supplier-copy"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodewatch.functions.keys import as_col, md5_key, quoted, schema_key
+from lodewatch.operators.lineage import lineages
 from lodewatch.session import work_dir
 from lodewatch.sources.tables import type_name
 
@@ -138,11 +139,14 @@ def load_from_uris(
     table.write.mode("overwrite").parquet(dst)
     # Counting reads no data columns; each file is matched to the URI it lies under.
     per_file = table.groupBy(_plain(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("n"))
-    plain = [(u, re.sub("^file:(//)?", "", u).rstrip("/")) for u in uris]
-    owner = F.coalesce(
-        *[F.when((F.col("file") == p) | F.startswith("file", F.lit(p + "/")), F.lit(u)) for u, p in plain]
-    )
-    per_uri = per_file.groupBy(owner.alias("location")).agg(F.sum("n").alias("nrows"))
+    folders = [(i, u, re.sub("^file:(//)?", "", u).rstrip("/")) for i, u in enumerate(uris)]
+    named = spark.createDataFrame(folders, "place int, location string, folder string")
+    # a file's folders and itself, joined with the URIs; of nested URIs the one named first has it
+    steps = F.split("file", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+    owned = per_file.select("file", "n", F.explode(above).alias("folder")).join(named, "folder")
+    owner = owned.groupBy("file", "n").agg(F.min_by("location", "place").alias("location"))
+    per_uri = owner.groupBy("location").agg(F.sum("n").alias("nrows"))
     every_uri = spark.createDataFrame([(u,) for u in uris], "location string")
     source_id = md5_key("location", F.lit(source_format))
     fields = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(type_name(f.dataType)).alias("dtype")) for f in schema])
@@ -165,6 +169,15 @@ def load_edges(sources: DataFrame, schema: T.StructType, lineage_key: str) -> Da
     ).withColumn("input_fields", F.array("output_field"))
 
 
+def load_lineages(sources: DataFrame, schema: T.StructType, schema_id: str) -> DataFrame:
+    """(id, lineage_key, schema_id, n_edges): a lineage of its own for each URI, into the table whose schema is `schema_id`."""
+    names = F.array(*[F.lit(f.name) for f in schema])
+    factors = sources.select(
+        F.col("location").alias("lineage_key"), F.lit(0).alias("input_ord"), F.col("schema_id").alias("input_schema_id"),
+        F.lit(True).alias("pairwise"), names.alias("outputs"), names.alias("inputs"))
+    return lineages(factors, sources.select(F.col("location").alias("lineage_key"), F.lit(schema_id).alias("schema_id")))
+
+
 def _plain(path: Column) -> Column:
     """Path without the local scheme, which Spark adds to local files."""
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))  # Spark reports blanks and others percent-encoded
