@@ -6,8 +6,12 @@ the exact binomial tail P(Bin(n, limit) <= k) is at most `error` / (rules x stra
 share of falsely rejected good documents passes `limit` is below that. Cutoffs are tried from lenient to strict and
 the first failure ends the row (fixed-sequence testing, so the steps of one rule need no further correction); the
 strictest certified cutoff holds. Rules and strata are corrected by Bonferroni, so with probability 1 - `error` no
-rule in any stratum wrongly rejects more than `limit` of its good documents. A stratum with too few labels
-certifies nothing and rejects nothing.
+rule in any stratum wrongly rejects more than `limit` of its good documents.
+
+Strata with so few good labels that not even k = 0 would be certified are pooled to one further stratum, which the correction
+counts: its cutoffs hold for all of them together (marked `pooled`), and the limit is kept over the pool and not
+in each of its members. The pool is chosen by numbers of labels alone, before any metric is looked at. Where the pool
+has too few labels as well, or a stratum has none at all, nothing is certified and nothing rejected.
 
 The metrics are ratios: symbols per word, repeated lines per line, words in repeated windows per word, characters
 per word. The holdout is every labelled good document; cutoffs are not fitted to it in any other way.
@@ -84,16 +88,19 @@ def _metric(rule: str) -> F.Column:
 
 
 def cutoffs(stats: DataFrame, labels: DataFrame, id_col: str, stratum: str, limit: float = LIMIT, error: float = ERROR) -> DataFrame:
-    """(stratum_, one column per rule): the certified cutoffs, null where nothing is certified.
+    """(stratum_, pooled, one column per rule): the certified cutoffs, null where nothing is certified.
 
-    One row per stratum; counts are made on the executors, with one partial row per task and stratum.
+    `pooled` tells that they are those of the pool of small strata. One row per stratum; counts are made on the executors, with one partial row per task and stratum.
     """
     good = labels.where("quality is not null").groupBy(F.col("doc_id").alias("good_id_")).agg(F.min("quality").alias("good_")).where("good_ = 1")
     held = stats.join(good, F.col(f"`{id_col}`") == F.col("good_id_"), "left_semi")
     places = [(rule, i) for rule, (_, grid) in RULES.items() for i in range(len(grid))]
     above = [F.sum((_metric(rule) > RULES[rule][1][i]).cast("bigint")).alias(f"{rule}_{i}") for rule, i in places]
-    counts = stored(held.groupBy(F.col(f"`{stratum}`").cast("string").alias("stratum_")).agg(F.count(F.lit(1)).alias("n"), *above), "rule-counts")
-    level = error / (len(RULES) * max(1, counts.count()))
+    own = F.col(f"`{stratum}`").cast("string").alias("stratum_")
+    strata = stored(held.groupBy(own).agg(F.count(F.lit(1)).alias("n"), *above), "rule-counts")
+    level = error / (len(RULES) * (strata.count() + 1))
+    marked = strata.withColumn("pooled", F.pow(F.lit(1.0 - limit), F.col("n")) > level).withColumn("group", F.when(~F.col("pooled"), F.col("stratum_")))
+    counts = marked.groupBy("pooled", "group").agg(*[F.sum(c).alias(c) for c in ["n", *[f"{rule}_{i}" for rule, i in places]]])
 
     def certify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -107,22 +114,28 @@ def cutoffs(stats: DataFrame, labels: DataFrame, id_col: str, stratum: str, limi
                         last = cutoff
                     chosen.append(last)
                 frame[rule] = pd.array(chosen, dtype="Float64")
-            yield frame[["stratum_", *RULES]]
+            yield frame[["pooled", "group", *RULES]]
 
-    return stored(counts.mapInPandas(certify, ", ".join(["stratum_ string", *[f"{r} double" for r in RULES]])), "rule-cutoffs")
+    certified = counts.mapInPandas(certify, ", ".join(["pooled boolean", "group string", *[f"{r} double" for r in RULES]])).withColumnRenamed("pooled", "pooled_group")
+    same = (F.col("pooled") == F.col("pooled_group")) & F.col("stratum_group").eqNullSafe(F.col("group"))
+    members = marked.select("stratum_", "pooled", F.col("group").alias("stratum_group"))
+    return stored(members.join(certified, same).select("stratum_", "pooled", *RULES), "rule-cutoffs")
 
 
 def verdicts(stats: DataFrame, chosen: DataFrame, stratum: str) -> DataFrame:
-    """Appends `base_failed`, `rejected_by` (the rules that reject) and `kept`; statistics must be there by their plain names."""
+    """Appends `base_failed`, `rejected_by` (the rules that reject), `pooled` (by cutoffs of the pool) and `kept`.
+
+    Statistics must be there by their plain names.
+    """
     joined = stats.join(chosen, F.col(f"`{stratum}`").cast("string").eqNullSafe(F.col("stratum_")), "left")
     hits = F.array_compact(F.array(*[F.when(_metric(r) > F.col(f"`{r}`"), F.lit(r)) for r in RULES]))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return joined.withColumns({"base_failed": failed, "rejected_by": hits}).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("stratum_", *RULES)
+    return joined.withColumns({"base_failed": failed, "rejected_by": hits, "pooled": F.coalesce("pooled", F.lit(False))}).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("stratum_", *RULES)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang",
           limit: float = LIMIT, error: float = ERROR) -> DataFrame:
-    """One row per document: id, statistics, base_failed, rejected_by, kept. Texts are read once."""
+    """One row per document: id, statistics, base_failed, rejected_by, pooled, kept. Texts are read once."""
     keyed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{stratum}`").cast("string").alias("stratum"), F.col(f"`{text_col}`").cast("string").alias("text"))
     stats = stored(map_texts(keyed, "text", STATS, _stats, keep=["id", "stratum"]), "rule-stats")
     return verdicts(stats, cutoffs(stats, labels, "id", "stratum", limit, error), "stratum").drop("stratum")

@@ -153,12 +153,16 @@ s AS (SELECT doc_id, lang, len(words)::BIGINT AS n_words, length(regexp_replace(
 m AS (SELECT doc_id, lang, rule, place, cutoff, CASE rule {METRIC_SQL} END AS metric FROM s CROSS JOIN (VALUES {RULE_GRID_SQL}) AS v(rule, place, cutoff)),
 k AS (SELECT lang, rule, place, cutoff, count(*) AS n, count(*) FILTER (metric > cutoff) AS k FROM m
   WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1) GROUP BY ALL),
+z AS (SELECT *, {quality_rules.ERROR}::DOUBLE / ({len(quality_rules.RULES)} * (1 + (SELECT count(*) FROM (SELECT DISTINCT lang FROM k)))) AS level FROM k),
+o AS (SELECT *, pow(1.0::DOUBLE - {quality_rules.LIMIT}::DOUBLE, n) > level AS pooled FROM z),
+y AS (SELECT pooled, CASE WHEN NOT pooled THEN lang END AS grp, rule, place, cutoff, level, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM o GROUP BY ALL),
 q AS (SELECT *, CASE WHEN k >= n * {quality_rules.LIMIT}::DOUBLE THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
     exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({quality_rules.LIMIT}::DOUBLE) + (n - j) * ln(1 - {quality_rules.LIMIT}::DOUBLE))))
-    END <= {quality_rules.ERROR}::DOUBLE / ({len(quality_rules.RULES)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM k))) AS certified FROM k),
-f AS (SELECT lang, rule, min(place) FILTER (NOT certified) AS failed FROM q GROUP BY lang, rule),
-c AS (SELECT q.lang, q.rule, arg_max(cutoff, place) AS cutoff FROM q JOIN f ON q.rule = f.rule AND q.lang IS NOT DISTINCT FROM f.lang
-  WHERE place < coalesce(failed, 1000) GROUP BY q.lang, q.rule),
+    END <= level AS certified FROM y),
+f AS (SELECT pooled, grp, rule, min(place) FILTER (NOT certified) AS failed FROM q GROUP BY pooled, grp, rule),
+e AS (SELECT q.pooled, q.grp, q.rule, arg_max(cutoff, place) AS cutoff FROM q JOIN f ON q.rule = f.rule AND q.pooled = f.pooled AND q.grp IS NOT DISTINCT FROM f.grp
+  WHERE place < coalesce(failed, 1000) GROUP BY q.pooled, q.grp, q.rule),
+c AS (SELECT x.lang, e.rule, e.cutoff FROM (SELECT DISTINCT lang, pooled FROM o) x JOIN e ON x.pooled = e.pooled AND e.grp IS NOT DISTINCT FROM CASE WHEN NOT x.pooled THEN x.lang END),
 j AS (SELECT DISTINCT m.doc_id FROM m JOIN c ON m.rule = c.rule AND m.lang IS NOT DISTINCT FROM c.lang WHERE m.place = 0 AND m.metric > c.cutoff),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -121,3 +121,33 @@ def test_score_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality_fm.score(df, quality_fm.fit(df, none)).collect()} == {0.5}
     assert quality_fm.score(df.limit(0), quality_fm.fit(df, none)).count() == 0
+
+
+def test_small_strata_are_judged_by_their_pool(spark, tmp_path):
+    """Certified cutoffs, of strata and of the pool, against the registered SQL."""
+    import duckdb
+
+    from lodewatch.llm import queries
+
+    docs, labels = corpus(4000)
+    langs = ["en", "en", "en", "en", "de", "fr", "es", None]
+    docs = [(i, text, langs[i // 5 % 8], kept) for i, text, _, kept in docs] + [(5001, "odd &&& " * 60, "it", "x"), (5002, docs[0][1], "xx", "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, kept string")
+    lf = spark.createDataFrame(labels, "doc_id long, quality int")
+    chosen = {r["stratum_"]: r for r in quality_rules.cutoffs(quality_rules.judge(df, lf).join(df.selectExpr("doc_id as id", "lang"), "id"), lf, "id", "lang").collect()}
+    assert [chosen[k]["pooled"] for k in ("en", "de", "fr", "es", None)] == [False, True, True, True, True] and "xx" not in chosen
+    assert chosen["de"]["symbols"] is not None and chosen["de"]["symbols"] == chosen["es"]["symbols"]
+    got = {r["id"]: r for r in quality_rules.judge(df, lf).collect()}
+    assert all(got[i]["kept"] == (i % 5 != 0) and got[i]["pooled"] == (lang != "en") for i, _, lang, _ in docs if i < 5000)
+    assert got[5002]["kept"] and not got[5002]["pooled"]
+
+    for name, frame in (("documents", df), ("labels", lf)):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    with duckdb.connect() as con:
+        for name in ("documents", "labels"):
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+        want = con.execute(queries.ORACLE["op1_quality_rules"]).fetchdf()
+    mine = queries.QUERIES["op1_quality_rules"](spark, str(tmp_path)).toPandas()
+    order = lambda frame: frame[sorted(frame.columns)].sort_values("doc_id").reset_index(drop=True)
+    assert order(mine).astype(str).equals(order(want).astype(str))
+    assert (~mine["kept"]).sum() >= 800
