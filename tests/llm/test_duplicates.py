@@ -93,3 +93,14 @@ def test_spans_name_their_source(spark):
         assert ("lead in " + text).split()[r["first"] : r["end"]] == words[r["source_first"] : r["source_first"] + r["end"] - r["first"]]
     assert min(r["first"] for r in spans) == 2 and max(r["end"] for r in spans) == 122
     assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_own_words(spark):
+    rng = random.Random(8)
+    words = lambda n: [f"v{rng.randrange(10_000)}" for _ in range(n)]
+    passage = words(60)
+    rows = [(1, " ".join(passage)), (2, " ".join(words(10) + passage)), (2, " ".join(words(90))), (2, " ".join(words(12) + passage)), (2, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in substring_dedup.remove_repeats(df).collect())
+    assert got == plain_removal(rows, 50)
+    assert sorted(r[2] for r in got) == [0, 0, 0, 60, 60]
