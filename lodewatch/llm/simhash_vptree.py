@@ -12,8 +12,11 @@ small; those are compared in blocks. A group that the division does not make sma
 through their neighbours at distance 1 (points that share one are at most 2 apart, and all such pairs do), which
 is linear in the group. A shard gives the links of a spanning forest and not all its pairs.
 
-The number of shards follows the number of points, not the reverse; the sample only places the borders, so results
-do not depend on it.
+The tree of the first sample has some two thousand shards at most. A shard with more than four times the points that it aims at is
+divided again on Spark, each with a border from a bounded fresh sample of its own points, until none is larger: so the
+number of shards follows the number of points. A large shard that no border divides is a dense ball; for radius 2 it
+is linked on Spark by the shared neighbours, at most 65 points each, so that no task holds it (for any other radius it is
+one group, compared in blocks). Samples only place borders, so results do not depend on them.
 
 Results by case: null and empty texts have the fingerprint 0 and link like any other; ties in the vote are no bit;
 repeated rows share a class; null ids are members without being a class's name (a class of null ids only has null);
@@ -25,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -42,6 +46,8 @@ SHINGLE = 3
 RADIUS = 2
 SAMPLE = 16_384  # points that place the borders of the shards
 SHARD = 20_000  # points that a shard aims at, before overlaps
+LARGE = 4  # times this many points, a shard is divided again
+BORDER = 4_096  # points of a large shard that place its border
 LEAF = 400  # points that are compared in blocks
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -208,8 +214,53 @@ def links(points: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, shard:
         inside = root != np.arange(len(own))
         return pd.DataFrame({"a": own[inside], "b": own[root[inside]]})
 
-    spread_out = points.mapInPandas(spread, "shard long, fp long")
-    return spread_out.groupBy("shard").applyInPandas(search, "a long, b long")
+    spread_out = points.mapInPandas(spread, "shard long, fp long").withColumn("round", F.lit(0))
+    dense = None
+    if count > LARGE * shard:
+        spread_out, dense = divided(stored(spread_out.drop("round"), "shards"), radius, LARGE * shard, min(sample, BORDER))
+    found = spread_out.groupBy("round", "shard").applyInPandas(search, "a long, b long")
+    return found if dense is None else found.unionByName(shared_neighbours(dense))
+
+
+def divided(shards: DataFrame, radius: int, limit: int, sample: int = BORDER) -> tuple[DataFrame, DataFrame | None]:
+    """Shards (round, shard, fp) of at most `limit` points, and the points (fp) of dense balls; `shards` is a stored table (shard, fp).
+
+    A round divides all larger shards once; it moves their points only, and each round's points are written.
+    """
+    def choose(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        own = np.sort(frame["fp"].to_numpy(np.int64)).view(np.uint64)
+        border = divide(own, radius, np.random.default_rng(7))
+        chosen = [] if border is None else [(key[0], int(border[0].view(np.int64)), border[1])]
+        return pd.DataFrame(chosen, columns=["shard", "vantage", "mu"])
+
+    whole = 1 << 40
+    small, balls, step = [], [], 0
+    while True:
+        sizes = stored(shards.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit), "large-shards")
+        rest = shards if sizes.isEmpty() else shards.join(sizes, "shard", "left_anti")
+        small.append(rest.select(F.lit(step).alias("round"), "shard", "fp"))
+        if sizes.isEmpty():
+            break
+        inside = shards.join(sizes, "shard")
+        drawn = inside.where(F.pmod(F.xxhash64(F.lit(step), "fp"), F.lit(whole)) < F.lit(whole) * (F.lit(float(sample)) / F.col("n")))
+        borders = stored(drawn.groupBy("shard").applyInPandas(choose, "shard long, vantage long, mu int"), "borders")
+        ball = shards.join(sizes.join(borders, "shard", "left_anti"), "shard", "left_semi")
+        if radius == 2:
+            balls.append(ball.select("fp"))
+        else:
+            small.append(ball.select(F.lit(step).alias("round"), "shard", "fp"))
+        distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage")))
+        sides = F.array_compact(F.array(F.when(distance <= F.col("mu") + radius, F.col("shard") * 2), F.when(distance > F.col("mu"), F.col("shard") * 2 + 1)))
+        shards = stored(shards.join(borders, "shard").select(F.explode(sides).alias("shard"), "fp"), "shards")
+        step += 1
+    return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, balls).distinct() if balls else None
+
+
+def shared_neighbours(points: DataFrame) -> DataFrame:
+    """Edges (a, b) among distinct points `fp` that share a neighbour at distance 0 or 1, which has 65 of them at most."""
+    flips = F.transform(F.sequence(F.lit(-1), F.lit(63)), lambda i: F.when(i < 0, F.col("fp")).otherwise(F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i))))
+    by_key = points.select("fp", F.explode(flips).alias("key")).groupBy("key").agg(F.min("fp").alias("b"), F.collect_set("fp").alias("all"))
+    return by_key.where(F.size("all") > 1).select(F.explode("all").alias("a"), "b").where("a <> b").distinct()
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, sample: int, shard: int) -> tuple[DataFrame, DataFrame]:

@@ -95,3 +95,45 @@ def test_classes_equal_brute_force(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert v.near_classes(df).count() == 0 and v.keep_one(df).count() == 0
+
+
+def test_large_shards_are_divided_on_spark(spark):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    near = base[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    ball = base[0] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))
+    pairs = (ball[:, None] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))[None, :]).ravel()[:600]
+    points = np.unique(np.concatenate([base, near, ball, pairs]))
+    df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    want = plain_roots([int(p) for p in points])
+    at = {int(p): i for i, p in enumerate(points.view(np.int64))}
+
+    small, dense = v.divided(df.selectExpr("0L as shard", "fp").cache(), 2, 200, 150)
+    sizes = small.groupBy("round", "shard").count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) <= 200
+    held = {r["fp"] for r in small.collect()} | ({r["fp"] for r in dense.collect()} if dense is not None else set())
+    assert held == set(at)
+    for radius, shard in [(2, 50), (2, 20_000), (3, 50)]:
+        parent = list(range(len(points)))
+
+        def find(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for r in v.links(df, radius=radius, shard=shard, sample=200, leaf=16).collect():
+            a, b = find(at[r["a"]]), find(at[r["b"]])
+            parent[max(a, b)] = min(a, b)
+        assert grouping([find(i) for i in range(len(points))]) == grouping(want if radius == 2 else plain_roots([int(p) for p in points], radius))
+
+
+def test_dense_balls_by_shared_neighbours(spark):
+    rng = np.random.default_rng(3)
+    points = np.unique(np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 20, 300).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 20, 300).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)))
+    df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    at = {int(p): i for i, p in enumerate(points.view(np.int64))}
+    for edges in (v.shared_neighbours(df), v.links(df, shard=10, sample=100)):
+        parent = np.arange(len(points))
+        for r in edges.collect():
+            v._join(parent, np.array([at[r["a"]]]), np.array([at[r["b"]]]))
+        assert grouping([v._root(parent, i) for i in range(len(points))]) == grouping(plain_roots([int(p) for p in points]))
