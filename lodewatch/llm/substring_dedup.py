@@ -10,7 +10,7 @@ the smallest document with it, is known from one grouped minimum. Anchors of one
 anchors that branch (edges of copies and edited places), windows are compared one by one: their hashes, made anew from
 the texts of the documents concerned, are grouped for the smallest document and joined back. A span is covered if an equal
 path or window, by 128 bits of its words, starts in a smaller document; it names that place (document, first word). Spans
-carry these bits, and a row loses only spans whose own words have them, so that rows that share an id cannot
+carry 64 of these bits, and a row loses only spans whose own words have them, so that rows that share an id cannot
 exchange theirs. Neighbouring spans are then joined into long ones.
 
 Only narrow rows are shuffled, each hash with partial minima first; hot passages are one row per task there, and the
@@ -104,6 +104,7 @@ def paths(words: list[bytes], window: int = WINDOW, anchor: int = ANCHOR) -> tup
     return least[first], hashes.runs(first, end, 0), hashes.runs(first, end, 1), first, count
 
 
+SPAN = ["first", "end", "h1"]  # of a span, what its row needs
 PATHS = {"anchor": "bigint", "h1": "bigint", "h2": "bigint", "first": "int", "count": "int"}
 
 
@@ -163,10 +164,10 @@ def _windows_of(joined: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(id, first, end, source_id, source_first, h1, h2): runs of words whose windows start in the smaller document `source_id`.
+    """(id, first, end, source_id, source_first, h1): runs of words whose windows start in the smaller document `source_id`.
 
     Spans of one document may overlap; their union is what is repeated. Rows that share an id give theirs together, and
-    h1 and h2, the hashes of the words, tell which of them has a span.
+    h1, the first hash of the words, tells which of them has a span.
     """
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = stored(document_paths(texts, window, anchor), "paths")
@@ -176,7 +177,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # written before the joins back: Spark splits a common key only where both sides come straight from a shuffle
     shared = stored(anchors.where("source.id < last").select("anchor", "source", (F.col("low") != F.col("high")).alias("branches")), "anchors")
     found = stored(rows.join(shared, "anchor").select("id", "first", "count", "h1", "h2", "source", "branches"), "shared-paths")
-    span = [(F.col("first") + F.col("count") + (window - 1)).alias("end"), F.col("source.id").alias("source_id"), F.col("source.first").alias("source_first"), "h1", "h2"]
+    span = [(F.col("first") + F.col("count") + (window - 1)).alias("end"), F.col("source.id").alias("source_id"), F.col("source.first").alias("source_first"), "h1"]
     plain = found.where("not branches and source.id < id").select("id", "first", *span)
     parts = found.where("branches").groupBy("id").agg(F.collect_list(F.struct("first", "count")).alias("parts"))
     windows = stored(_windows_of(texts.join(parts, "id"), window), "windows")
@@ -197,22 +198,17 @@ def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _cleaned(texts, repeated_spans(texts, "id", "text", window, anchor), {"kept_sha256": "string"}, lambda kept: (hashlib.sha256(kept).hexdigest(),))
 
 
-def _own(words: list[bytes], spans: list[dict]) -> list[tuple[int, int]]:
-    """The spans (first, end) whose words in this text have the hashes they came with, joined."""
-    first, end = (np.array([x[k] for x in spans], np.int64) for k in ("first", "end"))
-    wanted = [np.array([x[k] for x in spans], np.int64).view(np.uint64) for k in ("h1", "h2")]
-    inside = np.flatnonzero(end <= len(words))
-    if not len(inside):
-        return []
-    hashes = Hashes(words)
-    for which in (0, 1):
-        inside = inside[hashes.runs(first[inside], end[inside], which) == wanted[which][inside]]
-    return _merge(first[inside].tolist(), end[inside].tolist())
+def _own(words: list[bytes], first: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> list[tuple[int, int]]:
+    """The spans whose words in this text have the hash they came with, joined."""
+    inside = end <= len(words)
+    first, end, wanted = first[inside], end[inside], wanted[inside]
+    same = Hashes(words).runs(first, end, 0) == wanted.view(np.uint64)
+    return _merge(first[same].tolist(), end[same].tolist())
 
 
 def _cleaned(texts: DataFrame, spans: DataFrame, columns: dict[str, str], of) -> DataFrame:
     """A document's spans meet on its row: at most as many as it has windows."""
-    by_id = spans.groupBy("id").agg(F.collect_list(F.struct("first", "end", "h1", "h2")).alias("spans"))
+    by_id = spans.groupBy("id").agg(*[F.collect_list(c).alias(c) for c in SPAN])
     joined = texts.join(by_id, "id", "left")
     kind = texts.schema["id"].dataType.simpleString()
     schema = ", ".join([f"id {kind}", "n_words bigint", "n_removed bigint", *[f"{k} {v}" for k, v in columns.items()]])
@@ -221,9 +217,9 @@ def _cleaned(texts: DataFrame, spans: DataFrame, columns: dict[str, str], of) ->
         for batch in batches:
             rows = []
             for i, text in enumerate(text_bytes(batch, "text")):
-                words, spans = text.split(), batch.column("spans")[i].as_py()
+                words, values = text.split(), [batch.column(c)[i].values for c in SPAN]
                 kept, at = [], 0
-                for start, end in _own(words, spans) if spans else []:
+                for start, end in _own(words, *[x.to_numpy() for x in values]) if values[0] is not None else []:
                     kept += words[at:start]
                     at = max(at, end)
                 kept += words[at:]
@@ -232,4 +228,4 @@ def _cleaned(texts: DataFrame, spans: DataFrame, columns: dict[str, str], of) ->
                 made = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(c) for c in made]], names=["id", "n_words", "n_removed", *columns])
 
-    return joined.select("id", "text", "spans").mapInArrow(run, schema)
+    return joined.select("id", "text", *SPAN).mapInArrow(run, schema)
