@@ -104,3 +104,39 @@ def test_rows_that_share_an_id_keep_their_own_words(spark):
     got = sorted(tuple(r) for r in substring_dedup.remove_repeats(df).collect())
     assert got == plain_removal(rows, 50)
     assert sorted(r[2] for r in got) == [0, 0, 0, 60, 60]
+
+
+def test_unbranched_paths_are_compacted_by_joins(spark, monkeypatch):
+    seen, before = [], substring_dedup.compacted
+    monkeypatch.setattr(substring_dedup, "compacted", lambda plain: seen.append((plain, before(plain))) or seen[-1][1])
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    shared = [word() for _ in range(5000)]
+    rows = [(i, " ".join([*[word() for _ in range(100)], *shared, *[word() for _ in range(100)]])) for i in range(1, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = substring_dedup.repeated_spans(df).collect()
+    assert sorted((r["id"], r["first"], r["end"], r["source_id"], r["source_first"]) for r in spans) == [(2, 100, 5100, 1, 100), (3, 100, 5100, 1, 100)]
+    assert len({bytes(r["digest"]) for r in spans}) == 1 and bytes(spans[0]["digest"]) == hashlib.sha256(" ".join(shared).encode()).digest()
+    (plain, heads), = seen
+    assert plain.count() > 200 and heads.count() == 1  # log2 of them in rounds
+    assert heads.first()["total"] == plain.groupBy().sum("count").first()[0]
+
+
+def test_collisions_remove_nothing(spark):
+    """Hashes of few bits collide everywhere; the words at the source's coordinates differ."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(50, 300)))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for bits in (1, 3, 64):
+        got = sorted(tuple(r) for r in substring_dedup.remove_repeats(df, bits=bits).collect())
+        assert got == [(i, len(t.split()), 0, t) for i, t in rows], bits
+
+
+def test_rows_of_one_source_id_keep_their_own_coordinates(spark):
+    rng = random.Random(13)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    a, b = [word() for _ in range(120)], [word() for _ in range(120)]
+    rows = [(1, " ".join(a)), (1, " ".join([*a[60:], *b])), (5, " ".join([*a, *b])), (5, " ".join([*b, *a])), (6, None), (None, " ".join(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in substring_dedup.remove_repeats(df).collect()), key=repr)
+    assert got == plain_removal(rows, 50)
