@@ -1,18 +1,21 @@
 """Quality score of texts by a factorisation machine.
 
 Features of a text: its distinct words, hashed into `DIMS` places with weight tf / |tf| (length 1 together), and
-structure statistics (shares of symbols, capitals, digits, repeated words and lines, word and text length), scaled and
-cut to [-3, 3]. The model is w0 + sum w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2): pairwise
+structure statistics (shares of symbols, capitals, digits, repeated words and lines, word and text length) and metadata
+(whether the table states a number of characters, that number, and how it differs from the text's own), scaled and cut
+to [-3, 3]. The model is w0 + sum w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2): pairwise
 interactions of rank `RANK` at a cost that is linear in the number of features. The id, language, source and labels
 are never features.
 
 It is trained on at most `SAMPLE` labelled documents, those with the smallest hash of their id among the documents
-that are not held out: a documented bound, so that the driver never holds more than SAMPLE x DIMS weights. Scoring
+that are not held out: a documented bound, so that the driver never holds more than SAMPLE x DIMS weights, also where rows
+share an id (then the first SAMPLE rows by hash of id, id and features). Scoring
 goes over whole texts on the executors; the model (DIMS x (RANK + 1) numbers) travels with the task.
 
 Results by case: null counts as empty; an empty text has structure features only and gets a score like any other;
 repeated rows get equal scores; without labelled documents of both kinds every score is the share of good labels
-(1/2 without any); several labels of a document count as their least; an empty table gives an empty frame.
+(1/2 without any); several labels of a document count as their least; an empty table gives an empty frame; a missing
+metadata column, nulls in it and values that are no finite number from 0 count as not stated.
 """
 
 from __future__ import annotations
@@ -33,10 +36,13 @@ SAMPLE = 6000
 EPOCHS = 12
 CUT = 0.7
 STRUCTURE = 11
+METADATA = 3
+DENSE = STRUCTURE + METADATA
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = bytes(range(65, 91))
 DIGITS = b"0123456789"
 BLANK_BYTES = b" \t\n\x0b\x0c\r"
+INNER_BYTES = bytes(range(0x80, 0xC0))  # of UTF-8, those that begin no character
 
 
 def structure(text: bytes, words: list[bytes], counts: Counter) -> list[float]:
@@ -62,11 +68,19 @@ def structure(text: bytes, words: list[bytes], counts: Counter) -> list[float]:
     return [max(-3.0, min(3.0, x)) for x in raw]
 
 
-def features(text: bytes) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """Places and weights of the hashed words, and the structure features."""
+def metadata(text: bytes, chars: float | None) -> list[float]:
+    if chars is None or not math.isfinite(chars) or chars < 0:
+        return [0.0] * METADATA
+    own = len(text.translate(None, INNER_BYTES))
+    raw = [1.0, (math.log1p(chars) - 7.5) / 1.5, math.log1p(chars) - math.log1p(own)]
+    return [max(-3.0, min(3.0, x)) for x in raw]
+
+
+def features(text: bytes, chars: float | None = None) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Places and weights of the hashed words, and the features of structure and metadata."""
     words = text.split()
     counts = Counter(words)
-    dense = structure(text, words, counts)
+    dense = structure(text, words, counts) + metadata(text, chars)
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), dense
     place = np.fromiter(map(zlib.crc32, counts), np.int64, len(counts)) % DIMS
@@ -76,14 +90,14 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray, list[float]]:
 
 
 class Machine:
-    """w0, linear weights and factors over the `DIMS` + `STRUCTURE` features."""
+    """w0, linear weights and factors over the `DIMS` + `DENSE` features."""
 
     def __init__(self, w0: float, w: np.ndarray, v: np.ndarray):
         self.w0, self.w, self.v = w0, w, v
 
-    def score(self, text: bytes) -> float:
-        at, x, dense = features(text)
-        at = np.concatenate([at, np.arange(DIMS, DIMS + STRUCTURE)])
+    def score(self, text: bytes, chars: float | None = None) -> float:
+        at, x, dense = features(text, chars)
+        at = np.concatenate([at, np.arange(DIMS, DIMS + DENSE)])
         x = np.concatenate([x, np.array(dense, np.float32)])
         vx = self.v[at] * x[:, None]
         total = vx.sum(0)
@@ -94,7 +108,7 @@ class Machine:
 def train(rows: list[tuple[list[int], list[float], list[float], int]], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """Minibatch Adam on log loss; `rows` are (places, weights, structure, label) in a fixed order."""
     rng = np.random.default_rng(seed)
-    n = DIMS + STRUCTURE
+    n = DIMS + DENSE
     y = np.array([r[3] for r in rows], np.float64)
     base = float(y.mean()) if len(y) else 0.5
     w0 = math.log(max(base, 1e-3) / max(1 - base, 1e-3))
@@ -134,8 +148,13 @@ def train(rows: list[tuple[list[int], list[float], list[float], int]], rank: int
     return Machine(w0, params[:, 0].astype(np.float32), params[:, 1:].astype(np.float32))
 
 
-def _feature_rows(texts: list[bytes]) -> list[tuple]:
-    return [(at.tolist(), x.tolist(), dense) for at, x, dense in map(features, texts)]
+def _feature_rows(texts: list[bytes], chars: list[float | None]) -> list[tuple]:
+    return [(at.tolist(), x.tolist(), dense) for at, x, dense in map(features, texts, chars)]
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, chars_col: str) -> DataFrame:
+    chars = F.col(f"`{chars_col}`").cast("string").try_cast("double") if chars_col in docs.columns else F.lit(None).cast("double")
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), chars.alias("chars"))
 
 
 def held_out(identity: F.Column) -> F.Column:
@@ -143,21 +162,21 @@ def held_out(identity: F.Column) -> F.Column:
     return F.coalesce(F.crc32(identity.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, chars_col: str = "n_chars") -> Machine:
     """Trains on the bounded sample of labelled documents that are not held out."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label_"))
     usable = known.where(~held_out(F.col("doc_id"))).withColumnRenamed("doc_id", "label_id_")
     chosen = usable.orderBy(F.xxhash64(F.col("label_id_").cast("string")), "label_id_").limit(sample)
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    joined = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id_")).select("id", "label_", "text")
-    made = map_texts(joined, "text", {"at": "array<int>", "x": "array<float>", "dense": "array<float>"}, _feature_rows, keep=["id", "label_"])
-    rows = made.toArrow().to_pydict()
+    texts = _texts(docs, id_col, text_col, chars_col)
+    joined = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id_")).select("id", "label_", "text", "chars")
+    made = map_texts(joined, "text", {"at": "array<int>", "x": "array<float>", "dense": "array<float>"}, _feature_rows, keep=["id", "label_", "chars"], also=("chars",))
+    rows = made.orderBy(F.xxhash64(F.col("id").cast("string")), "id", "dense", "at", "x").limit(sample).toArrow().to_pydict()
     ordered = sorted(zip(rows["id"], rows["at"], rows["x"], rows["dense"], rows["label_"]), key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
-    return train([r[1:] for r in ordered[:sample]])
+    return train([r[1:] for r in ordered])
 
 
-def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
+def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT, chars_col: str = "n_chars") -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    scored = map_texts(texts, "text", {"score": "double"}, lambda batch: [(model.score(t),) for t in batch], keep=["id"])
+    texts = _texts(docs, id_col, text_col, chars_col)
+    scored = map_texts(texts, "text", {"score": "double"}, lambda batch, chars: [(model.score(t, c),) for t, c in zip(batch, chars)], keep=["id", "chars"], also=("chars",))
     return scored.select("id", held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -82,12 +82,13 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def map_texts(df: DataFrame, text: str, columns: dict[str, str], function: Callable[[list[bytes]], list[tuple]],
-              keep: list[str] | None = None) -> DataFrame:
+def map_texts(df: DataFrame, text: str, columns: dict[str, str], function: Callable[..., list[tuple]],
+              keep: list[str] | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """Appends columns computed from each text, batch by batch; the rows' order and number stay.
 
     `columns` are the new names with their SQL types; `function` gets the texts of a batch and returns one
     tuple per text. `keep` are the columns of `df` to carry along (default: all); only they and the text are read.
+    `also` are some of them whose values the function gets as further lists.
     """
     keep = df.columns if keep is None else keep
     carried = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias(fresh("text_", keep)))
@@ -103,7 +104,7 @@ def map_texts(df: DataFrame, text: str, columns: dict[str, str], function: Calla
         for batch in batches:
             if not batch.num_rows:
                 continue
-            made = list(zip(*function(text_bytes(batch, source))))
+            made = list(zip(*function(text_bytes(batch, source), *[batch.column(keep.index(c)).to_pylist() for c in also])))
             old = [batch.column(i) for i in range(len(keep))]
             new = [pa.array(values, kind) for values, kind in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays([*old, *new], names=[*keep, *names])

@@ -106,7 +106,7 @@ def test_factorisation_machine(spark):
 
 def test_linear_time_identity():
     rng = quality_fm.np.random.default_rng(3)
-    n = quality_fm.DIMS + quality_fm.STRUCTURE
+    n = quality_fm.DIMS + quality_fm.DENSE
     model = quality_fm.Machine(0.1, rng.normal(0, 1, n).astype("f"), rng.normal(0, 0.3, (n, 4)).astype("f"))
     text = b"some words and some more words! #tag"
     at, x, dense = quality_fm.features(text)
@@ -151,3 +151,26 @@ def test_small_strata_are_judged_by_their_pool(spark, tmp_path):
     order = lambda frame: frame[sorted(frame.columns)].sort_values("doc_id").reset_index(drop=True)
     assert order(mine).astype(str).equals(order(want).astype(str))
     assert (~mine["kept"]).sum() >= 800
+
+
+def test_metadata_is_a_feature(spark):
+    known = quality_fm.features("né à".encode(), 4.0)[2][quality_fm.STRUCTURE :]
+    assert known[0] == 1 and known[2] == 0 and quality_fm.features(b"word", 400.0)[2][-1] > 1
+    for odd in (None, float("nan"), float("inf"), -1.0):
+        assert quality_fm.features(b"word", odd)[2][quality_fm.STRUCTURE :] == [0, 0, 0]
+    # equal texts, told apart by what the table says of them only
+    docs = [(i, "the same plain words", str(20 if i % 3 else 9000)) for i in range(600)] + [(1000, "the same plain words", "none"), (1001, None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, n_chars string")
+    lf = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id long, quality int")
+    got = {r["id"]: r["score"] for r in quality_fm.score(df, quality_fm.fit(df, lf)).collect()}
+    assert len(got) == 602 and all((got[i] >= 0.7) == (i % 3 > 0) for i in range(600))
+
+
+def test_rows_that_share_a_label_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_fm, "train", lambda rows: seen.append(rows))
+    df = spark.createDataFrame([(1, f"text number {i}") for i in range(300)] + [(4, "other words")], "doc_id long, text string")
+    lf = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, quality int")
+    quality_fm.fit(df, lf, sample=50)
+    quality_fm.fit(df.repartition(5), lf, sample=50)
+    assert len(seen[0]) == 50 and seen[0] == seen[1]
