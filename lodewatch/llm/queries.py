@@ -188,7 +188,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return token_counts.count_redacted(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+    return token_counts.count_revisions(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
 @query("op7_simhash_vptree")

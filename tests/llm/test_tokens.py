@@ -87,6 +87,27 @@ def test_edits_count_as_a_whole_text(counter, whole, text, edits):
         assert tree.text == now and tree.total == whole(now)
 
 
+@settings(max_examples=600, deadline=None)
+@given(SMALL, st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6), st.text(alphabet="ab 'srelv\n.9", max_size=6)), max_size=6), st.booleans())
+def test_disjoint_edits_in_one_pass_and_again_from_leaves(counter, whole, text, gaps, touching):
+    edits, at = [], 0
+    for gap, n, new in gaps:  # each begins `gap` characters after the one before
+        start = min(len(text), at + (0 if touching else gap))
+        at = min(len(text), start + n)
+        edits.append((start, at, new))
+    tree, now = token_counts.TokenTree(text, counter), text
+    tree.edit_all(edits)
+    for start, end, new in reversed(edits):
+        now = now[:start] + new + now[end:]
+    assert tree.text == now and tree.total == whole(now)
+    chars, tokens = (token_counts._unpacked(token_counts._packed(a)) for a in tree.leaves())
+    assert list(chars) == [len(p) for p in counter.split.findall(now)] and tokens.sum() == whole(now)
+    again = token_counts.TokenTree(now, counter, (chars, tokens))
+    again.edit_all(token_counts.unwrapped(now))
+    assert again.encoded == 0 or "\n" in now
+    assert again.text == token_counts._LINE_ENDS.sub(" ", now) and again.total == whole(again.text)
+
+
 def test_only_the_region_is_encoded(counter, whole):
     rng = random.Random(3)
     text = " ".join(rng.choice(["alpha", "beta", "gamma", "it's", "  x", "\n9"]) for _ in range(20_000))
@@ -114,3 +135,35 @@ def test_redaction_of_a_frame(spark, whole):
     edits = spark.createDataFrame([(1, 2, 0, 5, "x"), (1, 1, 0, 0, "yy "), (9, 1, 0, 1, "z"), (4, 1, 0, 3, None)], "doc_id long, seq int, start int, end int, replacement string")
     after = {r["id"]: r["n_tokens"] for r in token_counts.count_edited(df, edits, RANKS, public_tokenizers.PATTERN).collect()}
     assert after[1] == whole("x" + ("yy " + rows[0][1])[5:]) and after[4] == whole(rows[3][1][3:]) and after[2] == 0
+
+
+def test_stored_trees_are_revised_twice(spark, whole):
+    lines = "\n".join(f"line {i} of this text says don't  stop" for i in range(300))
+    rows = [(1, lines, "x", 7), (1, "a\r\n\r\nb +1 (706) 555-3138\n", "y", 7), (2, None, "", 7), (3, "", None, 7), (None, "one line", "z", 7), (None, "one line", "z", 7),
+            (4, "a" * 70_000 + "\n" + "b " * 9_000, "long", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, leaf_chars string, n_edits int")
+    got = sorted((tuple(r) for r in token_counts.count_revisions(df, RANKS, public_tokenizers.PATTERN).collect()), key=repr)
+    want = []
+    for i, t, *_ in rows:
+        one = t or ""
+        for a, b, x in token_counts.redactions(one):
+            one = one[:a] + x + one[b:]
+        two = one.replace("\r\n\r\n", "\n").replace("\n", " ")
+        edits = len(token_counts.redactions(t or "")) + len(token_counts.unwrapped(one))
+        want.append((i, whole(t or ""), whole(one), whole(two), edits))
+    assert [g[:5] for g in got] == sorted(want, key=repr)
+    first = next(g for g in got if g[0] == 1 and g[4] == 299)
+    assert 0 < first[6] < first[7] / 2
+    assert all(g[6] == 0 for g in got if g[4] == 0)
+    assert token_counts.count_revisions(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_a_revised_table_takes_edits_again(spark, whole):
+    df = spark.createDataFrame([(1, "alpha beta gamma"), (2, None)], "doc_id long, text string")
+    edits = spark.createDataFrame([(1, 1, 0, 5, "omega"), (2, 1, 0, 0, "new text"), (1, 2, 5, 5, "s and")], "doc_id long, seq int, start int, end int, replacement string")
+    trees = token_counts.plant(df, RANKS, public_tokenizers.PATTERN)
+    for _ in range(2):
+        trees = token_counts.revise_by(trees, edits, RANKS, public_tokenizers.PATTERN)
+    got = {r["id"]: (r["text"], r["n_tokens"], r["n_edits"]) for r in trees.collect()}
+    texts = {1: "omegas ands and beta gamma", 2: "new textnew text"}
+    assert got == {i: (t, whole(t), 2 if i == 1 else 1) for i, t in texts.items()}
