@@ -94,40 +94,39 @@ class TokenTree:
         """Characters and tokens of the current pre-tokens."""
         out = []
         for which, before in enumerate((self.leaf_chars, self.leaf_tokens)):
-            parts, at = [], 0
+            old, now, at = before.tolist(), [], 0
             for leaf in sorted(self.changed):
-                parts += [before[at:leaf], np.array(self.changed[leaf][which], np.int64)]
+                now += old[at:leaf]
+                now += self.changed[leaf][which]
                 at = leaf + 1
-            out.append(np.concatenate([*parts, before[at:]]))
+            out.append(np.array(now + old[at:], np.int64))
         return out[0], out[1]
 
     def _grow(self) -> None:
         """Inner nodes bottom up; made at the first edit. Node 1 is the root, leaves start at `self.base`."""
-        n = len(self.leaf_chars)
+        n, trees = len(self.leaf_chars), []
         self.base = 1 << max(0, n - 1).bit_length()
-        self.chars, self.tokens = np.zeros(2 * self.base, np.int64), np.zeros(2 * self.base, np.int64)
-        self.chars[self.base : self.base + n] = self.leaf_chars
-        self.tokens[self.base : self.base + n] = self.leaf_tokens
-        low = self.base
-        while low > 1:
-            for sums in (self.chars, self.tokens):
-                sums[low // 2 : low] = sums[low : 2 * low].reshape(-1, 2).sum(1)
-            low //= 2
+        for leaves in (self.leaf_chars, self.leaf_tokens):
+            levels = [np.concatenate([leaves, np.zeros(self.base - n, np.int64)])]
+            while len(levels[-1]) > 1:
+                levels.append(levels[-1][::2] + levels[-1][1::2])
+            trees.append([0, *np.concatenate(levels[::-1]).tolist()])  # lists: single nodes are read and set
+        self.chars, self.tokens = trees
 
     def _set(self, leaf: int, chars: list[int], tokens: list[int]) -> None:
         self.changed[leaf] = chars, tokens
-        node = self.base + leaf
-        chars_more, tokens_more = sum(chars) - self.chars[node], sum(tokens) - self.tokens[node]
+        node, of_chars, of_tokens = self.base + leaf, self.chars, self.tokens
+        chars_more, tokens_more = sum(chars) - of_chars[node], sum(tokens) - of_tokens[node]
         while node:
-            self.chars[node] += chars_more
-            self.tokens[node] += tokens_more
+            of_chars[node] += chars_more
+            of_tokens[node] += tokens_more
             node //= 2
 
     def _find(self, at: int) -> tuple[int, int]:
         """The leaf that holds character `at`, and its first character; descends by character sums."""
         node, start = 1, 0
         while node < self.base:
-            left = int(self.chars[2 * node])
+            left = self.chars[2 * node]
             if at - start < left:
                 node = 2 * node
             else:
@@ -178,7 +177,7 @@ class TokenTree:
                 if chars and at >= edits[i][1] + shift:
                     while last + 1 < n and old_end < at - shift:
                         last += 1
-                        old_end += int(self.chars[self.base + last])
+                        old_end += self.chars[self.base + last]
                     if old_end == at - shift and last >= first:
                         break
                 if at >= len(text):
@@ -194,7 +193,7 @@ class TokenTree:
                 if self.chars[self.base + leaf] or self.tokens[self.base + leaf]:
                     self._set(leaf, [], [])
             done, met, i = last, old_end, i + 1
-        self.text, self.total = text, int(self.tokens[1])
+        self.text, self.total = text, self.tokens[1]
 
 
 @lru_cache(maxsize=2)
