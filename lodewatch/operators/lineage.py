@@ -120,9 +120,12 @@ def lineage_extra(direct: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def field_match_join(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
-    """The same direct edges as one row per matching pair of fields, by an equi-join on the name."""
+    """The same direct edges as one row per matching pair of fields, by an equi-join on the name.
+
+    Field rows often come from exploded lists, whose size Spark takes for that of the lists, so neither side may be broadcast.
+    """
     ins = salted_join(inputs, fields.withColumnRenamed("schema_id", "input_schema_id"), "input_schema_id")
-    return ins.join(out_fields.select("lineage_key", "name"), ["lineage_key", "name"]).select(
+    return ins.join(out_fields.select("lineage_key", "name").hint("merge"), ["lineage_key", "name"]).select(
         "lineage_key", "input_ord", "input_schema_id", F.col("pos").alias("edge_ord"), F.col("name").alias("field")
     )
 
