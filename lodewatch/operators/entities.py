@@ -6,6 +6,8 @@ on the map side and never reach the hash or the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +68,13 @@ def data_sources_on_servers(df: DataFrame, location: Column, server: Column) ->
 def schemas(fields: DataFrame, source_key: str = "data_source_id") -> DataFrame:
     """(schema_id, source_key, n_fields) from field rows (source_key, name, dtype).
 
-    A list of fields is as long as a table is wide.
+    A list of fields is as long as a table is wide. Sources may also come with such a list each, `fields`; they need no
+    grouping then, and keep their other columns.
     """
+    if "fields" in fields.columns:
+        named = F.transform("fields", lambda f: F.struct(f["name"], f["dtype"]))
+        made = fields.withColumn("schema_id", schema_key(named, source_key)).withColumn("n_fields", F.size("fields"))
+        return made.select("schema_id", source_key, "n_fields", *[c for c in fields.columns if c != source_key])
     grouped = fields.groupBy(source_key).agg(F.collect_list(F.struct("name", "dtype")).alias("fields"))
     return grouped.select(
         schema_key("fields", source_key).alias("schema_id"), source_key, F.size("fields").alias("n_fields")
@@ -174,14 +181,28 @@ def keyed_uses(uses: DataFrame) -> DataFrame:
     return uses.select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id")
 
 
-def metrics_rows(metrics: DataFrame, uses: DataFrame) -> DataFrame:
+def metric_lists(metrics: DataFrame, key: str) -> DataFrame:
+    """(key, metrics): the metrics of a schema as one list of (field, stat, value), as long as a table has metrics."""
+    return metrics.groupBy(key).agg(F.collect_list(F.struct("field", "stat", "value")).alias("metrics"))
+
+
+def listed_stats(fields: Column | str, stats: Sequence[str]) -> Column:
+    """The statistics `stats` that a field list holds, as a list of (field, stat, value)."""
+    def of(f: Column) -> Column:
+        return F.array(*[F.struct(f["name"].alias("field"), F.lit(s).alias("stat"), f[s].alias("value")) for s in stats])
+
+    return F.flatten(F.transform(fields, of))
+
+
+def metrics_rows(metrics: DataFrame, uses: DataFrame, listed: bool = False) -> DataFrame:
     """Attaches the metrics of a schema, taken once, to every execution that used it.
 
-    `uses` is read once more to find the schemas that very many executions use.
+    `metrics` are rows (schema_id, field, stat, value) or `metric_lists`, of which the join moves one row per use; with
+    `listed` they stay lists in the result. `uses` is read once more to find the schemas that very many executions use.
     """
-    return salted_join(keyed_uses(uses), metrics, "schema_id", counted=uses).select(
-        "metrics_id", "schema_id", "lineage_execution_id", "field", "stat", "value"
-    )
+    facts = salted_join(keyed_uses(uses), metrics, "schema_id", counted=uses)
+    value = ["metrics"] if listed else [F.inline("metrics")] if "metrics" in metrics.columns else ["field", "stat", "value"]
+    return facts.select("metrics_id", "schema_id", "lineage_execution_id", *value)
 
 
 def resolved_metrics(metrics: DataFrame, uses: DataFrame, schema: DataFrame, data_source: DataFrame, executions: DataFrame) -> DataFrame:
@@ -190,17 +211,21 @@ def resolved_metrics(metrics: DataFrame, uses: DataFrame, schema: DataFrame, dat
     `uses` had better be a stored table; `executions` is the result of `resolve_executions`.
     """
     wide = stored(resolve_refs(keyed_uses(uses), schema, data_source, executions), "resolved-uses")
-    return salted_join(wide, metrics, "schema_id")
+    joined = salted_join(wide, metrics, "schema_id")
+    return joined.select(*[c for c in joined.columns if c != "metrics"], F.inline("metrics")) if "metrics" in metrics.columns else joined
 
 
 def orphan_metrics(metrics: DataFrame, lineage_execution: DataFrame) -> DataFrame:
-    """Metrics that no known lineage execution explains."""
+    """Metrics that no known lineage execution explains.
+
+    Also of uses, before their metrics multiply them: the metrics of what is left are the same.
+    """
     known = lineage_execution.select(F.col("id").alias("lineage_execution_id"))
     return salted_join(metrics, known, "lineage_execution_id", "left_anti")
 
 
 def execution_summary(metrics: DataFrame) -> DataFrame:
-    """All input and output metrics of an execution: one map per schema it touched."""
+    """All input and output metrics of an execution, rows or listed: one map per schema it touched."""
     return metrics_long_to_map(metrics, ["lineage_execution_id", "schema_id"])
 
 

@@ -7,6 +7,8 @@ Inputs of these operators:
 * `inputs`: `lineage_key, input_ord, input_schema_id`;
 * `fields`: `schema_id, pos, name` of the input schemas.
 
+Field rows may also come as `field_lists`, one row per schema, except where fields are matched by a join.
+
 Edges are rows `lineage_key, input_ord, input_schema_id, edge_ord, output_field,
 input_fields`: one row per output field and input, the inputs' fields as an array. This is
 the shape of the mapping itself; a full mapping of m output and n input fields is m rows
@@ -38,10 +40,16 @@ FACTOR_COLUMNS = ["lineage_key", "input_ord", "input_schema_id", "pairwise", "ou
 APPENDED = 1_000_000_000
 
 
+def field_lists(fields: DataFrame, key: str) -> DataFrame:
+    """(key, fields): the field rows of a schema, with all their columns, as one list in the order of `pos`."""
+    rest = [c for c in fields.columns if c not in (key, "pos")]
+    return fields.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", *rest))).alias("fields"))
+
+
 def packed(fields: DataFrame, key: str) -> DataFrame:
-    """(key, names): the field names of a schema in their order."""
-    listed = fields.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("f"))
-    return listed.select(key, F.col("f.name").alias("names"))
+    """(key, names): the field names of a schema in their order; `fields` may be field rows or their `field_lists`."""
+    listed = fields if "fields" in fields.columns else field_lists(fields.select(key, "pos", "name"), key)
+    return listed.select(key, F.col("fields.name").alias("names"))
 
 
 def paired(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
@@ -177,7 +185,8 @@ def _chain_digest():
         for batch in batches:
             done = []
             parts = zip(batch["pairwise"], batch["outputs"], batch["inputs"]) if "outputs" in batch else iter(lambda: None, 0)
-            for k, order, n, text, part in zip(batch["lineage_key"], batch["input_ord"], batch["n_edges"], batch["text"], parts):
+            columns_read = [batch[c].tolist() for c in ("lineage_key", "input_ord", "n_edges", "text")]
+            for k, order, n, text, part in zip(*columns_read, parts):
                 if order < 0:  # a head; edges of a key without one belong to no output and are left out
                     if digest is not None:
                         done.append((digest.hexdigest(), key, schema_id, edges))

@@ -344,9 +344,20 @@ def _observed_type(df: DataFrame, name: str, stat: str) -> T.DataType:
 def metrics_long_to_map(metrics: DataFrame, keys: Sequence[str], name: str = "metrics", order: str | None = None) -> DataFrame:
     """One map `field.stat -> value` per key; as many entries as a table has metrics.
 
-    Of repeated metrics the later one holds: by the column `order` if there is one, else the larger value.
+    Of repeated metrics the later one holds: by the column `order` if there is one, else the larger value. `metrics` may also
+    hold them in a list of (field, stat, value) named `metrics`, without an order.
     """
-    label = F.when(F.col("field") == "", F.col("stat")).otherwise(F.concat_ws(".", "field", "stat"))
+    def labelled(field: Column, stat: Column) -> Column:
+        return F.when(field == "", stat).otherwise(F.concat_ws(".", field, stat))
+
+    if "metrics" in metrics.columns:
+        if order:
+            raise ValueError("lists of metrics have no order")
+        entries = F.transform(F.flatten(F.collect_list("metrics")), lambda m: F.struct(labelled(m["field"], m["stat"]).alias("key"), m["value"].alias("value")))
+        rows = metrics.groupBy(*keys).agg(entries.alias("_e")).withColumn("_e", F.array_sort("_e"))
+        last = F.filter("_e", lambda e, i: (i == F.size("_e") - 1) | (F.get("_e", i + 1)["key"] != e["key"]))
+        return rows.select(*keys, F.map_from_entries(last).alias(name))
+    label = labelled(F.col("field"), F.col("stat"))
     later = F.max_by("value", order) if order else F.max("value")
     once = metrics.groupBy(*keys, label.alias("key")).agg(later.alias("value"))
     entry = F.struct("key", "value")

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from lodewatch.functions.keys import dict_fields
 from lodewatch.operators import transform
 from lodewatch.plans.registry import query
 from lodewatch.plans.universe import FILES_SQL, MESSAGES_SQL, RUNS_SQL, TABLES
@@ -237,10 +238,8 @@ def a13(u):
 def a14(u):
     path = work_dir(u.spark, "observation-log")
     observations.write_observations(u.data_source_rows(), path)
-    entry = F.struct("name", "dtype")
-    maps = u.order_fields().groupBy("ok").agg(F.map_from_entries(F.collect_list(entry)).alias("fields"))
-    schema_rows = u.order_schemas().join(maps, "ok").select(
-        F.col("schema_id").alias("id"), "fields", F.col("data_source_id").alias("data_source")
+    schema_rows = u.order_schemas().select(
+        F.col("schema_id").alias("id"), dict_fields("fields").alias("fields"), F.col("data_source_id").alias("data_source")
     )
     observations.write_observations(schema_rows, path)
     back = observations.read_observations(u.spark, path)

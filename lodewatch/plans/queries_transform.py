@@ -234,7 +234,7 @@ def g12(u):
 @query("g13_dict_fields", f"WITH {FILES_SQL} SELECT s.schema_id, f.name, f.dtype FROM order_schemas s JOIN order_fields f USING (ok)")
 def g13(u):
     maps = u.order_fields().groupBy("ok").agg(keys.dict_fields(F.collect_list(F.struct("name", "dtype"))).alias("fields"))
-    return u.order_schemas().join(maps, "ok").select("schema_id", F.explode("fields").alias("name", "dtype"))
+    return u.order_schemas().drop("fields").join(maps, "ok").select("schema_id", F.explode("fields").alias("name", "dtype"))
 
 
 @query(

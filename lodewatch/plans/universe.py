@@ -9,12 +9,13 @@ Every derived frame grows with its tables and has the same definition in SQL nex
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import iso_time, md5_key
 from lodewatch.operators.entities import app_run_rows, data_sources, schemas
-from lodewatch.session import spread, stored
+from lodewatch.operators.lineage import field_lists
+from lodewatch.session import GATHERED_ROWS, gathered, spread, stored
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def long_stats(*stats: str) -> Column:
+    """Columns as rows (stat, value); unlike an unpivot, it leaves the rows where a grouping has put them."""
+    return F.inline(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in stats]))
+
+
 class Universe:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -39,11 +45,19 @@ class Universe:
 
     def order_fields(self) -> DataFrame:
         """(ok, pos, name, dtype): the fields of an order's file."""
-        dtype = F.expr("CASE WHEN l_linenumber <= 2 THEN 'bigint' WHEN l_linenumber <= 4 THEN 'double' ELSE 'string' END")
-        pos = F.col("l_partkey") % 40
-        named = self.lineitem.select(F.col("l_orderkey").alias("ok"), pos.alias("pos"), dtype.alias("dtype"))
-        grouped = named.groupBy("ok", "pos").agg(F.min("dtype").alias("dtype"))
-        return grouped.select("ok", "pos", F.concat(F.lit("col_"), F.col("pos")).alias("name"), "dtype")
+        return self.order_columns().select("ok", "pos", "name", "dtype")
+
+    def order_columns(self) -> DataFrame:
+        """(ok, pos, name, dtype, count, sum): the fields of an order's file with their lines and quantity.
+
+        The rows of an order are in one task. The types' names sort like the line numbers that they stand for.
+        """
+        lines = self.lineitem.select(
+            F.col("l_orderkey").alias("ok"), (F.col("l_partkey") % 40).alias("pos"), F.col("l_linenumber").alias("line"), "l_quantity")
+        grouped = gathered(lines, "ok").groupBy("ok", "pos").agg(
+            F.min("line").alias("line"), F.count("*").cast("double").alias("count"), F.sum("l_quantity").alias("sum"))
+        dtype = F.expr("CASE WHEN line <= 2 THEN 'bigint' WHEN line <= 4 THEN 'double' ELSE 'string' END")
+        return grouped.select("ok", "pos", F.concat(F.lit("col_"), F.col("pos")).alias("name"), dtype.alias("dtype"), "count", "sum")
 
     def order_sources(self) -> DataFrame:
         """(ok, ck, location, data_source_id)."""
@@ -54,16 +68,19 @@ class Universe:
         )
         return rows.withColumn("data_source_id", md5_key("location", F.lit("parquet")))
 
-    def order_schemas(self) -> DataFrame:
-        """(ok, ck, status, data_source_id, schema_id, n_fields) of the orders that have line items."""
-        sources = self.order_sources()
-        fields = self.order_fields().join(sources.select("ok", "data_source_id"), "ok")
-        return sources.drop("location").join(schemas(fields), "data_source_id")
+    def order_schemas(self, files: DataFrame | None = None) -> DataFrame:
+        """(ok, ck, status, data_source_id, schema_id, n_fields, fields) of the orders that have line items.
+
+        `files` are stored field lists by order, where several steps read them.
+        """
+        lists = field_lists(self.order_fields(), "ok") if files is None else files
+        return schemas(lists.join(self.order_sources().drop("location").hint("merge"), "ok"))
 
     def report_fields(self) -> DataFrame:
         """(ck, pos, name, dtype): a customer's report has one field more than its nation's key."""
         positions = F.explode(F.sequence(F.lit(0), F.col("c_nationkey")))
-        rows = self.customer.select(F.col("c_custkey").alias("ck"), positions.alias("pos"))
+        customers = gathered(self.customer.select(F.col("c_custkey").alias("ck"), "c_nationkey"), "ck", rows=GATHERED_ROWS // 10)
+        rows = customers.select("ck", positions.alias("pos"))
         dtype = F.expr("CASE pos % 3 WHEN 0 THEN 'bigint' WHEN 1 THEN 'double' ELSE 'string' END")
         return rows.select("ck", "pos", F.concat(F.lit("col_"), F.col("pos")).alias("name"), dtype.alias("dtype"))
 
@@ -73,10 +90,9 @@ class Universe:
         return rows.withColumn("data_source_id", md5_key("location", F.lit("csv")))
 
     def report_schemas(self) -> DataFrame:
-        """(ck, data_source_id, schema_id, n_fields)."""
-        sources = self.report_sources()
-        fields = self.report_fields().join(sources.select("ck", "data_source_id"), "ck")
-        return sources.drop("location").join(schemas(fields), "data_source_id")
+        """(ck, data_source_id, schema_id, n_fields, fields)."""
+        lists = field_lists(self.report_fields(), "ck")
+        return schemas(lists.join(self.report_sources().drop("location").hint("merge"), "ck"))
 
     def data_source_rows(self) -> DataFrame:
         """All data sources as entity rows (id, location, format)."""
@@ -135,18 +151,14 @@ class Universe:
 
     def order_metrics(self) -> DataFrame:
         """(ok, field, stat, value): line count and quantity of each field of an order's file."""
-        name = F.concat(F.lit("col_"), F.col("l_partkey") % 40)
-        per_field = self.lineitem.groupBy(F.col("l_orderkey").alias("ok"), name.alias("field")).agg(
-            F.count("*").cast("double").alias("count"), F.sum("l_quantity").alias("sum")
-        )
-        return per_field.unpivot(["ok", "field"], ["count", "sum"], "stat", "value")
+        return self.order_columns().select("ok", F.col("name").alias("field"), long_stats("count", "sum"))
 
     def report_metrics(self) -> DataFrame:
         """(ck, field, stat, value): orders in a customer's report, and their total."""
         per_report = self.orders.groupBy(F.col("o_custkey").alias("ck")).agg(
             F.count("*").cast("double").alias("nrows"), F.round(F.sum("o_totalprice"), 2).alias("total")
         )
-        return per_report.unpivot(["ck"], ["nrows", "total"], "stat", "value").select("ck", F.lit("").alias("field"), "stat", "value")
+        return per_report.select("ck", F.lit("").alias("field"), long_stats("nrows", "total"))
 
     # --- messages ----------------------------------------------------------------------------
 
@@ -178,12 +190,11 @@ class Universe:
         return spread(self.orders).selectExpr("o_orderkey AS stmt_id", f"{LOG_SQL} AS sql")
 
     def table_fields(self) -> DataFrame:
-        """(table_name, pos, name) of all tables named in the log."""
-        files = self.order_fields().select(F.concat(F.lit("wh.sales.orders_"), F.col("ok")).alias("table_name"), "pos", "name")
-        reports = self.report_fields().select(
-            F.concat(F.lit("wh.rep.customer_"), F.col("ck")).alias("table_name"), F.col("pos").cast("long").alias("pos"), "name"
-        )
-        return files.unionByName(reports)
+        """(table_name, fields) of all tables named in the log: their rows of pos and name as one list each."""
+        files = field_lists(self.order_fields().select("ok", "pos", "name"), "ok")
+        reports = field_lists(self.report_fields().select("ck", F.col("pos").cast("long").alias("pos"), "name"), "ck")
+        return files.select(F.concat(F.lit("wh.sales.orders_"), F.col("ok")).alias("table_name"), "fields").unionByName(
+            reports.select(F.concat(F.lit("wh.rep.customer_"), F.col("ck")).alias("table_name"), "fields"))
 
 
 # The expressions below are read by Spark and by the checking SQL alike.
