@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import quoted
 from lodewatch.operators.profile import long_form
+from lodewatch.operators.skew import salted_join
+from lodewatch.session import small_enough, stored
 
 TEST_PERCENT = 33
 
@@ -99,13 +101,22 @@ def fit_linear_groups(df: DataFrame, features: Sequence[str], label: str, groups
     return solve_grams(gram(df, features, label, groups), groups)
 
 
+def _with_models(df: DataFrame, models: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Rows with the model of their group.
+
+    The models are written first, so that their size is known before the rows would be shuffled by a few groups: small ones are
+    broadcast and the rows stay where they are, others are joined with hot groups salted.
+    """
+    known = stored(models, "models")
+    return df.join(known, list(groups), "left") if small_enough(known) else salted_join(df, known, groups, "left")
+
+
 def predict_groups(df: DataFrame, fitted: DataFrame, features: Sequence[str], groups: Sequence[str], name: str = "prediction") -> DataFrame:
     """Scores rows with the model of their group; null where it has none."""
     total = F.col("intercept")
     for i, f in enumerate(features):
         total = total + F.get("weights", F.lit(i)) * quoted(f)
-    # one row per group: Spark broadcasts it by its measured size, and the rows stay where they are
-    scored = df.join(fitted.select(*groups, "intercept", "weights"), list(groups), "left")
+    scored = _with_models(df, fitted.select(*groups, "intercept", "weights"), groups)
     return scored.withColumn(name, total).drop("intercept", "weights")
 
 
@@ -168,8 +179,7 @@ def predict_linear_by(
     df: DataFrame, lines: DataFrame, feature: str, groups: Sequence[str], name: str = "prediction"
 ) -> DataFrame:
     """Scores rows with the line of their group."""
-    # one row per group: Spark broadcasts it by its measured size, and the rows stay where they are
-    scored = df.join(lines, list(groups), "left")
+    scored = _with_models(df, lines, groups)
     return scored.withColumn(name, F.col("slope") * quoted(feature) + F.col("intercept")).drop("slope", "intercept")
 
 
