@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,32 +90,54 @@ def record_cells(records: DataFrame, keys: Sequence[str], record: str = "record"
     return exploded.select(*keys, F.col("_f.key").alias("field"), known.alias("kind"), number.alias("number"), text.alias("text"))
 
 
+def _kinds() -> Column:
+    return F.collect_set(F.when(F.col("kind") != NOTHING, F.col("kind")))
+
+
+def _dtype() -> Column:
+    """The type of a field whose values are of the `kinds`."""
+    return F.when(F.size("kinds") == 0, NOTHING).when(F.size("kinds") == 1, F.get("kinds", F.lit(0))).otherwise(TEXT)
+
+
 def cell_types(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, field, dtype): the kind of a field's values; texts where there are several, `nothing` where there are none."""
-    kinds = F.array_sort(F.collect_set(F.when(F.col("kind") != NOTHING, F.col("kind"))))
-    one = F.when(F.size("kinds") == 0, NOTHING).when(F.size("kinds") == 1, F.get("kinds", F.lit(0))).otherwise(TEXT)
-    return cells.groupBy(*keys, "field").agg(kinds.alias("kinds")).select(*keys, "field", one.alias("dtype"))
+    return cells.groupBy(*keys, "field").agg(_kinds().alias("kinds")).select(*keys, "field", _dtype().alias("dtype"))
 
 
-def describe_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, field, stat, value): count, mean, std, min, quartiles and max of fields of numbers; count, unique and freq of others.
+def described_lists(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, field, stats): the rows of `describe_cells` as lists of (stat, value), up to two for a key and field.
+
+    Types are told beside the values and not joined to them, so cells that were dealt by the keys (`session.gathered`) are not shuffled
+    again. Moments have an aggregation of their own: next to the buffers of the quartiles Spark would sum up some fields in two
+    parts, as the number of tasks has it, and a last digit with them.
 
     Quartiles keep the distinct values of one key and field in a buffer: for results that came as one payload.
     """
-    typed = cells.join(cell_types(cells, keys), [*keys, "field"])
+    group = [*keys, "field"]
     probs = F.array(*[F.lit(p) for p in QUARTILES.values()])
-    numbers = typed.where(F.col("dtype").isin(NUMBER, NOTHING)).groupBy(*keys, "field").agg(
-        F.count("number").alias("count"), F.avg("number").alias("mean"), F.stddev_samp("number").alias("std"), F.min("number").alias("min"),
-        F.percentile("number", probs).alias("q"), F.max("number").alias("max"))
+    number_only = F.count_if(~F.col("kind").isin(NUMBER, NOTHING)).alias("others")
+    moments = cells.groupBy(*group).agg(
+        number_only, F.count("number").alias("count"), F.avg("number").alias("mean"), F.stddev_samp("number").alias("std"),
+        F.min("number").alias("min"), F.max("number").alias("max")).where("others = 0")
+    ranked = cells.groupBy(*group).agg(number_only, F.percentile("number", probs).alias("q")).where("others = 0 and q is not null")
     quartiles = {stat: F.get("q", F.lit(i)) for i, stat in enumerate(QUARTILES)}
-    wide = {s: F.col(s) for s in ("count", "mean", "std", "min", "max")} | quartiles
+    typed = cells.withColumn("kinds", _kinds().over(Window.partitionBy(*group))).withColumn("dtype", _dtype())
     value = F.coalesce("text", F.when(F.col("kind") == FLAG, F.col("number").cast("boolean").cast("string")).otherwise(F.col("number").cast("string")))
-    texts = typed.where(F.col("dtype").isin(TEXT, FLAG)).select(*keys, "field", countable(value).alias("text"))
-    counted = texts.where("text is not null").groupBy(*keys, "field", "text").agg(F.count(F.lit(1)).alias("n"))
-    others = counted.groupBy(*keys, "field").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
+    texts = typed.where(F.col("dtype").isin(TEXT, FLAG)).select(*group, countable(value).alias("text"))
+    counted = texts.where("text is not null").groupBy(*group, "text").agg(F.count(F.lit(1)).alias("n"))
+    others = counted.groupBy(*group).agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
 
-    def long(df: DataFrame, stats: dict[str, Column]) -> DataFrame:
+    def listed(df: DataFrame, stats: dict[str, Column]) -> DataFrame:
         rows = F.array(*[F.struct(F.lit(s).alias("stat"), v.cast("double").alias("value")) for s, v in stats.items()])
-        return df.select(*keys, "field", F.inline(rows)).where("value is not null")
+        return df.select(*group, rows.alias("stats"))
+
+    parts = [
+        listed(moments, {s: F.col(s) for s in ("count", "mean", "std", "min", "max")}), listed(ranked, quartiles),
+        listed(others, {s: F.col(s) for s in ("count", "unique", "freq")}),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
-    return long(numbers, wide).unionByName(long(others, {s: F.col(s) for s in ("count", "unique", "freq")}))
+
+def describe_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, field, stat, value): count, mean, std, min, quartiles and max of fields of numbers; count, unique and freq of others."""
+    return described_lists(cells, keys).select(*keys, "field", F.inline("stats")).where("value is not null")

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.functions.keys import md5_key, schema_key
-from lodewatch.operators.cells import NOTHING, cell_types, describe_cells, record_cells
+from lodewatch.operators.cells import NOTHING, cell_types, described_lists, record_cells
 from lodewatch.operators.entities import frame_ids, schemas
 from lodewatch.operators.lineage import full_factors, lineage_executions, lineage_full, lineages
 from lodewatch.operators.profile import describe
-from lodewatch.session import stored
+from lodewatch.session import gathered_parts, stored
 from lodewatch.sources.messages import first_query_only
 
 # Format and names of charts as data sources.
@@ -108,8 +108,12 @@ def observe_charts(charts: DataFrame, table_fields: DataFrame) -> ChartsObservat
     execution = stored(lineage_executions(lineage, first.select(F.col("render").alias("lineage_key"), "app_execution", "start_time")), "chart-runs")
     run_of = lineage.select(F.col("lineage_key").alias("render"), F.col("id").alias("lineage"), "schema_id").join(
         first.select("render", "app_execution", "start_time"), "render").withColumn("lineage_execution_id", md5_key("lineage", "app_execution", "start_time"))
-    metrics = describe_cells(cells, ["render"]).join(run_of, "render").select(
-        "render", md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id", "field", "stat", "value")
+    # cells and runs are dealt alike, by the number of cells, so that a task holds as many at any size
+    parts = gathered_parts(cells)
+    described = described_lists(cells.repartition(parts, "render"), ["render"]).join(run_of.repartition(parts, "render"), "render")
+    metrics = described.select(
+        "render", md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id", "field", F.inline("stats")
+    ).where("value is not null")
 
     category = lambda c: F.concat(F.lit("logical::"), c).alias("category")
     chart_sources = first.join(results.select("render", "schema_id"), "render").select(

@@ -292,6 +292,6 @@ def k8_charts(u):
         rows("edge", seen.factors, F.array_join("outputs", "-"), F.array_join("inputs", "-"), F.size("outputs").cast("double"), "lineage_key"),
         rows("run", runs, F.col("lineage"), F.col("id"), render="lineage_key"),
         rows("skipped", seen.skipped, F.lit(""), F.lit(""), F.col("n_queries").cast("double")),
-        rows("metric", seen.metrics, F.col("field"), F.concat_ws(":", "stat", "metrics_id"), F.round("value", 7)),
+        rows("metric", seen.metrics, F.col("field"), F.concat_ws(":", "stat", "metrics_id"), F.round(F.col("value") * 1e7) / 1e7),  # as SQL rounds: in binary
     ]
     return concat(parts)
