@@ -176,9 +176,9 @@ def metric_uses(
     return uses.select("schema_id", "lineage_execution_id")
 
 
-def keyed_uses(uses: DataFrame) -> DataFrame:
-    """Uses with the id of the metrics of that schema in that execution, made before metrics multiply the rows."""
-    return uses.select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id")
+def keyed_uses(uses: DataFrame, *rest: str) -> DataFrame:
+    """Uses, with columns `rest`, and the id of the metrics of that schema in that execution, made before metrics multiply the rows."""
+    return uses.select(md5_key("schema_id", "lineage_execution_id").alias("metrics_id"), "schema_id", "lineage_execution_id", *rest)
 
 
 def metric_lists(metrics: DataFrame, key: str) -> DataFrame:

@@ -18,6 +18,10 @@ A mapping may also stay in factors: rows `lineage_key, input_ord, input_schema_i
 input. `pairwise` links the n-th output field to the n-th input field; otherwise every output field depends on
 all input fields, and m + n names stand for m x n links. `expand` makes edges of factors, `lineages` takes either.
 
+Where the inputs of a lineage are few, as those that one statement names, its mapping may be gathered: one row per lineage,
+`lineage_key, schema_id, parts` and others, `parts` being the list of its factors in the order of the inputs. Ids and
+executions of gathered mappings need no shuffle and keep the other columns.
+
 Field lists are packed into one array per schema first (as long as a table is wide), so the
 joins move one row per input, whatever the number of fields.
 """
@@ -28,6 +32,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +74,13 @@ def _factors(pairs: DataFrame, pairwise: Column) -> DataFrame:
     return made.where(F.size("outputs") > 0).select(*FACTOR_COLUMNS)
 
 
+def direct_or_full_links(out_names: Column, in_names: Column) -> tuple[Column, Column, Column]:
+    """(pairwise, outputs, inputs) of one input, as `direct_or_full_factors` has them: for gathered mappings."""
+    common = F.filter(in_names, lambda n: F.array_contains(out_names, n))
+    direct = F.size(common) > 0
+    return direct, F.when(direct, common).otherwise(out_names), F.when(direct, common).otherwise(in_names)
+
+
 def direct_factors(out_fields: DataFrame, inputs: DataFrame, fields: DataFrame) -> DataFrame:
     """Factors of the mapping between fields of equal name; an input without any gives none."""
     return _factors(paired(out_fields, inputs, fields), F.lit(True))
@@ -164,15 +176,14 @@ def input_texts(edges: DataFrame) -> DataFrame:
     )
 
 
-def _chain_digest():
-    """md5 over the sorted rows of each lineage, holding one digest at a time.
+def _factor_pieces():
+    """The text of an input's factors, piece by piece.
 
-    A row is an input's text or its factors, whose text is fed to the digest piece by piece. The function is made here, so
-    that Spark ships its code and the executors need not have this package installed.
+    Functions that run in tasks are made by functions like this one, so that Spark ships their code and the executors need
+    not have this package installed.
     """
-    columns = ["id", "lineage_key", "schema_id", "n_edges"]
 
-    def factor_pieces(pairwise, outputs, inputs):
+    def pieces(pairwise, outputs, inputs):
         if pairwise:
             yield ",".join(f"{name}:{own}" for name, own in zip(outputs, inputs))
             return
@@ -180,6 +191,16 @@ def _chain_digest():
         for place, name in enumerate(outputs):
             yield ("," if place else "") + name + behind
 
+    return pieces
+
+
+def _chain_digest():
+    """md5 over the sorted rows of each lineage, holding one digest at a time.
+
+    A row is an input's text or its factors, whose text is fed to the digest piece by piece.
+    """
+    columns, factor_pieces = ["id", "lineage_key", "schema_id", "n_edges"], _factor_pieces()
+
     def digest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, schema_id, digest, edges, first = None, None, None, 0, True
         for batch in batches:
@@ -207,15 +228,37 @@ def _chain_digest():
     return digest_rows
 
 
-def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
+def _parts_digest():
+    """The same md5 of gathered mappings: of the schema ids and, by factor, of the lists of all parts."""
+    factor_pieces = _factor_pieces()
+
+    def digests(schema_ids: pa.Array, pairwise: pa.Array, outputs: pa.Array, inputs: pa.Array) -> pa.Array:
+        done = []
+        for schema_id, *parts in zip(*[column.to_pylist() for column in (schema_ids, pairwise, outputs, inputs)]):
+            digest = hashlib.md5(schema_id.encode("utf-8"))
+            for place, part in enumerate(zip(*parts)):
+                if place:
+                    digest.update(b",")
+                for piece in factor_pieces(*part):
+                    digest.update(piece.encode("utf-8"))
+            done.append(digest.hexdigest())
+        return pa.array(done, pa.string())
+
+    return F.arrow_udf(digests, "string")
+
+
+def lineages(edges: DataFrame, outputs: DataFrame | None = None) -> DataFrame:
     """(id, lineage_key, schema_id, n_edges): md5 of the output schema's id followed by the edges.
 
     `edges` are rows of edges or of factors; the id is the same. An md5 depends on all bytes before, so one lineage must be
     hashed in order. Texts are built in parallel (those of factors piece by piece, as they are hashed) and streamed,
     sorted, through a running digest: nothing is collected, memory does not grow with the lineage. The row of the output
     schema comes first (order -1), so a lineage without edges has an id as well. Edges of a `lineage_key` that no output has
-    are left out.
+    are left out. A gathered mapping needs no `outputs`; each row gets its id where it lies.
     """
+    if "parts" in edges.columns:
+        n_edges = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.size(p["outputs"]))
+        return edges.withColumn("id", _parts_digest()("schema_id", "parts.pairwise", "parts.outputs", "parts.inputs")).withColumn("n_edges", n_edges)
     heads = outputs.select(
         "lineage_key", F.lit(-1).cast("long").alias("input_ord"), F.lit(0).cast("long").alias("n_edges"),
         F.col("schema_id").alias("text"),
@@ -231,12 +274,21 @@ def lineages(edges: DataFrame, outputs: DataFrame) -> DataFrame:
     return ordered.mapInPandas(_chain_digest(), f"id string, lineage_key {key_type}, schema_id string, n_edges long")
 
 
-def lineage_executions(lineage_rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """Execution rows of lineages; `runs`: lineage_key, app_execution, start_time (ISO text)."""
-    joined = salted_join(runs, lineage_rows.select("lineage_key", F.col("id").alias("lineage")), "lineage_key")
+def lineage_executions(lineage_rows: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """Execution rows of lineages; `runs`: lineage_key, app_execution, start_time (ISO text).
+
+    Lineages that hold their runs as a list each, `runs`, need no join and keep their other columns.
+    """
+    if runs is None:
+        named = lineage_rows.withColumnRenamed("id", "lineage")
+        joined = named.select(*[c for c in named.columns if c != "runs"], F.inline("runs"))
+    else:
+        joined = salted_join(runs, lineage_rows.select("lineage_key", F.col("id").alias("lineage")), "lineage_key")
+    rest = [] if runs is not None else [c for c in joined.columns if c not in ("lineage", "app_execution", "start_time")]
     return joined.select(
         md5_key("lineage", "app_execution", "start_time").alias("id"),
         "lineage",
         F.col("app_execution").alias("application_execution"),
         "start_time",
+        *rest,
     )

@@ -16,6 +16,8 @@ from lodewatch.session import stored
 
 # Rows of one key that a single task may be given.
 HOT_ROWS = 1_000_000
+# Groups of keys that are counted before single keys are.
+KEY_GROUPS = 1 << 14
 
 
 def common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> dict[str, DataType]:
@@ -36,8 +38,13 @@ def hot_keys(df: DataFrame, types: dict[str, DataType], hot_rows: int) -> DataFr
     Each hot key has salts of its own, one per `hot_rows` rows and one more. There is at most one row
     per `hot_rows` rows of `df`, and no other limit. Two keys of one hash are salted together, which
     changes no result.
+
+    Groups of keys are counted first, which moves a few rows only: a key can be hot only in a group of that many rows.
+    Single keys are counted in such groups, and no key anywhere else.
     """
-    counts = df.groupBy(_key_hash(types).alias("hot_hash")).agg(F.count("*").alias("n"))
+    key, group = _key_hash(types), F.pmod(_key_hash(types), F.lit(KEY_GROUPS))
+    large = [r["g"] for r in df.groupBy(group.alias("g")).agg(F.count("*").alias("n")).where(F.col("n") >= hot_rows).select("g").collect()]
+    counts = df.where(group.isin(large)).groupBy(key.alias("hot_hash")).agg(F.count("*").alias("n"))
     salts = (F.ceil(F.col("n") / hot_rows) + 1).cast("int").alias("salts")
     return counts.where(F.col("n") >= hot_rows).select("hot_hash", salts)
 

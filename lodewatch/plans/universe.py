@@ -196,6 +196,15 @@ class Universe:
         return files.select(F.concat(F.lit("wh.sales.orders_"), F.col("ok")).alias("table_name"), "fields").unionByName(
             reports.select(F.concat(F.lit("wh.rep.customer_"), F.col("ck")).alias("table_name"), "fields"))
 
+    def logged_tables(self) -> DataFrame:
+        """(table_name, fields) of the same tables: rows of pos, name, dtype, count and sum as one list each; reports have no metrics."""
+        nothing = F.lit(None).cast("double")
+        files = field_lists(self.order_columns(), "ok")
+        reports = field_lists(self.report_fields().select(
+            "ck", F.col("pos").cast("long").alias("pos"), "name", "dtype", nothing.alias("count"), nothing.alias("sum")), "ck")
+        return files.select(F.concat(F.lit("wh.sales.orders_"), F.col("ok")).alias("table_name"), "fields").unionByName(
+            reports.select(F.concat(F.lit("wh.rep.customer_"), F.col("ck")).alias("table_name"), "fields"))
+
 
 # The expressions below are read by Spark and by the checking SQL alike.
 STREAM_NAME = "CASE WHEN event_type IN ('click', 'view') THEN concat('web.', event_type) ELSE event_type END"
