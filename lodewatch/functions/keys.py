@@ -54,7 +54,7 @@ def unpacked_id(packed: Column | str) -> Column:
 
 def sorted_fields(fields: Column | str) -> Column:
     """(name, dtype) structs in code-point order (UTF-8 byte order is the same)."""
-    return F.array_sort(as_col(fields))
+    return F.sort_array(as_col(fields))
 
 
 def field_list_text(fields: Column | str) -> Column:

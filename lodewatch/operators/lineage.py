@@ -48,7 +48,7 @@ APPENDED = 1_000_000_000
 def field_lists(fields: DataFrame, key: str) -> DataFrame:
     """(key, fields): the field rows of a schema, with all their columns, as one list in the order of `pos`."""
     rest = [c for c in fields.columns if c not in (key, "pos")]
-    return fields.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", *rest))).alias("fields"))
+    return fields.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", *rest))).alias("fields"))
 
 
 def packed(fields: DataFrame, key: str) -> DataFrame:
@@ -277,11 +277,10 @@ def lineages(edges: DataFrame, outputs: DataFrame | None = None) -> DataFrame:
 def lineage_executions(lineage_rows: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Execution rows of lineages; `runs`: lineage_key, app_execution, start_time (ISO text).
 
-    Lineages that hold their runs as a list each, `runs`, need no join and keep their other columns.
+    Lineages that come with these columns of their runs need no join and keep their other columns.
     """
     if runs is None:
-        named = lineage_rows.withColumnRenamed("id", "lineage")
-        joined = named.select(*[c for c in named.columns if c != "runs"], F.inline("runs"))
+        joined = lineage_rows.withColumnRenamed("id", "lineage")
     else:
         joined = salted_join(runs, lineage_rows.select("lineage_key", F.col("id").alias("lineage")), "lineage_key")
     rest = [] if runs is not None else [c for c in joined.columns if c not in ("lineage", "app_execution", "start_time")]
